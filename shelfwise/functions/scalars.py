@@ -17,6 +17,16 @@ def ratio(top: Column, bottom: Column, default: float | None = None) -> Column:
     return F.when(bottom > 0, top / bottom).otherwise(F.lit(default).cast("double"))
 
 
+def tidy(value: Column | str, digits: int) -> Column:
+    """Half-up rounding that first drops float noise, so sums in any order round alike."""
+    return F.round(F.round(value, digits + 4), digits)
+
+
+def tidy_even(value: Column | str, digits: int) -> Column:
+    """Half-even rounding that first drops float noise."""
+    return F.bround(F.round(value, digits + 4), digits)
+
+
 def flag(condition: Column) -> Column:
     """Condition to 0/1, NULL counting as 0."""
     return F.coalesce(condition, F.lit(False)).cast("int")

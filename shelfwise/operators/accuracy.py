@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shelfwise.functions.scalars import tidy
 from shelfwise.params import CATEGORIES
 
 METRICS = ("RMSE", "MAE", "MAPE", "Bias")
@@ -54,7 +55,7 @@ def model_comparison(parts: Sequence[DataFrame]) -> DataFrame:
     for part in parts[1:]:
         out = out.unionByName(part)
     return out.select(
-        "Category", "Model", *[F.round(m, 4).alias(m) for m in METRICS]
+        "Category", "Model", *[tidy(m, 4).alias(m) for m in METRICS]
     ).orderBy("Category", "Model")
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from shelfwise.functions.scalars import clip_low, ratio
+from shelfwise.functions.scalars import clip_low, ratio, tidy
 from shelfwise.operators.ordering import running_total
 from shelfwise.params import DAILY_POLICY, PolicyParams
 
@@ -76,9 +76,9 @@ def budget_scenarios(allocation: DataFrame) -> DataFrame:
     return sums.select(
         "scenario",
         "budget",
-        F.round("fill", 4).alias("fill_rate_pct"),
+        tidy("fill", 4).alias("fill_rate_pct"),
         "items_ordered",
-        F.round("avg_order", 4).alias("avg_order_qty"),
-        F.round("spent", 2).alias("total_spent"),
-        F.round(step, 4).alias("marginal_fill_per_10k"),
+        tidy("avg_order", 4).alias("avg_order_qty"),
+        tidy("spent", 2).alias("total_spent"),
+        tidy(step, 4).alias("marginal_fill_per_10k"),
     )

@@ -23,14 +23,21 @@ def with_lags(panel: DataFrame, grain: TimeGrain = DAY) -> DataFrame:
 
 
 def with_rolling(lagged: DataFrame, grain: TimeGrain = DAY) -> DataFrame:
-    """Rolling mean and sample deviation of the shortest lag; one value has no deviation."""
-    base = F.col(f"lag_{grain.lags[0]}")
+    """Rolling mean and sample deviation of the shortest lag; one value has no deviation.
+
+    A frame of n rows is the difference of two running sums, so the cost per row does not
+    grow with n. Units are whole numbers, hence the sums and differences are exact.
+    """
+    base = F.col(f"lag_{grain.lags[0]}").cast("bigint")
+    upto = _series().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = {"run_n": F.count(base), "run_s": F.sum(base), "run_q": F.sum(base * base)}
+    summed = lagged.withColumns({k: F.coalesce(v.over(upto), F.lit(0)) for k, v in running.items()})
     out = {}
-    for n in grain.rolling:
-        frame = _series().rowsBetween(1 - n, Window.currentRow)
-        out[f"roll_mean_{n}"] = F.avg(base).over(frame)
-        out[f"roll_std_{n}"] = F.stddev_samp(base).over(frame)
-    return lagged.withColumns(out)
+    for width in grain.rolling:
+        n, s, q = (F.col(k) - F.lag(k, width, 0).over(_series()) for k in running)
+        out[f"roll_mean_{width}"] = F.when(n > 0, s / n)
+        out[f"roll_std_{width}"] = F.when(n > 1, F.sqrt((n * q - s * s) / (n * (n - 1))))
+    return summed.withColumns(out).drop(*running)
 
 
 def with_price_vs_mean(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from statistics import NormalDist
 
 from pyspark.sql import DataFrame, functions as F
 
-from shelfwise.functions.scalars import clip_low, lookup, ratio
+from shelfwise.functions.scalars import clip_low, lookup, ratio, tidy
 from shelfwise.params import DAILY_POLICY, PolicyParams
 
 SENSITIVITY_LEVELS = (90, 95, 98)
@@ -106,17 +106,17 @@ def safety_stock_rollups(safety: DataFrame) -> DataFrame:
     for dim in ("abc_class", "cat_id"):
         parts.append(
             safety.groupBy(F.lit(dim).alias("dimension"), F.col(dim).alias("member")).agg(
-                F.round(F.avg("safety_stock"), 2).alias("avg_safety_stock"), *_cost_totals()
+                tidy(F.avg("safety_stock"), 2).alias("avg_safety_stock"), *_cost_totals()
             )
         )
-    total = safety.agg(F.round(F.avg("safety_stock"), 2).alias("avg_safety_stock"), *_cost_totals()).select(
+    total = safety.agg(tidy(F.avg("safety_stock"), 2).alias("avg_safety_stock"), *_cost_totals()).select(
         F.lit("all").alias("dimension"), F.lit("ALL").alias("member"), "*"
     )
     rows = parts[0].unionByName(parts[1]).unionByName(total)
     extra = F.col("cost_98") - F.col("cost_90")
-    return rows.withColumn("extra_cost", F.round(extra, 2)).withColumn(
-        "extra_pct", F.round(ratio(100.0 * extra, F.col("cost_90")), 1)
-    ).withColumns({c: F.round(c, 2) for c in ("holding_cost", "cost_90", "cost_98")})
+    return rows.withColumn("extra_cost", tidy(extra, 2)).withColumn(
+        "extra_pct", tidy(ratio(100.0 * extra, F.col("cost_90")), 1)
+    ).withColumns({c: tidy(c, 2) for c in ("holding_cost", "cost_90", "cost_98")})
 
 
 def _cost_totals():
@@ -137,9 +137,9 @@ def service_level_curve(safety: DataFrame) -> DataFrame:
     points = [
         F.struct(
             F.lit(v).alias("service_level"),
-            F.round(f"s{v}", 2).alias("safety_stock"),
-            F.round(f"c{v}", 2).alias("holding_cost"),
-            F.round(F.col(f"c{v}") - lowest, 2).alias("extra_cost"),
+            tidy(f"s{v}", 2).alias("safety_stock"),
+            tidy(f"c{v}", 2).alias("holding_cost"),
+            tidy(F.col(f"c{v}") - lowest, 2).alias("extra_cost"),
         )
         for v in SENSITIVITY_LEVELS
     ]
@@ -150,11 +150,11 @@ def eoq_by_category(costed: DataFrame) -> DataFrame:
     """Mean order size and cost of both policies by category."""
     naive, best = F.sum("total_annual_cost_naive"), F.sum("total_annual_cost_EOQ")
     return costed.groupBy("cat_id").agg(
-        F.round(F.avg("EOQ"), 2).alias("avg_eoq"),
-        F.round(naive, 2).alias("naive_cost"),
-        F.round(best, 2).alias("eoq_cost"),
-        F.round(naive - best, 2).alias("saving"),
-        F.round(ratio(100.0 * (naive - best), naive), 1).alias("saving_pct"),
+        tidy(F.avg("EOQ"), 2).alias("avg_eoq"),
+        tidy(naive, 2).alias("naive_cost"),
+        tidy(best, 2).alias("eoq_cost"),
+        tidy(naive - best, 2).alias("saving"),
+        tidy(ratio(100.0 * (naive - best), naive), 1).alias("saving_pct"),
     )
 
 
@@ -185,14 +185,14 @@ def stockout_risk_by_abc(policy: DataFrame) -> DataFrame:
     return policy.groupBy("abc_class").agg(
         F.count(F.lit(1)).alias("total"),
         F.sum("stockout_risk").alias("at_risk"),
-        F.round(100.0 * F.sum("stockout_risk") / F.count(F.lit(1)), 1).alias("pct_at_risk"),
+        tidy(100.0 * F.sum("stockout_risk") / F.count(F.lit(1)), 1).alias("pct_at_risk"),
     )
 
 
 def doh_turnover_by_category(policy: DataFrame) -> DataFrame:
     """Mean days on hand and turnover by category."""
     return policy.groupBy("cat_id").agg(
-        F.round(F.avg("DOH"), 2).alias("avg_doh"), F.round(F.avg("turnover"), 2).alias("avg_turnover")
+        tidy(F.avg("DOH"), 2).alias("avg_doh"), tidy(F.avg("turnover"), 2).alias("avg_turnover")
     )
 
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from shelfwise.functions.scalars import ratio
+from shelfwise.functions.scalars import ratio, tidy, tidy_even
 from shelfwise.params import ABC_CLASSES, CATEGORIES
 
 ITEM_TABLE = (
@@ -52,7 +52,7 @@ def _cost_sums(df: DataFrame) -> DataFrame:
 def cost_reduction(df: DataFrame) -> DataFrame:
     """Reduction by order sizes alone, and by the whole policy with stockout cost."""
     naive, best, saving = F.col("naive"), F.col("best"), F.col("saving")
-    percent = lambda top, bottom: F.round(F.when(bottom != 0, top / bottom * 100).otherwise(0.0), 4)
+    percent = lambda top, bottom: tidy(F.when(bottom != 0, top / bottom * 100).otherwise(0.0), 4)
     return _cost_sums(df).select(
         percent(naive - best, naive).alias("eoq_only_pct"), percent(saving, saving + best).alias("total_policy_pct")
     )
@@ -62,24 +62,24 @@ def executive(df: DataFrame) -> DataFrame:
     """Series, saving and stockout risk."""
     return df.agg(
         _rows().alias("n_items"),
-        F.round(F.sum("annual_saving"), 2).alias("total_saving"),
+        tidy(F.sum("annual_saving"), 2).alias("total_saving"),
         F.sum((F.col("stockout_risk") == 1).cast("bigint")).alias("at_risk"),
-        F.round(100.0 * F.avg((F.col("stockout_risk") == 1).cast("double")), 4).alias("at_risk_pct"),
+        tidy(100.0 * F.avg((F.col("stockout_risk") == 1).cast("double")), 4).alias("at_risk_pct"),
     )
 
 
 def cost_by_category(df: DataFrame) -> DataFrame:
     """Cost of both policies by category."""
     return df.groupBy("cat_id").agg(
-        F.round(F.sum("total_annual_cost_naive"), 2).alias("Naive_Cost"),
-        F.round(F.sum("total_annual_cost_EOQ"), 2).alias("Optimized_Cost"),
+        tidy(F.sum("total_annual_cost_naive"), 2).alias("Naive_Cost"),
+        tidy(F.sum("total_annual_cost_EOQ"), 2).alias("Optimized_Cost"),
     )
 
 
 def safety_stock_by_abc(df: DataFrame) -> DataFrame:
     """Mean buffer and order size by class."""
     return df.groupBy("abc_class").agg(
-        F.round(F.avg("safety_stock"), 4).alias("Avg_Safety_Stock"), F.round(F.avg("EOQ"), 4).alias("Avg_EOQ")
+        tidy(F.avg("safety_stock"), 4).alias("Avg_Safety_Stock"), tidy(F.avg("EOQ"), 4).alias("Avg_EOQ")
     )
 
 
@@ -92,7 +92,7 @@ def policy_means(df: DataFrame) -> DataFrame:
     """Mean buffer, order size, reorder point and turnover."""
     return df.agg(
         *[
-            F.round(F.avg(c), 4).alias(n)
+            tidy(F.avg(c), 4).alias(n)
             for c, n in (("safety_stock", "avg_ss"), ("EOQ", "avg_eoq"), ("ROP", "avg_rop"), ("turnover", "avg_turnover"))
         ]
     )
@@ -101,14 +101,14 @@ def policy_means(df: DataFrame) -> DataFrame:
 def category_abc(df: DataFrame) -> DataFrame:
     """Mean buffer and turnover by category and class."""
     return df.groupBy("cat_id", "abc_class").agg(
-        F.round(F.avg("safety_stock"), 4).alias("Avg_SS"), F.round(F.avg("turnover"), 4).alias("Avg_Turnover")
+        tidy(F.avg("safety_stock"), 4).alias("Avg_SS"), tidy(F.avg("turnover"), 4).alias("Avg_Turnover")
     )
 
 
 def item_table(df: DataFrame) -> DataFrame:
     """Policy per item with numbers rounded to two places."""
     picked = select_existing(df, ITEM_TABLE)
-    return picked.withColumns({c: F.bround(c, 2) for c, t in picked.dtypes if t == "double"})
+    return picked.withColumns({c: tidy_even(c, 2) for c, t in picked.dtypes if t == "double"})
 
 
 def at_risk(df: DataFrame) -> DataFrame:
@@ -117,9 +117,9 @@ def at_risk(df: DataFrame) -> DataFrame:
     return df.agg(
         F.sum(risky.cast("bigint")).alias("n_at_risk"),
         F.sum((~risky).cast("bigint")).alias("n_safe"),
-        F.round(100.0 * F.avg(risky.cast("double")), 4).alias("pct_at_risk"),
+        tidy(100.0 * F.avg(risky.cast("double")), 4).alias("pct_at_risk"),
         F.sum((risky & (F.col("abc_class") == "A")).cast("bigint")).alias("a_class_at_risk"),
-        F.round(F.coalesce(F.avg(F.when(risky, F.col("DOH"))), F.lit(0.0)), 4).alias("avg_doh_at_risk"),
+        tidy(F.coalesce(F.avg(F.when(risky, F.col("DOH"))), F.lit(0.0)), 4).alias("avg_doh_at_risk"),
     )
 
 
@@ -128,7 +128,7 @@ def risk_by_abc(df: DataFrame) -> DataFrame:
     return df.groupBy("abc_class").agg(
         F.sum("stockout_risk").alias("At_Risk"),
         F.count("stockout_risk").alias("Total"),
-        F.round(100.0 * F.avg("stockout_risk"), 4).alias("Risk_Pct"),
+        tidy(100.0 * F.avg("stockout_risk"), 4).alias("Risk_Pct"),
     ).orderBy("abc_class")
 
 
@@ -147,19 +147,19 @@ def risk_by_category(df: DataFrame) -> DataFrame:
 
 def saving_by_category(df: DataFrame) -> DataFrame:
     """Saving by category."""
-    return df.groupBy("cat_id").agg(F.round(F.sum("annual_saving"), 2).alias("Total_Saving"))
+    return df.groupBy("cat_id").agg(tidy(F.sum("annual_saving"), 2).alias("Total_Saving"))
 
 
 def cost_summary(df: DataFrame) -> DataFrame:
     """Costs and saving by category; the share is of saving plus remaining cost."""
     sums = df.groupBy("cat_id").agg(
-        F.round(F.sum("total_annual_cost_naive"), 2).alias("Naive_Cost"),
-        F.round(F.sum("total_annual_cost_EOQ"), 2).alias("Optimized_Cost"),
-        F.round(F.sum("annual_saving"), 2).alias("Total_Saving"),
-        F.round(F.avg("annual_saving_pct"), 2).alias("Avg_Saving_Pct"),
+        tidy(F.sum("total_annual_cost_naive"), 2).alias("Naive_Cost"),
+        tidy(F.sum("total_annual_cost_EOQ"), 2).alias("Optimized_Cost"),
+        tidy(F.sum("annual_saving"), 2).alias("Total_Saving"),
+        tidy(F.avg("annual_saving_pct"), 2).alias("Avg_Saving_Pct"),
     )
     share = ratio(F.col("Total_Saving") * 100, F.col("Total_Saving") + F.col("Optimized_Cost"))
-    return sums.withColumn("Saving_Pct", F.round(share, 1))
+    return sums.withColumn("Saving_Pct", tidy(share, 1))
 
 
 def scenarios(allocation: DataFrame) -> DataFrame:
@@ -172,11 +172,11 @@ def scenarios(allocation: DataFrame) -> DataFrame:
     )
     return sums.select(
         "scenario",
-        F.round("demand", 2).alias("Total_Demand"),
-        F.round("filled", 2).alias("Total_Fulfilled"),
-        F.round("spend", 2).alias("Total_Spent"),
+        tidy("demand", 2).alias("Total_Demand"),
+        tidy("filled", 2).alias("Total_Fulfilled"),
+        tidy("spend", 2).alias("Total_Spent"),
         "Items",
-        F.round(ratio(F.col("filled") * 100, F.col("demand")), 1).alias("Fill_Rate_Pct"),
+        tidy(ratio(F.col("filled") * 100, F.col("demand")), 1).alias("Fill_Rate_Pct"),
     )
 
 
@@ -189,7 +189,7 @@ def _with_error(df: DataFrame, detail: DataFrame) -> DataFrame:
 def error_slope(df: DataFrame, detail: DataFrame) -> DataFrame:
     """Least-squares slope of safety stock on forecast error."""
     fit = F.regr_slope(F.col("safety_stock"), F.col("forecast_error_std"))
-    return _with_error(df, detail).agg(_rows().alias("n"), F.round(fit, 6).alias("slope"))
+    return _with_error(df, detail).agg(_rows().alias("n"), tidy(fit, 6).alias("slope"))
 
 
 def error_trend(df: DataFrame, detail: DataFrame) -> DataFrame:
@@ -197,8 +197,8 @@ def error_trend(df: DataFrame, detail: DataFrame) -> DataFrame:
     y, x = F.col("safety_stock"), F.col("forecast_error_std")
     return _with_error(df, detail).groupBy("abc_class").agg(
         _rows().alias("n"),
-        F.round(F.regr_slope(y, x), 6).alias("slope"),
-        F.round(F.regr_intercept(y, x), 6).alias("intercept"),
+        tidy(F.regr_slope(y, x), 6).alias("slope"),
+        tidy(F.regr_intercept(y, x), 6).alias("intercept"),
     )
 
 
@@ -206,22 +206,22 @@ def error_vs_raw(safety: DataFrame, lead_time: int, z: float) -> DataFrame:
     """Mean A-class buffer sized on forecast error against one sized on raw demand."""
     raw = F.col("cv_actual") * F.col("actual_mean") * z * float(lead_time) ** 0.5
     means = safety.where(F.col("abc_class") == "A").agg(
-        F.round(F.avg("safety_stock"), 2).alias("forecast_error_stock"), F.round(F.avg(raw), 2).alias("raw_demand_stock")
+        tidy(F.avg("safety_stock"), 2).alias("forecast_error_stock"), tidy(F.avg(raw), 2).alias("raw_demand_stock")
     )
     gain = (F.col("raw_demand_stock") - F.col("forecast_error_stock")) * 100.0
-    return means.withColumn("reduction_pct", F.round(ratio(gain, F.col("raw_demand_stock"), 0.0), 1))
+    return means.withColumn("reduction_pct", tidy(ratio(gain, F.col("raw_demand_stock"), 0.0), 1))
 
 
 def inventory_stats(df: DataFrame) -> DataFrame:
     """Counts and means by class and category in long form: (section, member, value)."""
     def means(section: str, by: str, column: str) -> DataFrame:
-        return df.groupBy(F.col(by).alias("member")).agg(F.round(F.avg(column), 2).alias("value")).select(
+        return df.groupBy(F.col(by).alias("member")).agg(tidy(F.avg(column), 2).alias("value")).select(
             F.lit(section).alias("section"), "member", "value"
         )
 
     totals = df.agg(
         F.count("safety_stock").cast("double").alias("n_with_safety_stock"),
-        F.round(100.0 * F.avg("stockout_risk"), 1).alias("pct_items_stockout_risk"),
+        tidy(100.0 * F.avg("stockout_risk"), 1).alias("pct_items_stockout_risk"),
         F.sum(((F.col("abc_class") == "A") & (F.col("stockout_risk") == 1)).cast("double")).alias("n_a_class_at_stockout_risk"),
     )
     names = totals.columns

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.functions.normal import norm_cdf, norm_ppf
-from shelfwise.functions.scalars import clip_low, ratio
+from shelfwise.functions.scalars import clip_low, ratio, tidy
 from shelfwise.params import DAILY_POLICY, PERISHABLE_CATEGORY, PolicyParams
 
 
@@ -71,12 +71,12 @@ def newsvendor(policy: DataFrame, params: PolicyParams = DAILY_POLICY) -> DataFr
 
 def newsvendor_rollup(orders: DataFrame) -> DataFrame:
     """Averages, total gain, and how often the order is below or above EOQ."""
-    share = lambda cond: F.round(100.0 * F.avg(cond.cast("double")), 1)
+    share = lambda cond: tidy(100.0 * F.avg(cond.cast("double")), 1)
     return orders.agg(
-        F.round(F.avg("CR"), 4).alias("avg_cr"),
-        F.round(F.avg("Q_star"), 2).alias("avg_q_star"),
-        F.round(F.avg("EOQ"), 2).alias("avg_eoq"),
-        F.round(F.sum("profit_improvement"), 2).alias("total_gain"),
+        tidy(F.avg("CR"), 4).alias("avg_cr"),
+        tidy(F.avg("Q_star"), 2).alias("avg_q_star"),
+        tidy(F.avg("EOQ"), 2).alias("avg_eoq"),
+        tidy(F.sum("profit_improvement"), 2).alias("total_gain"),
         share(F.col("Q_star") < F.col("EOQ")).alias("pct_less"),
         share(F.col("Q_star") > F.col("EOQ")).alias("pct_more"),
     )

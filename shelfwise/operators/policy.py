@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from shelfwise.functions.scalars import clip_low, ratio
+from shelfwise.functions.scalars import clip_low, ratio, tidy
 from shelfwise.operators.inventory import service_level
 from shelfwise.params import DAILY_POLICY, PolicyParams
 
@@ -33,11 +33,11 @@ def policy_rollup(costs: DataFrame, by: str) -> DataFrame:
     """Cost of both policies, saving and reduction per group."""
     naive, saving = F.sum("naive_total_cost"), F.sum("annual_saving")
     return costs.groupBy(by).agg(
-        F.round(naive, 2).alias("naive_cost"),
-        F.round(F.sum("optimized_total_cost"), 2).alias("optimized_cost"),
-        F.round(saving, 2).alias("total_saving"),
-        F.round(F.avg("annual_saving_pct"), 2).alias("avg_saving_pct"),
-        F.round(ratio(100.0 * saving, naive), 2).alias("pct_reduction"),
+        tidy(naive, 2).alias("naive_cost"),
+        tidy(F.sum("optimized_total_cost"), 2).alias("optimized_cost"),
+        tidy(saving, 2).alias("total_saving"),
+        tidy(F.avg("annual_saving_pct"), 2).alias("avg_saving_pct"),
+        tidy(ratio(100.0 * saving, naive), 2).alias("pct_reduction"),
     )
 
 
@@ -58,9 +58,9 @@ def policy_components(costs: DataFrame) -> DataFrame:
     rows = [
         F.struct(
             F.lit(c).alias("component"),
-            F.round(f"{c}_naive", 2).alias("naive_cost"),
-            F.round(f"{c}_best", 2).alias("optimized_cost"),
-            F.round(F.col(f"{c}_naive") - F.col(f"{c}_best"), 2).alias("reduction"),
+            tidy(f"{c}_naive", 2).alias("naive_cost"),
+            tidy(f"{c}_best", 2).alias("optimized_cost"),
+            tidy(F.col(f"{c}_naive") - F.col(f"{c}_best"), 2).alias("reduction"),
         )
         for c, _, _ in COMPONENTS
     ]
@@ -72,9 +72,9 @@ def policy_drivers(costs: DataFrame) -> DataFrame:
     cut = F.sum("naive_stockout_cost") - F.sum("optimized_stockout_cost")
     rise = F.sum("annual_holding_cost") - F.sum("naive_annual_holding_cost")
     return costs.agg(
-        F.round(cut, 2).alias("stockout_reduction"),
-        F.round(rise, 2).alias("holding_increase"),
-        F.round(cut - rise, 2).alias("net_saving"),
+        tidy(cut, 2).alias("stockout_reduction"),
+        tidy(rise, 2).alias("holding_increase"),
+        tidy(cut - rise, 2).alias("net_saving"),
     )
 
 
@@ -82,7 +82,7 @@ def target_fill_rate(costs: DataFrame, params: PolicyParams = DAILY_POLICY) -> D
     """Mean target service level against the assumed fill rate of the naive policy."""
     return costs.agg(
         F.lit(params.naive_fill_pct).alias("naive_fill_pct"),
-        F.round(100.0 * F.avg(service_level(params)), 4).alias("optimized_fill_pct"),
+        tidy(100.0 * F.avg(service_level(params)), 4).alias("optimized_fill_pct"),
     )
 
 

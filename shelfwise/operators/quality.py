@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from shelfwise.functions.scalars import calendar_parts
+from shelfwise.functions.scalars import calendar_parts, tidy
 from shelfwise.operators.policy import ALLOCATION_FACT
 
 # Measures that may not be negative in an extract.
@@ -138,7 +138,7 @@ def label_coverage(labelled: DataFrame) -> DataFrame:
     """Share of rows that found a class."""
     return labelled.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.round(100.0 * F.avg(F.col("abc_class").isNotNull().cast("double")), 1).alias("pct_labelled"),
+        tidy(100.0 * F.avg(F.col("abc_class").isNotNull().cast("double")), 1).alias("pct_labelled"),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfwise.functions.scalars import money
+from shelfwise.functions.scalars import money, tidy
 
 
 def _priced(fact_sales: DataFrame, dim_date: DataFrame, fact_prices: DataFrame) -> DataFrame:
@@ -18,7 +18,7 @@ def _revenue() -> Column:
 
 
 def _as_money(total: Column) -> Column:
-    return F.round(total.cast("double"), 2)
+    return tidy(total.cast("double"), 2)
 
 
 def sales_by_category_month(fact_sales, dim_date, dim_item, fact_prices) -> DataFrame:
@@ -41,7 +41,7 @@ def zero_sales_percentage(fact_sales, n: int = 1000) -> DataFrame:
     return (
         fact_sales.groupBy("item_id", "store_id")
         .agg(F.count(F.lit(1)).alias("total_days"), zero.alias("zero_days"))
-        .withColumn("zero_percentage", F.round(F.col("zero_days") * 100.0 / F.col("total_days"), 2))
+        .withColumn("zero_percentage", tidy(F.col("zero_days") * 100.0 / F.col("total_days"), 2))
         .orderBy(F.desc("zero_percentage"), "item_id", "store_id")
         .limit(n)
     )
@@ -52,7 +52,7 @@ def top_items_revenue(fact_sales, dim_date, dim_item, fact_prices, n: int = 20)
     cents = F.sum(money(F.col("sell_price")))
     per_item = _priced(fact_sales, dim_date, fact_prices).groupBy("item_id").agg(
         F.sum("units_sold").alias("total_units"),
-        F.round(cents.cast("double") / F.count(F.lit(1)), 2).alias("avg_price"),
+        tidy(cents.cast("double") / F.count(F.lit(1)), 2).alias("avg_price"),
         _as_money(_revenue()).alias("total_revenue"),
     )
     return (
@@ -84,9 +84,9 @@ def snap_impact(
     )
     return sums.select(
         "dept_id",
-        F.round("on_mean", 4).alias("avg_sales_snap"),
-        F.round("off_mean", 4).alias("avg_sales_nonsnap"),
-        F.round(_uplift(F.col("on_mean"), F.col("off_mean")), 2).alias("pct_uplift"),
+        tidy("on_mean", 4).alias("avg_sales_snap"),
+        tidy("off_mean", 4).alias("avg_sales_nonsnap"),
+        tidy(_uplift(F.col("on_mean"), F.col("off_mean")), 2).alias("pct_uplift"),
     ).orderBy("dept_id")
 
 
@@ -105,7 +105,7 @@ def price_trend(fact_prices, dim_date, dim_item) -> DataFrame:
         per_item.join(dim_item, "item_id")
         .groupBy("cat_id", "year")
         .agg(F.sum("price_sum").cast("double").alias("price_sum"), F.sum("points").alias("num_price_points"))
-        .withColumn("avg_price", F.round(F.col("price_sum") / F.col("num_price_points"), 4))
+        .withColumn("avg_price", tidy(F.col("price_sum") / F.col("num_price_points"), 4))
     )
     before = F.lag("avg_price").over(Window.partitionBy("cat_id").orderBy("year"))
     return yearly.select(
@@ -113,8 +113,8 @@ def price_trend(fact_prices, dim_date, dim_item) -> DataFrame:
         "year",
         "avg_price",
         "num_price_points",
-        F.round(F.col("avg_price") - before, 4).alias("yoy_change"),
-        F.round(100.0 * (F.col("avg_price") - before) / before, 2).alias("yoy_pct_change"),
+        tidy(F.col("avg_price") - before, 4).alias("yoy_change"),
+        tidy(100.0 * (F.col("avg_price") - before) / before, 2).alias("yoy_pct_change"),
     ).orderBy("cat_id", "year")
 
 
@@ -150,7 +150,7 @@ def worst_series(fact_forecasts, n: int = 10) -> DataFrame:
 
 def policy_avg_by_abc(policy) -> DataFrame:
     """Mean policy figures by revenue class."""
-    mean = lambda c: F.round(F.avg(c), 2)
+    mean = lambda c: tidy(F.avg(c), 2)
     return policy.groupBy("abc_class").agg(
         mean("safety_stock").alias("avg_safety_stock"),
         mean("ROP").alias("avg_ROP"),
@@ -164,7 +164,7 @@ def risk_by_category(policy) -> DataFrame:
     return policy.groupBy("cat_id").agg(
         F.count(F.lit(1)).alias("total_items"),
         F.sum("stockout_risk").alias("items_at_risk"),
-        F.round(100.0 * F.sum("stockout_risk") / F.count(F.lit(1)), 1).alias("pct_at_risk"),
+        tidy(100.0 * F.sum("stockout_risk") / F.count(F.lit(1)), 1).alias("pct_at_risk"),
     )
 
 
@@ -175,10 +175,10 @@ def cost_by_category(policy) -> DataFrame:
     without it, as the figures have always been reported.
     """
     return policy.groupBy("cat_id").agg(
-        F.round(F.sum("total_annual_cost_naive"), 2).alias("naive_total"),
-        F.round(F.sum("total_annual_cost_EOQ"), 2).alias("optimized_total"),
-        F.round(F.sum("annual_saving"), 2).alias("total_saving"),
-        F.round(100.0 * F.sum("annual_saving") / F.sum("total_annual_cost_naive"), 1).alias("saving_pct"),
+        tidy(F.sum("total_annual_cost_naive"), 2).alias("naive_total"),
+        tidy(F.sum("total_annual_cost_EOQ"), 2).alias("optimized_total"),
+        tidy(F.sum("annual_saving"), 2).alias("total_saving"),
+        tidy(100.0 * F.sum("annual_saving") / F.sum("total_annual_cost_naive"), 1).alias("saving_pct"),
     )
 
 
@@ -187,10 +187,10 @@ def newsvendor_summary(fact_newsvendor) -> DataFrame:
     base = F.abs("expected_profit_eoq")
     gain = F.when(base != 0, 100.0 * F.col("profit_improvement") / base)
     return fact_newsvendor.agg(
-        F.round(F.avg("Q_star"), 2).alias("avg_newsvendor_qty"),
-        F.round(F.avg("EOQ"), 2).alias("avg_eoq_qty"),
-        F.round(F.avg("profit_improvement"), 4).alias("avg_profit_improvement"),
-        F.round(F.avg(gain), 1).alias("avg_profit_improvement_pct"),
+        tidy(F.avg("Q_star"), 2).alias("avg_newsvendor_qty"),
+        tidy(F.avg("EOQ"), 2).alias("avg_eoq_qty"),
+        tidy(F.avg("profit_improvement"), 4).alias("avg_profit_improvement"),
+        tidy(F.avg(gain), 1).alias("avg_profit_improvement_pct"),
     )
 
 
@@ -198,8 +198,8 @@ def fill_rate_by_scenario(fact_allocation) -> DataFrame:
     """Fill rate and spend of each budget."""
     demand = F.sum("demand_mean")
     return fact_allocation.groupBy("scenario").agg(
-        F.round(F.when(demand > 0, F.sum("fulfilled") / demand * 100.0), 1).alias("fill_rate_pct"),
-        F.round(F.sum("budget_spent"), 2).alias("total_spent"),
+        tidy(F.when(demand > 0, F.sum("fulfilled") / demand * 100.0), 1).alias("fill_rate_pct"),
+        tidy(F.sum("budget_spent"), 2).alias("total_spent"),
     )
 
 

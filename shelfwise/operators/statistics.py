@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from shelfwise.functions.scalars import calendar_parts
+from shelfwise.functions.scalars import calendar_parts, tidy
 from shelfwise.operators.ordering import median_by_counts
 from shelfwise.params import CATEGORIES
 
@@ -35,10 +35,10 @@ def basic_stats(sales_long: DataFrame) -> DataFrame:
     units = F.col("units_sold")
     moments = sales_long.groupBy("cat_id").agg(
         F.count(F.lit(1)).alias("count"),
-        F.round(F.avg(units), 4).alias("mean"),
-        F.round(F.stddev_pop(units.cast("double")), 4).alias("std"),
+        tidy(F.avg(units), 4).alias("mean"),
+        tidy(F.stddev_pop(units.cast("double")), 4).alias("std"),
         F.max(units).alias("max"),
-        F.round(100.0 * F.avg((units == 0).cast("double")), 2).alias("pct_zero"),
+        tidy(100.0 * F.avg((units == 0).cast("double")), 2).alias("pct_zero"),
     )
     medians = median_by_counts(sales_long, ["cat_id"], "units_sold", "median")
     return moments.join(medians, "cat_id").select(
@@ -60,7 +60,7 @@ def dataset_overview(sales_long: DataFrame) -> DataFrame:
         F.min("first").alias("date_min"),
         F.max("last").alias("date_max"),
         F.sum("rows").alias("total_records"),
-        F.round(100.0 * F.sum("zeros") / F.sum("rows"), 2).alias("pct_zero"),
+        tidy(100.0 * F.sum("zeros") / F.sum("rows"), 2).alias("pct_zero"),
     )
 
 
@@ -75,7 +75,7 @@ def zero_share_over(sales_long: DataFrame, limit: float = 40.0) -> DataFrame:
     """Share of series whose zero percentage exceeds the limit."""
     over = (F.col("zero_pct") > limit).cast("double")
     return zero_share(sales_long).agg(
-        F.count(F.lit(1)).alias("n_pairs"), F.round(100.0 * F.avg(over), 2).alias("pct_over_limit")
+        F.count(F.lit(1)).alias("n_pairs"), tidy(100.0 * F.avg(over), 2).alias("pct_over_limit")
     )
 
 
@@ -94,7 +94,7 @@ def zero_share_hist(sales_long: DataFrame, bins: int = 50) -> DataFrame:
     )
     return edges.join(F.broadcast(counts), "bin", "left").select(
         "bin",
-        F.round(F.col("low") + F.col("width") * F.col("bin") / bins, 6).alias("bin_start"),
+        tidy(F.col("low") + F.col("width") * F.col("bin") / bins, 6).alias("bin_start"),
         F.coalesce("n_pairs", F.lit(0).cast("bigint")).alias("n_pairs"),
     )
 
@@ -105,7 +105,7 @@ def seasonality(sales_long: DataFrame, part: str, categories: Sequence[str] = CA
     return (
         sales_long.groupBy(calendar_parts(F.col("date"))[part].alias(key))
         .pivot("cat_id", list(categories))
-        .agg(F.round(F.avg("units_sold"), 6))
+        .agg(tidy(F.avg("units_sold"), 6))
         .orderBy(key)
     )
 
@@ -118,9 +118,9 @@ def snap_lift_overall(sales_long: DataFrame, category: str = "FOODS", state: str
         F.avg(F.when(F.col("snap_CA") == 1, F.col("units_sold"))).alias("on"),
     )
     return means.select(
-        F.round("off", 4).alias("avg_non_snap"),
-        F.round("on", 4).alias("avg_snap"),
-        F.round(F.when(F.col("off") != 0, 100.0 * (F.col("on") - F.col("off")) / F.col("off")), 2).alias(
+        tidy("off", 4).alias("avg_non_snap"),
+        tidy("on", 4).alias("avg_snap"),
+        tidy(F.when(F.col("off") != 0, 100.0 * (F.col("on") - F.col("off")) / F.col("off")), 2).alias(
             "uplift_pct"
         ),
     )
@@ -158,7 +158,7 @@ def bias_summary(stats: DataFrame) -> DataFrame:
     return stats.agg(
         F.count(F.lit(1)).alias("n_series"),
         F.sum(under).alias("n_under_forecast"),
-        F.round(100.0 * F.avg(under), 1).alias("pct_under_forecast"),
+        tidy(100.0 * F.avg(under), 1).alias("pct_under_forecast"),
         used("Croston_SBA").alias("n_croston"),
         used("GBT").alias("n_trees"),
         used("Seasonal_Naive").alias("n_naive"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from shelfwise.functions.scalars import tidy
 from shelfwise.operators import kpi
 from shelfwise.params import PolicyParams
 
@@ -38,19 +39,19 @@ def summary_document(
     )
     coverage = kpi.croston_coverage(dashboard)
     totals = costs.agg(
-        F.round(F.sum("naive_total_cost"), 2).alias("total_naive_annual_cost"),
-        F.round(F.sum("optimized_total_cost"), 2).alias("total_optimized_annual_cost"),
-        F.round(F.sum("annual_saving"), 2).alias("total_annual_saving"),
-        F.round(100.0 * F.sum("annual_saving") / F.sum("naive_total_cost"), 1).alias("pct_cost_reduction"),
-        F.round(F.sum("ss_holding_cost"), 2).alias("total_annual_ss_holding_cost"),
+        tidy(F.sum("naive_total_cost"), 2).alias("total_naive_annual_cost"),
+        tidy(F.sum("optimized_total_cost"), 2).alias("total_optimized_annual_cost"),
+        tidy(F.sum("annual_saving"), 2).alias("total_annual_saving"),
+        tidy(100.0 * F.sum("annual_saving") / F.sum("naive_total_cost"), 1).alias("pct_cost_reduction"),
+        tidy(F.sum("ss_holding_cost"), 2).alias("total_annual_ss_holding_cost"),
     )
     vendor = newsvendor.agg(
         F.count(F.lit(1)).alias("n_item_store_combinations"),
-        F.round(F.avg("CR"), 4).alias("avg_critical_ratio"),
-        F.round(F.avg("Q_star"), 2).alias("avg_q_star"),
-        F.round(F.sum("profit_improvement"), 2).alias("total_expected_profit_improvement"),
+        tidy(F.avg("CR"), 4).alias("avg_critical_ratio"),
+        tidy(F.avg("Q_star"), 2).alias("avg_q_star"),
+        tidy(F.sum("profit_improvement"), 2).alias("total_expected_profit_improvement"),
     )
-    mean = lambda c: F.round(F.avg(c), 2)
+    mean = lambda c: tidy(F.avg(c), 2)
     inventory = F.struct(
         _map_of(dashboard, "abc_class", mean("safety_stock")).alias("avg_safety_stock_by_abc"),
         _map_of(dashboard, "cat_id", mean("EOQ")).alias("avg_eoq_by_category"),
@@ -65,12 +66,12 @@ def summary_document(
     forecasting = F.struct(
         rmse["Seasonal Naive"].alias("seasonal_naive_rmse_by_category"),
         rmse["Croston SBA (Z-class)"].alias("croston_rmse_by_category"),
-        _map_of(improvement, "scope", F.round(F.first("improvement_pct"), 1)).alias("croston_pct_improvement"),
+        _map_of(improvement, "scope", tidy(F.first("improvement_pct"), 1)).alias("croston_pct_improvement"),
         _section(coverage).alias("coverage"),
     )
     cost = F.struct(
         _section(totals).alias("totals"),
-        _map_of(costs, "cat_id", F.round(F.sum("annual_saving"), 2)).alias("saving_by_category"),
+        _map_of(costs, "cat_id", tidy(F.sum("annual_saving"), 2)).alias("saving_by_category"),
         _section(kpi.cost_reduction(dashboard)).alias("reduction"),
     )
     assumptions = F.struct(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.functions.normal import norm_cdf, norm_ppf
-from shelfwise.functions.scalars import calendar_parts, flag, own_state_flag
+from shelfwise.functions.scalars import calendar_parts, flag, own_state_flag, tidy
 from shelfwise.operators import (
     accuracy,
     allocation,
@@ -66,7 +66,7 @@ def _query(build: Builder) -> Builder:
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     """Doubles rounded for comparison across engines."""
-    return df.withColumns({c: F.round(c, digits) for c, t in df.dtypes if t == "double"})
+    return df.withColumns({c: tidy(c, digits) for c, t in df.dtypes if t == "double"})
 
 
 # ---- sources, dimensions, facts ------------------------------------------------------
@@ -307,7 +307,7 @@ def abc_class(r):
     ranked = segment.with_abc(segment.series_totals(r.daily_fine.panel))
     return ranked.select(
         "item_id", "store_id", F.col("total_revenue").cast("double").alias("total_revenue"),
-        F.round(F.col("cum_revenue").cast("double") / F.col("cum_revenue_total").cast("double"), 6).alias("cum_share"),
+        tidy(F.col("cum_revenue").cast("double") / F.col("cum_revenue_total").cast("double"), 6).alias("cum_share"),
         "abc_class",
     )
 
@@ -643,7 +643,7 @@ def budget_allocation(r):
 
 @_query
 def budget_scenarios(r):
-    return rounded(allocation.budget_scenarios(r.inventory.allocation), 3)
+    return allocation.budget_scenarios(r.inventory.allocation)
 
 
 @_query
