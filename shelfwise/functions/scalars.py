@@ -48,9 +48,14 @@ def own_state_flag(state: Column) -> Column:
     return chain.otherwise(F.coalesce(F.col(FALLBACK_STATE_FLAG), F.lit(0))).cast("int")
 
 
-def money(value: Column) -> Column:
-    """Exact cents, so that sums do not depend on the order of addition."""
-    return F.round(value, 2).cast("decimal(12,2)")
+def cents(price: Column) -> Column:
+    """Price in whole cents: sums are exact, in any order, and stay in long arithmetic."""
+    return F.round(price * 100).cast("bigint")
+
+
+def from_cents(total: Column) -> Column:
+    """Whole cents back to an exact amount."""
+    return (total.cast("decimal(28,0)") / 100).cast("decimal(30,2)")
 
 
 def calendar_parts(date: Column) -> dict[str, Column]:

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise.functions.scalars import clip_low
-from shelfwise.operators.features import last_mean
 from shelfwise.params import DAY, TimeGrain
 
 ALPHA = 0.1
@@ -23,7 +22,11 @@ def croston_sba(train: DataFrame, alpha: float = ALPHA, days: int = 1) -> DataFr
     one with a single demand spreads it over the periods up to and including it.
     """
     key = ["item_id", "store_id"]
-    starts = train.groupBy(*key).agg(F.min("date").alias("start"), F.count(F.lit(1)).alias("n_periods"))
+    starts = train.groupBy(*key).agg(
+        F.min("date").alias("start"),
+        F.count(F.lit(1)).alias("n_periods"),
+        F.avg("units_sold").alias("plain_mean"),
+    )
     newest_first = Window.partitionBy(*key).orderBy(F.desc("date"))
     demands = (
         train.where(F.col("units_sold") > 0)
@@ -59,7 +62,7 @@ def croston_sba(train: DataFrame, alpha: float = ALPHA, days: int = 1) -> DataFr
                 clip_low((1.0 - alpha / 2.0) * F.col("demand_size") / F.col("demand_interval"), 0.0)
             ),
         )
-        .select(*key, "n_periods", "n_demands", "demand_size", "demand_interval", "croston_sba")
+        .select(*key, "n_periods", "n_demands", "plain_mean", "demand_size", "demand_interval", "croston_sba")
     )
 
 
@@ -74,21 +77,14 @@ def croston_forecasts(
 ) -> DataFrame:
     """Croston forecasts of the Z series on the validation rows.
 
-    Under ``min_demands`` demands the plain mean of the series is used instead, and the
-    mean of its last periods where the smoothed value is not finite.
+    Under ``min_demands`` demands the plain mean of the series is used instead. With more,
+    the closed form is finite (gaps are at least one period), so it needs no rescue value.
     """
     key = ["item_id", "store_id"]
     # The semi join already restricts to series with training rows, so no key set is built.
     z_train = train.join(labels.where(F.col("xyz_class") == "Z").select(*key), key, "left_semi")
-    smooth = croston_sba(z_train, alpha, grain.days)
-    plain = z_train.groupBy(*key).agg(F.avg("units_sold").alias("plain_mean"))
-    fits = smooth.join(plain, key).join(last_mean(z_train, grain.tail), key)
-    finite = F.col("croston_sba").isNotNull() & ~F.isnan("croston_sba") & (F.abs("croston_sba") < float("inf"))
-    level = (
-        F.when(F.col("n_demands") < grain.min_demands, F.col("plain_mean"))
-        .when(finite, F.col("croston_sba"))
-        .otherwise(F.col("last_mean"))
-    )
+    fits = croston_sba(z_train, alpha, grain.days)
+    level = F.when(F.col("n_demands") < grain.min_demands, F.col("plain_mean")).otherwise(F.col("croston_sba"))
     flat = fits.select(*key, clip_low(level, 0.0).alias("croston_sba_forecast"))
     return val.join(flat, key).select(
         *key, "date", F.col("units_sold").alias("actual"), "croston_sba_forecast"

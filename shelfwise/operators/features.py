@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise.functions.scalars import calendar_parts, flag, own_state_flag
 from shelfwise.operators.ingest import attach_labels
-from shelfwise.operators.ordering import label_codes
 from shelfwise.params import DAY, TimeGrain
 
 ENCODED = ("item_id", "store_id", "dept_id", "cat_id", "state_id")
@@ -46,18 +45,23 @@ def with_price_vs_mean(df: DataFrame) -> DataFrame:
     return df.withColumn("price_vs_mean", F.col("sell_price") / mean)
 
 
-def weekly_price_change(sales_long: DataFrame) -> DataFrame:
-    """Price minus last week's price, per item, store and week; NULL when either is unknown."""
-    weekly = sales_long.groupBy("item_id", "store_id", "wm_yr_wk").agg(F.max("sell_price").alias("price"))
-    before = F.lag("price").over(Window.partitionBy("item_id", "store_id").orderBy("wm_yr_wk"))
-    return weekly.select("item_id", "store_id", "wm_yr_wk", (F.col("price") - before).alias("price_change"))
+def price_steps(fact_prices: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Weekly prices with the change on the calendar week before, NULL when that had no price.
 
-
-def with_price_change(sales_long: DataFrame) -> DataFrame:
-    """Week-over-week price change mapped back to days, unknown as zero."""
-    return sales_long.join(
-        weekly_price_change(sales_long), ["item_id", "store_id", "wm_yr_wk"], "left"
-    ).withColumn("price_change", F.coalesce("price_change", F.lit(0.0)))
+    Done at the weekly grain, on the price table alone, so daily rows meet it in the one
+    price join they need anyway.
+    """
+    ordered = Window.partitionBy(F.lit(0)).orderBy("wm_yr_wk")  # one row per calendar week
+    weeks = calendar.select("wm_yr_wk").distinct().withColumn("week_before", F.lag("wm_yr_wk").over(ordered))
+    series = Window.partitionBy("item_id", "store_id").orderBy("wm_yr_wk")
+    change = F.col("sell_price") - F.lag("sell_price").over(series)
+    return fact_prices.join(F.broadcast(weeks), "wm_yr_wk").select(
+        "item_id",
+        "store_id",
+        "wm_yr_wk",
+        "sell_price",
+        F.when(F.lag("wm_yr_wk").over(series) == F.col("week_before"), change).alias("price_change"),
+    )
 
 
 def with_calendar_features(df: DataFrame) -> DataFrame:
@@ -74,18 +78,25 @@ def with_calendar_features(df: DataFrame) -> DataFrame:
 
 
 def prepare(sales_long: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled daily rows with calendar features and price change."""
-    return with_calendar_features(attach_labels(with_price_change(sales_long), labels))
+    """Labelled daily rows with calendar features; an unknown price change counts as zero."""
+    known = sales_long.withColumn("price_change", F.coalesce("price_change", F.lit(0.0)))
+    return with_calendar_features(attach_labels(known, labels))
+
+
+def coded_dimension(dim: DataFrame, codes: DataFrame) -> DataFrame:
+    """Dimension keys with the codes of all text columns of the dimension."""
+    key = dim.columns[0]
+    out = dim
+    for c in dim.columns:
+        mapping = codes.where(F.col("column_name") == c).select(F.col("label").alias(c), F.col("code").alias(f"{c}_enc"))
+        out = out.join(mapping, c, "left")
+    return out.select(key, *[f"{c}_enc" for c in dim.columns])
 
 
-def with_codes(df: DataFrame, codes: DataFrame, columns=ENCODED) -> DataFrame:
-    """Add each label's code as an extra ``_enc`` column."""
-    for c in columns:
-        mapping = codes.where(F.col("column_name") == c).select(
-            F.col("label").alias(c), F.col("code").alias(f"{c}_enc")
-        )
-        df = df.join(mapping, c, "left")
-    return df
+def coded_series(labels: DataFrame, item_codes: DataFrame, store_codes: DataFrame) -> DataFrame:
+    """All codes per series, so that daily rows need a single join, on the series key."""
+    series = labels.select("item_id", "store_id")
+    return series.join(item_codes, "item_id", "left").join(store_codes, "store_id", "left")
 
 
 def feature_columns(grain: TimeGrain = DAY) -> list[str]:
@@ -100,11 +111,11 @@ def feature_columns(grain: TimeGrain = DAY) -> list[str]:
     )
 
 
-def model_features(prepared: DataFrame, grain: TimeGrain = DAY) -> DataFrame:
+def model_features(prepared: DataFrame, series_codes: DataFrame, grain: TimeGrain = DAY) -> DataFrame:
     """All inputs and the target; rows without a full lag history are dropped."""
-    built = with_price_vs_mean(with_rolling(with_lags(prepared, grain), grain))
-    complete = built.dropna(subset=[f"lag_{n}" for n in grain.lags])
-    return with_codes(complete, label_codes(prepared, ENCODED))
+    coded = prepared.join(series_codes, ["item_id", "store_id"], "left")
+    built = with_price_vs_mean(with_rolling(with_lags(coded, grain), grain))
+    return built.dropna(subset=[f"lag_{n}" for n in grain.lags])
 
 
 def last_mean(train: DataFrame, n: int) -> DataFrame:

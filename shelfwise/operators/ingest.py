@@ -18,11 +18,9 @@ def melt_wide(wide: DataFrame, ids: Sequence[str], prefix: str = "d_") -> DataFr
     unpivot over two thousand columns would carry two thousand.
     """
     days = [c for c in wide.columns if c.startswith(prefix)]
-    labels = F.array(*[F.lit(c) for c in days])
-    cells = F.posexplode(F.array(*[F.col(c) for c in days])).alias("at", "units_sold")
-    return wide.select(*ids, cells).select(
-        *ids, F.element_at(labels, F.col("at") + 1).alias("d"), "units_sold"
-    )
+    labels = F.split(F.lit(",".join(days)), ",")  # one literal, however many days
+    cells = F.posexplode(F.array(*days)).alias("at", "units_sold")
+    return wide.select(*ids, cells).select(*ids, F.get(labels, F.col("at")).alias("d"), "units_sold")
 
 
 def last_price(prices: DataFrame, arrival: str) -> DataFrame:
@@ -58,9 +56,13 @@ def build_dim_date(calendar: DataFrame) -> DataFrame:
 
 
 def build_dim(df: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
-    """One row per key; of differing attribute rows the smallest is kept, so reruns agree."""
+    """One row per key; of differing attribute rows the smallest is kept, so reruns agree.
+
+    The distinct comes first: it combines on the map side by hash, so the minimum, which
+    needs a sort, only sees the few rows that are left.
+    """
     kept = F.min(F.struct(*attributes)).alias("kept")
-    return df.groupBy(key).agg(kept).select(key, "kept.*")
+    return df.select(key, *attributes).distinct().groupBy(key).agg(kept).select(key, "kept.*")
 
 
 def dense_sales(observed: DataFrame, first: dt.date, last: dt.date) -> DataFrame:

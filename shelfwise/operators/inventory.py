@@ -32,17 +32,13 @@ def with_safety_stock(stats: DataFrame, params: PolicyParams = DAILY_POLICY) ->
     sigma = F.col("forecast_error_std") * math.sqrt(params.lead_time)
     stock = lambda score: F.bround(clip_low(score * F.col("sigma_L"), 0.0), 1)
     cost = lambda name: F.col(name) * F.col("sell_price") * params.holding_rate
-    out = (
-        stats.withColumn("service_level", service_level(params))
-        .withColumn("Z_score", z)
-        .withColumn("sigma_L", sigma)
-        .withColumn("safety_stock", stock(F.col("Z_score")))
-        .withColumn("ss_holding_cost", cost("safety_stock"))
+    scores = {f"_{v}": F.lit(normal.inv_cdf(v / 100)) for v in SENSITIVITY_LEVELS}
+    scores[""] = F.col("Z_score")
+    levels = stats.withColumns({"service_level": service_level(params), "Z_score": z, "sigma_L": sigma})
+    stocked = levels.withColumns({f"safety_stock{k}": stock(score) for k, score in scores.items()})
+    return stocked.withColumns(
+        {("ss_cost" + k if k else "ss_holding_cost"): cost(f"safety_stock{k}") for k in scores}
     )
-    for level in SENSITIVITY_LEVELS:
-        out = out.withColumn(f"safety_stock_{level}", stock(F.lit(normal.inv_cdf(level / 100))))
-        out = out.withColumn(f"ss_cost_{level}", cost(f"safety_stock_{level}"))
-    return out
 
 
 def with_eoq(safety: DataFrame, params: PolicyParams = DAILY_POLICY) -> DataFrame:
@@ -52,11 +48,15 @@ def with_eoq(safety: DataFrame, params: PolicyParams = DAILY_POLICY) -> DataFram
         F.when(F.col("D_annual") > 0, 2.0 * F.col("D_annual") * params.order_cost).otherwise(0.0)
         / clip_low(F.col("holding_cost_per_unit"), 0.01)
     )
-    return (
-        safety.withColumn("D_annual", F.col("forecast_mean") * params.periods_per_year)
-        .withColumn("sell_price", clip_low(F.col("sell_price"), 0.01))
-        .withColumn("holding_cost_per_unit", unit_cost)
-        .withColumn("EOQ", F.when(F.col("D_annual") <= 0, 1.0).otherwise(clip_low(F.bround(raw, 0), 1.0)))
+    based = safety.withColumns(
+        {
+            "D_annual": F.col("forecast_mean") * params.periods_per_year,
+            "sell_price": clip_low(F.col("sell_price"), 0.01),
+            "holding_cost_per_unit": unit_cost,
+        }
+    )
+    return based.withColumn(
+        "EOQ", F.when(F.col("D_annual") <= 0, 1.0).otherwise(clip_low(F.bround(raw, 0), 1.0))
     )
 
 
@@ -66,31 +66,40 @@ def with_eoq_cost(eoq: DataFrame, params: PolicyParams = DAILY_POLICY) -> DataFr
     hold = lambda q: (q / 2 + F.col("safety_stock")) * F.col("holding_cost_per_unit")
     order = lambda q: F.col("D_annual") / q * params.order_cost
     total = lambda suffix: F.col(f"annual_ordering_cost{suffix}") + F.col(f"annual_holding_cost{suffix}")
-    return (
-        eoq.withColumn("annual_ordering_cost", order(F.col("EOQ")))
-        .withColumn("annual_holding_cost", hold(F.col("EOQ")))
-        .withColumn("total_annual_cost_EOQ", total(""))
-        .withColumn("annual_ordering_cost_naive", order(F.lit(lot)))
-        .withColumn("annual_holding_cost_naive", hold(F.lit(lot)))
-        .withColumn("total_annual_cost_naive", total("_naive"))
-        .withColumn("cost_saving_vs_naive", F.col("total_annual_cost_naive") - F.col("total_annual_cost_EOQ"))
-        .withColumn(
-            "cost_saving_pct",
-            ratio(F.col("cost_saving_vs_naive") * 100, F.col("total_annual_cost_naive"), 0.0),
-        )
+    parts = eoq.withColumns(
+        {
+            "annual_ordering_cost": order(F.col("EOQ")),
+            "annual_holding_cost": hold(F.col("EOQ")),
+            "annual_ordering_cost_naive": order(F.lit(lot)),
+            "annual_holding_cost_naive": hold(F.lit(lot)),
+        }
+    )
+    totals = parts.withColumns({"total_annual_cost_EOQ": total(""), "total_annual_cost_naive": total("_naive")})
+    saving = F.col("total_annual_cost_naive") - F.col("total_annual_cost_EOQ")
+    return totals.withColumns(
+        {
+            "cost_saving_vs_naive": saving,
+            "cost_saving_pct": ratio(saving * 100, F.col("total_annual_cost_naive"), 0.0),
+        }
     )
 
 
 def with_reorder_point(costed: DataFrame, params: PolicyParams = DAILY_POLICY) -> DataFrame:
     """Reorder point, stockout risk of a plain cover rule, days on hand and turnover."""
     mean = F.col("forecast_mean")
-    return (
-        costed.withColumn("demand_during_lead_time", mean * params.lead_time)
-        .withColumn("ROP", F.bround(F.col("demand_during_lead_time") + F.col("safety_stock"), 1))
-        .withColumn("naive_current_stock", mean * params.cover_periods)
-        .withColumn("stockout_risk", (F.col("naive_current_stock") < F.col("ROP")).cast("int"))
-        .withColumn("DOH", ratio(F.col("naive_current_stock"), mean, 999.0))
-        .withColumn("turnover", F.col("D_annual") / clip_low(F.col("EOQ") / 2 + F.col("safety_stock"), 0.01))
+    stocked = costed.withColumns(
+        {
+            "demand_during_lead_time": mean * params.lead_time,
+            "ROP": F.bround(mean * params.lead_time + F.col("safety_stock"), 1),
+            "naive_current_stock": mean * params.cover_periods,
+            "turnover": F.col("D_annual") / clip_low(F.col("EOQ") / 2 + F.col("safety_stock"), 0.01),
+        }
+    )
+    return stocked.withColumns(
+        {
+            "stockout_risk": (F.col("naive_current_stock") < F.col("ROP")).cast("int"),
+            "DOH": ratio(F.col("naive_current_stock"), mean, 999.0),
+        }
     )
 
 

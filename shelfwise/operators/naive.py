@@ -22,7 +22,8 @@ def seasonal_naive(
     forward = F.explode(
         F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(n).alias("shift")) for i, n in enumerate(back_days)])
     )
-    sent = train.select("item_id", "store_id", "units_sold", F.col("date").alias("sold_on"), forward.alias("f")).select(
+    useful = train.where(F.col("date") > F.lit(cutoff - dt.timedelta(days=max(back_days))))
+    sent = useful.select("item_id", "store_id", "units_sold", F.col("date").alias("sold_on"), forward.alias("f")).select(
         "item_id", "store_id", "units_sold", "f.rank", F.date_add("sold_on", F.col("f.shift")).alias("date")
     ).where(F.col("date") > F.lit(cutoff))
     best = (

@@ -103,13 +103,16 @@ def median_by_counts(df: DataFrame, by: Sequence[str], value: str, out: str) ->
     return placed.groupBy(*by).agg(((at(lower) + at(upper)) / 2.0).alias(out))
 
 
-def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Sorted distinct values of each column numbered from 0: rows (column_name, label, code)."""
-    pairs = df.select(*columns).distinct().select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("label")) for c in columns])
-        ).alias("pair")
+def label_codes(sources: dict[str, DataFrame]) -> DataFrame:
+    """Sorted distinct values of each column numbered from 0: rows (column_name, label, code).
+
+    ``sources`` names a frame per column; dimension tables serve best, as they are small.
+    """
+    labels = None
+    for name, df in sources.items():
+        one = df.select(F.lit(name).alias("column_name"), F.col(name).alias("label")).distinct()
+        labels = one if labels is None else labels.unionByName(one)
+    ranked = running_total(
+        labels.withColumn("one", F.lit(1).cast("bigint")), [F.col("label")], "one", "rank", by=["column_name"]
     )
-    labels = pairs.select("pair.*").distinct().withColumn("one", F.lit(1).cast("bigint"))
-    ranked = running_total(labels, [F.col("label")], "one", "rank", by=["column_name"])
     return ranked.select("column_name", "label", (F.col("rank") - 1).cast("int").alias("code"))

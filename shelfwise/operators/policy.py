@@ -12,20 +12,26 @@ from shelfwise.params import DAILY_POLICY, PolicyParams
 def with_policy_cost(policy: DataFrame, params: PolicyParams = DAILY_POLICY) -> DataFrame:
     """Both policies with stockout cost. The naive holding cost has no safety stock here."""
     loss = F.col("forecast_error_std") * F.col("sell_price") * params.margin_rate
-    return (
-        policy.withColumn("sell_price", clip_low(F.col("sell_price"), 0.01))
-        .withColumn("naive_order_frequency", F.col("D_annual") / params.naive_lot)
-        .withColumn("naive_annual_ordering_cost", F.col("naive_order_frequency") * params.order_cost)
-        .withColumn("naive_annual_holding_cost", F.col("sell_price") * (params.naive_lot / 2) * params.holding_rate)
-        .withColumn("naive_stockout_cost", loss * params.stockouts_per_year)
-        .withColumn(
-            "naive_total_cost",
-            F.col("naive_annual_ordering_cost") + F.col("naive_annual_holding_cost") + F.col("naive_stockout_cost"),
-        )
-        .withColumn("optimized_stockout_cost", loss * (1 - F.col("service_level")))
-        .withColumn("optimized_total_cost", F.col("total_annual_cost_EOQ") + F.col("optimized_stockout_cost"))
-        .withColumn("annual_saving", F.col("naive_total_cost") - F.col("optimized_total_cost"))
-        .withColumn("annual_saving_pct", ratio(F.col("annual_saving") * 100, F.col("naive_total_cost"), 0.0))
+    price = clip_low(F.col("sell_price"), 0.01)
+    parts = policy.withColumn("sell_price", price).withColumns(
+        {
+            "naive_order_frequency": F.col("D_annual") / params.naive_lot,
+            "naive_annual_ordering_cost": F.col("D_annual") / params.naive_lot * params.order_cost,
+            "naive_annual_holding_cost": F.col("sell_price") * (params.naive_lot / 2) * params.holding_rate,
+            "naive_stockout_cost": loss * params.stockouts_per_year,
+            "optimized_stockout_cost": loss * (1 - F.col("service_level")),
+        }
+    )
+    naive = F.col("naive_annual_ordering_cost") + F.col("naive_annual_holding_cost") + F.col("naive_stockout_cost")
+    totals = parts.withColumns(
+        {
+            "naive_total_cost": naive,
+            "optimized_total_cost": F.col("total_annual_cost_EOQ") + F.col("optimized_stockout_cost"),
+        }
+    )
+    saving = F.col("naive_total_cost") - F.col("optimized_total_cost")
+    return totals.withColumns(
+        {"annual_saving": saving, "annual_saving_pct": ratio(saving * 100, F.col("naive_total_cost"), 0.0)}
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shelfwise.functions.scalars import money, tidy
+from shelfwise.functions.scalars import cents, tidy
 
 
 def _priced(fact_sales: DataFrame, dim_date: DataFrame, fact_prices: DataFrame) -> DataFrame:
@@ -14,18 +14,18 @@ def _priced(fact_sales: DataFrame, dim_date: DataFrame, fact_prices: DataFrame)
 
 
 def _revenue() -> Column:
-    return F.sum(F.col("units_sold").cast("decimal(12,0)") * money(F.col("sell_price")))
+    return F.sum(F.col("units_sold") * cents(F.col("sell_price")))
 
 
 def _as_money(total: Column) -> Column:
-    return tidy(total.cast("double"), 2)
+    return tidy(total / 100.0, 2)
 
 
 def sales_by_category_month(fact_sales, dim_date, dim_item, fact_prices) -> DataFrame:
     """Units and revenue by category, year and month."""
     # Reduce to item level first: the item join then sees far fewer rows than the fact.
     per_item = _priced(fact_sales, dim_date, fact_prices).groupBy("item_id", "year", "month").agg(
-        F.sum("units_sold").alias("units"), _revenue().cast("decimal(30,2)").alias("revenue")
+        F.sum("units_sold").alias("units"), _revenue().alias("revenue")
     )
     return (
         per_item.join(dim_item, "item_id")
@@ -49,10 +49,9 @@ def zero_sales_percentage(fact_sales, n: int = 1000) -> DataFrame:
 
 def top_items_revenue(fact_sales, dim_date, dim_item, fact_prices, n: int = 20) -> DataFrame:
     """Items with the highest revenue; the mean price is weighted by days."""
-    cents = F.sum(money(F.col("sell_price")))
     per_item = _priced(fact_sales, dim_date, fact_prices).groupBy("item_id").agg(
         F.sum("units_sold").alias("total_units"),
-        tidy(cents.cast("double") / F.count(F.lit(1)), 2).alias("avg_price"),
+        tidy(F.avg(cents(F.col("sell_price"))) / 100.0, 2).alias("avg_price"),
         _as_money(_revenue()).alias("total_revenue"),
     )
     return (
@@ -98,13 +97,13 @@ def price_trend(fact_prices, dim_date, dim_item) -> DataFrame:
     """
     weeks = F.broadcast(dim_date.select("wm_yr_wk", "year").distinct())
     per_item = fact_prices.join(weeks, "wm_yr_wk").groupBy("item_id", "year").agg(
-        F.sum(money(F.col("sell_price"))).cast("decimal(30,2)").alias("price_sum"),
+        F.sum(cents(F.col("sell_price"))).alias("price_sum"),
         F.count(F.lit(1)).alias("points"),
     )
     yearly = (
         per_item.join(dim_item, "item_id")
         .groupBy("cat_id", "year")
-        .agg(F.sum("price_sum").cast("double").alias("price_sum"), F.sum("points").alias("num_price_points"))
+        .agg((F.sum("price_sum") / 100.0).alias("price_sum"), F.sum("points").alias("num_price_points"))
         .withColumn("avg_price", tidy(F.col("price_sum") / F.col("num_price_points"), 4))
     )
     before = F.lag("avg_price").over(Window.partitionBy("cat_id").orderBy("year"))

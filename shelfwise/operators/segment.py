@@ -6,24 +6,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from shelfwise.functions.scalars import money
+from shelfwise.functions.scalars import cents, from_cents
 from shelfwise.operators.ordering import running_total
 from shelfwise.params import ABC_CLASSES, XYZ_CLASSES
 
 
 def daily_revenue(sales_long: DataFrame) -> DataFrame:
-    """Revenue per row in exact cents; a missing price counts as zero revenue."""
-    units = F.col("units_sold").cast("decimal(12,0)")
-    return sales_long.withColumn("revenue", units * F.coalesce(money(F.col("sell_price")), F.lit(0).cast("decimal(12,2)")))
+    """Revenue per row in whole cents; a missing price counts as zero revenue."""
+    value = F.col("units_sold") * F.coalesce(cents(F.col("sell_price")), F.lit(0))
+    return sales_long.withColumn("revenue_cents", value)
 
 
 def demand_panel(sales_long: DataFrame, first, days: int) -> DataFrame:
-    """Sum demand and revenue into periods of ``days`` days counted from ``first``."""
+    """Sum demand and revenue into periods of ``days`` days counted from ``first``.
+
+    Daily rows are their own periods, so they pass through without a shuffle.
+    """
     daily = daily_revenue(sales_long)
+    if days == 1:
+        return daily.select("item_id", "store_id", "date", "units_sold", "revenue_cents")
     period = F.floor(F.datediff("date", F.lit(first)) / days).cast("int")
     start = F.date_add(F.lit(first), period * days)
     return daily.groupBy("item_id", "store_id", start.alias("date")).agg(
-        F.sum("units_sold").alias("units_sold"), F.sum("revenue").alias("revenue")
+        F.sum("units_sold").alias("units_sold"), F.sum("revenue_cents").alias("revenue_cents")
     )
 
 
@@ -34,7 +39,7 @@ def series_totals(panel: DataFrame) -> DataFrame:
         F.sum("units_sold").alias("sum_units"),
         F.sum(units * units).alias("sum_squares"),
         F.count(F.lit(1)).alias("n_periods"),
-        F.sum("revenue").cast("decimal(30,2)").alias("total_revenue"),
+        from_cents(F.sum("revenue_cents")).alias("total_revenue"),
     )
 
 

@@ -10,6 +10,7 @@ from shelfwise.operators.ordering import median_by_counts
 
 _ROW = ["item_id", "store_id", "date"]
 _KEY = ["item_id", "store_id"]
+MODELS = ("Croston_SBA", "GBT", "Seasonal_Naive")
 
 
 def forecast_wide(base: DataFrame, croston: DataFrame | None = None, trees: DataFrame | None = None) -> DataFrame:
@@ -39,9 +40,8 @@ def with_best_forecast(labelled: DataFrame) -> DataFrame:
     ).withColumn("best_model_used", F.when(_use_croston(), "Croston_SBA").otherwise(model))
 
 
-def fact_forecasts(wide: DataFrame, labels: DataFrame) -> DataFrame:
+def fact_forecasts(best: DataFrame) -> DataFrame:
     """Forecast fact: models, choice, signed error (forecast minus actual) and classes."""
-    best = with_best_forecast(attach_labels(wide, labels))
     return best.select(
         *_ROW,
         "actual_units",
@@ -66,15 +66,19 @@ def error_stats(best: DataFrame) -> DataFrame:
     actual = F.col("actual_units").cast("double")
     residual = actual - F.col("best_forecast")
     spread = lambda c: F.coalesce(F.stddev_samp(c), F.lit(0.0))
-    return best.groupBy(*_KEY).agg(
+    # The first row's model, carried as its number: fixed-width buffers aggregate by hash.
+    first_model = F.min_by(F.array_position(F.array(*map(F.lit, MODELS)), F.col("best_model_used")), "date")
+    sums = best.groupBy(*_KEY).agg(
         F.avg("best_forecast").alias("forecast_mean"),
         F.avg(actual).alias("actual_mean"),
         F.avg(residual).alias("forecast_bias"),
         spread(residual).alias("forecast_error_std"),
         F.sqrt(F.avg(residual * residual)).alias("forecast_rmse"),
         F.when(F.avg(actual) > 0, spread(actual) / F.avg(actual)).otherwise(0.0).alias("cv_actual"),
-        F.min_by("best_model_used", "date").alias("best_model_used"),
+        first_model.alias("model_no"),
     )
+    name = F.element_at(F.array(*map(F.lit, MODELS)), F.col("model_no").cast("int"))
+    return sums.withColumn("best_model_used", name).drop("model_no")
 
 
 def median_price(fact_prices: DataFrame, stores: list[str] | None = None) -> DataFrame:
@@ -84,24 +88,25 @@ def median_price(fact_prices: DataFrame, stores: list[str] | None = None) -> Dat
     return prices.groupBy(*_KEY).agg(F.median("sell_price").alias("sell_price"))
 
 
-def item_forecast_stats(
+def attach_price(
     stats: DataFrame, labels: DataFrame, fact_prices: DataFrame, dim_item: DataFrame, dim_store: DataFrame
 ) -> DataFrame:
-    """Error statistics with classes, hierarchy and a usable price.
+    """Error statistics with classes, hierarchy and the series' median price, which may be NULL."""
+    priced = stats.join(median_price(fact_prices), _KEY, "left")
+    return attach_labels(priced, labels).join(dim_item, "item_id", "left").join(dim_store, "store_id", "left")
+
+
+def item_forecast_stats(priced: DataFrame) -> DataFrame:
+    """Statistics with a usable price. ``priced`` is read three times, so pass a stored table.
 
     A missing or non-positive price takes the category median, then the overall median
     (both over the series' prices as they are), and never falls below 0.01.
     """
-    full = (
-        attach_labels(stats.join(median_price(fact_prices), _KEY, "left"), labels)
-        .join(dim_item, "item_id", "left")
-        .join(dim_store, "store_id", "left")
-    )
-    by_category = median_by_counts(full, ["cat_id"], "sell_price", "category_price")
-    overall = median_by_counts(full, [], "sell_price", "overall_price").select("overall_price").scalar()
+    by_category = median_by_counts(priced, ["cat_id"], "sell_price", "category_price")
+    overall = median_by_counts(priced, [], "sell_price", "overall_price").select("overall_price").scalar()
     usable = F.when(F.col("sell_price") > 0, F.col("sell_price"))
     return (
-        full.join(by_category, "cat_id", "left")
+        priced.join(by_category, "cat_id", "left")
         .withColumn("sell_price", clip_low(F.coalesce(usable, F.col("category_price"), overall), 0.01))
         .select(
             *_KEY,

@@ -28,6 +28,7 @@ from shelfwise.operators import (
 )
 from shelfwise.params import DAY
 from shelfwise.plans.retail import Retail
+from shelfwise.session import materialize
 from shelfwise.sources import orders, tables
 
 Builder = Callable[[Retail], DataFrame]
@@ -115,12 +116,12 @@ def price_scan_in(r):
 
 @_query
 def melt_wide_sales(r):
-    """All days as columns and back: the wide form is derived from the fact, then melted."""
+    """All days as columns and back: a wide table is stored from the fact, then melted."""
     first, last = r.brand.span
-    days = [f"d_{n}" for n in range(1, (last - first).days + 2)]
-    label = F.concat(F.lit("d_"), F.datediff("date", F.lit(first)) + 1)
-    labelled = r.brand.fact_sales.withColumn("d", label)
-    wide = labelled.groupBy("item_id", "store_id").pivot("d", days).agg(F.sum("units_sold"))
+    history = F.sort_array(F.collect_list(F.struct("date", "units_sold")))["units_sold"]  # one per day
+    series = r.brand.fact_sales.groupBy("item_id", "store_id").agg(history.alias("y"))
+    days = [f"y[{n}] AS d_{n + 1}" for n in range((last - first).days + 1)]
+    wide = materialize(series.selectExpr("item_id", "store_id", *days), "wide")
     return ingest.melt_wide(wide, ["item_id", "store_id"])
 
 
@@ -135,7 +136,7 @@ def calendar_features(r):
 
 @_query
 def state_flag(r):
-    return r.brand.sales_long.select(
+    return r.brand.sales_dated.select(
         "item_id", "store_id", "date", "state_id", own_state_flag(F.col("state_id")).alias("is_snap")
     )
 
@@ -149,7 +150,7 @@ def date_iso(r):
 
 @_query
 def label_encode(r):
-    return ordering.label_codes(r.fine.sales_long, features.ENCODED)
+    return r.fine.codes
 
 
 @_query
@@ -162,7 +163,7 @@ def sales_long(r):
 
 @_query
 def time_split(r):
-    train, val = ingest.time_split(r.brand.sales_long, r.brand.cutoff)
+    train, val = ingest.time_split(r.brand.fact_sales, r.brand.cutoff)
     side = lambda df, name: df.groupBy("item_id", "store_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("date").alias("first_date"), F.max("date").alias("last_date"),
         F.sum("units_sold").alias("units"),
@@ -264,47 +265,47 @@ def fact_row_counts(r):
 
 @_query
 def basic_stats(r):
-    return statistics.basic_stats(r.fine.sales_long)
+    return statistics.basic_stats(r.fine.sales_dated)
 
 
 @_query
 def dataset_overview(r):
-    return statistics.dataset_overview(r.fine.sales_long)
+    return statistics.dataset_overview(r.fine.sales_dated)
 
 
 @_query
 def zero_share_over_40(r):
-    return statistics.zero_share_over(r.fine.sales_long)
+    return statistics.zero_share_over(r.fine.sales_dated)
 
 
 @_query
 def zero_share_hist(r):
-    return statistics.zero_share_hist(r.fine.sales_long)
+    return statistics.zero_share_hist(r.fine.sales_dated)
 
 
 @_query
 def seasonality_dow(r):
-    return statistics.seasonality(r.fine.sales_long, "day_of_week")
+    return statistics.seasonality(r.fine.sales_dated, "day_of_week")
 
 
 @_query
 def seasonality_month(r):
-    return statistics.seasonality(r.fine.sales_long, "month")
+    return statistics.seasonality(r.fine.sales_dated, "month")
 
 
 @_query
 def snap_lift_overall(r):
-    return statistics.snap_lift_overall(r.fine.sales_long)
+    return statistics.snap_lift_overall(r.fine.sales_dated)
 
 
 @_query
 def series_cv(r):
-    return rounded(segment.with_variation(segment.series_totals(r.daily_fine.panel)).drop("total_revenue"), 6)
+    return rounded(segment.with_variation(segment.series_totals(r.daily_fine.valued)).drop("total_revenue"), 6)
 
 
 @_query
 def abc_class(r):
-    ranked = segment.with_abc(segment.series_totals(r.daily_fine.panel))
+    ranked = segment.with_abc(segment.series_totals(r.daily_fine.valued))
     return ranked.select(
         "item_id", "store_id", F.col("total_revenue").cast("double").alias("total_revenue"),
         tidy(F.col("cum_revenue").cast("double") / F.col("cum_revenue_total").cast("double"), 6).alias("cum_share"),
@@ -314,7 +315,7 @@ def abc_class(r):
 
 @_query
 def abc_class_by_store(r):
-    ranked = segment.with_abc(segment.series_totals(r.daily_fine.panel), scope=["store_id"])
+    ranked = segment.with_abc(segment.series_totals(r.daily_fine.valued), scope=["store_id"])
     return ranked.select("item_id", "store_id", "abc_class")
 
 
@@ -341,7 +342,7 @@ def segment_method_map(r):
 @_query
 def dq_label_coverage(r):
     scored = r.weekly.labels.where(F.col("abc_class") != "C")
-    return quality.label_coverage(ingest.attach_labels(r.brand.sales_long, scored))
+    return quality.label_coverage(ingest.attach_labels(r.brand.fact_sales, scored))
 
 
 # ---- features ------------------------------------------------------------------------
@@ -365,7 +366,7 @@ def price_vs_mean(r):
 
 @_query
 def price_change(r):
-    return rounded(features.with_price_change(r.brand.sales_long).select("item_id", "store_id", "date", "price_change"))
+    return rounded(features.prepare(r.brand.sales_with_change, r.weekly.labels).select("item_id", "store_id", "date", "price_change"))
 
 
 @_query
@@ -398,7 +399,7 @@ def ets_forecast(r):
 
 @_query
 def croston_sba(r):
-    return rounded(croston.croston_sba(r.daily_fine.train), 6)
+    return rounded(croston.croston_sba(r.daily_fine.train).drop("plain_mean"), 6)
 
 
 @_query
@@ -498,7 +499,7 @@ def service_level_map(r):
 def normal_ppf(r):
     """Quantile of each series' demand at a probability taken from its own data."""
     p = F.col("n_periods") / (F.col("n_periods") + F.col("sum_units") % 5000 + 1)
-    totals = segment.with_variation(segment.series_totals(r.daily_fine.panel))
+    totals = segment.with_variation(segment.series_totals(r.daily_fine.valued))
     return rounded(
         totals.select("item_id", "store_id", norm_ppf(p).alias("z"), norm_ppf(p, F.col("mean_units"), F.col("std_units")).alias("quantile"))
     )
@@ -507,7 +508,7 @@ def normal_ppf(r):
 @_query
 def normal_cdf(r):
     """Probability that a series' demand stays below every observed weekly value."""
-    totals = segment.with_variation(segment.series_totals(r.weekly.panel)).select("item_id", "store_id", "mean_units", "std_units")
+    totals = segment.with_variation(segment.series_totals(r.weekly.valued)).select("item_id", "store_id", "mean_units", "std_units")
     rows = r.weekly.panel.join(totals, ["item_id", "store_id"])
     below = norm_cdf(F.col("units_sold").cast("double"), F.col("mean_units"), F.col("std_units"))
     return rounded(rows.select("item_id", "store_id", "date", below.alias("probability")), 6)

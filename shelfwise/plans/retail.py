@@ -21,6 +21,7 @@ from shelfwise.operators import (
     inventory,
     naive,
     newsvendor,
+    ordering,
     policy,
     quality,
     segment,
@@ -84,15 +85,40 @@ class Star:
     def fact_prices(self) -> DataFrame:
         return materialize(orders.weekly_prices(self.observed), "fact_prices")
 
+    @cached_property
+    def sales_with_ids(self) -> DataFrame:
+        """Daily sales with item and store hierarchy."""
+        item = orders.hierarchy(F.col("item_id"))
+        return self.fact_sales.withColumns({**item, "state_id": orders.state_of(F.col("store_id"))})
+
+    @cached_property
+    def sales_dated(self) -> DataFrame:
+        """Daily sales with hierarchy and calendar, for results that need no price."""
+        return self.sales_with_ids.join(F.broadcast(self.calendar), "date", "left")
+
     @cached_property
     def sales_long(self) -> DataFrame:
         """Daily sales with hierarchy, calendar and price."""
-        item = orders.hierarchy(F.col("item_id"))
-        sales = self.fact_sales.withColumns({**item, "state_id": orders.state_of(F.col("store_id"))})
-        return ingest.enrich_sales(sales, self.calendar, self.fact_prices, on="date")
+        return ingest.enrich_sales(self.sales_with_ids, self.calendar, self.fact_prices, on="date")
 
-    def panel(self, grain: TimeGrain) -> DataFrame:
-        return segment.demand_panel(self.sales_long, self.first_date, grain.days)
+    @cached_property
+    def sales_with_change(self) -> DataFrame:
+        """The long table with the weekly price change."""
+        steps = features.price_steps(self.fact_prices, self.calendar)
+        return ingest.enrich_sales(self.sales_with_ids, self.calendar, steps, on="date")
+
+    @cached_property
+    def codes(self) -> DataFrame:
+        """Label codes of the text columns, from the dimensions."""
+        dims = {c: self.dim_item for c in ("item_id", "dept_id", "cat_id")}
+        dims.update({c: self.dim_store for c in ("store_id", "state_id")})
+        return materialize(ordering.label_codes(dims), "codes")
+
+    def coded(self, series: DataFrame) -> DataFrame:
+        """Codes per series; the coded dimensions are stored, so their sizes are known."""
+        items = materialize(features.coded_dimension(self.dim_item, self.codes), "item_codes")
+        stores = materialize(features.coded_dimension(self.dim_store, self.codes), "store_codes")
+        return features.coded_series(series, items, stores)
 
 
 class Forecasting:
@@ -101,14 +127,21 @@ class Forecasting:
     def __init__(self, star: Star, grain: TimeGrain = WEEK):
         self.star, self.grain = star, grain
 
+    @cached_property
+    def valued(self) -> DataFrame:
+        """Demand and revenue per period. Daily rows stay a plan; coarser periods are stored."""
+        panel = segment.demand_panel(self.star.sales_long, self.star.first_date, self.grain.days)
+        return panel if self.grain.days == 1 else materialize(panel, f"panel-{self.grain.name}")
+
     @cached_property
     def panel(self) -> DataFrame:
-        hierarchy = orders.hierarchy(F.col("item_id"))
-        return self.star.panel(self.grain).withColumn("cat_id", hierarchy["cat_id"])
+        """Demand per period with its category; models need no price."""
+        demand = self.star.fact_sales if self.grain.days == 1 else self.valued.drop("revenue_cents")
+        return demand.withColumn("cat_id", orders.hierarchy(F.col("item_id"))["cat_id"])
 
     @cached_property
     def labels(self) -> DataFrame:
-        return materialize(segment.abc_xyz(self.panel), "labels")
+        return materialize(segment.abc_xyz(self.valued), "labels")
 
     @cached_property
     def split(self) -> tuple[DataFrame, DataFrame]:
@@ -141,11 +174,11 @@ class Forecasting:
 
     @cached_property
     def prepared(self) -> DataFrame:
-        return features.prepare(self.star.sales_long, self.labels)
+        return features.prepare(self.star.sales_with_change, self.labels)
 
     @cached_property
     def features(self) -> DataFrame:
-        return features.model_features(self.prepared, self.grain)
+        return features.model_features(self.prepared, self.star.coded(self.labels), self.grain)
 
     @cached_property
     def feature_table(self) -> DataFrame:
@@ -166,11 +199,13 @@ class Forecasting:
 
     @cached_property
     def best(self) -> DataFrame:
-        return selection.with_best_forecast(ingest.attach_labels(self.wide, self.labels))
+        """Forecast rows with the chosen model: stored, as the fact and the error statistics read it."""
+        labelled = ingest.attach_labels(self.wide, self.labels)
+        return materialize(selection.with_best_forecast(labelled), "best")
 
     @cached_property
     def fact(self) -> DataFrame:
-        return selection.fact_forecasts(self.wide, self.labels)
+        return selection.fact_forecasts(self.best)
 
     @cached_property
     def z_rows(self) -> DataFrame:
@@ -217,13 +252,10 @@ class Inventory:
     @cached_property
     def stats(self) -> DataFrame:
         star = self.forecasting.star
-        return selection.item_forecast_stats(
-            materialize(self.error_stats, "error_stats"),
-            self.forecasting.labels,
-            star.fact_prices,
-            star.dim_item,
-            star.dim_store,
+        priced = selection.attach_price(
+            self.error_stats, self.forecasting.labels, star.fact_prices, star.dim_item, star.dim_store
         )
+        return selection.item_forecast_stats(materialize(priced, "priced"))
 
     @cached_property
     def costs(self) -> DataFrame:
@@ -233,11 +265,11 @@ class Inventory:
 
     @cached_property
     def newsvendor(self) -> DataFrame:
-        return newsvendor.newsvendor(self.costs, self.params)
+        return materialize(newsvendor.newsvendor(self.costs, self.params), "newsvendor")
 
     @cached_property
     def allocation(self) -> DataFrame:
-        return allocation.allocate(self.costs, self.params)
+        return materialize(allocation.allocate(self.costs, self.params), "allocation")
 
     @cached_property
     def fact_policy(self) -> DataFrame:
