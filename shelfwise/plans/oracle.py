@@ -322,6 +322,25 @@ _FINAL["seasonal_naive_weekly"] = "SELECT * FROM naive_w"
 _FINAL["croston_sba"] = f"SELECT item_id, store_id, n_periods, n_demands, {rs('demand_size, demand_interval, croston_sba', 6)} FROM cfit_d"
 _FINAL["zclass_series"] = "SELECT DISTINCT l.item_id, l.store_id FROM labels_bw l JOIN obs_b o ON o.item_id = l.item_id AND o.store_id = l.store_id WHERE xyz_class = 'Z'"
 _FINAL["croston_forecasts"] = f"SELECT item_id, store_id, date, actual, {r('croston_sba_forecast', 6)} AS croston_sba_forecast FROM croston_d"
+_PARTS["ets_lists"] = """SELECT s.item_id, s.store_id, list(CAST(s.units_sold AS DOUBLE) ORDER BY s.date) AS ys
+    FROM sales_b s JOIN labels_bd l ON l.item_id = s.item_id AND l.store_id = s.store_id CROSS JOIN bounds
+    WHERE l.abc_class IN ('A', 'B') AND s.date <= cutoff AND s.date > cutoff - 365 GROUP BY 1, 2"""
+_PARTS["ets_grid"] = f"""SELECT row_number() OVER (ORDER BY a, b, g) AS point, a, b, g FROM (SELECT unnest([{d(0.05)}, {d(0.2)}, {d(0.5)}]) AS a)
+    CROSS JOIN (SELECT unnest([{d(0.0)}, {d(0.02)}, {d(0.1)}]) AS b) CROSS JOIN (SELECT unnest([{d(0.05)}, {d(0.2)}, {d(0.4)}]) AS g)"""
+_RAISED = "(a * (x.y - c.s0) + (1 - a) * (c.l + c.b))"
+_ETS_STEP = (
+    f"{{'y': x.y, 'l': {_RAISED}, 'b': b * ({_RAISED} - c.l) + (1 - b) * c.b, "
+    + ", ".join(f"'s{k}': c.s{k + 1}" for k in range(6))
+    + f", 's6': g * (x.y - {_RAISED}) + (1 - g) * c.s0, 'e': c.e + (x.y - (c.l + c.b + c.s0)) * (x.y - (c.l + c.b + c.s0))}}"
+)
+_ZERO = d(0.0)
+_ETS_BLANK = f"{{'y': v, 'l': {_ZERO}, 'b': {_ZERO}, " + ", ".join(f"'s{k}': {_ZERO}" for k in range(7)) + f", 'e': {_ZERO}}}"
+_ETS_START = f"{{'y': {_ZERO}, 'l': f, 'b': (f2 - f) / 7, " + ", ".join(f"'s{k}': ys[{k + 1}] - f" for k in range(7)) + f", 'e': {_ZERO}}}"
+_PARTS["ets_fit"] = f"""SELECT item_id, store_id, point, list_reduce(list_concat([{_ETS_START}], list_transform(ys[8:], lambda v: {_ETS_BLANK})), lambda c, x: {_ETS_STEP}) AS st
+    FROM (SELECT *, list_sum(ys[1:7]) / 7 AS f, list_sum(ys[8:14]) / 7 AS f2 FROM ets_lists) CROSS JOIN ets_grid"""
+_PARTS["ets_best"] = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item_id, store_id ORDER BY st.e, point) AS pick FROM ets_fit) WHERE pick = 1"
+_FINAL["ets_forecast"] = f"""SELECT item_id, store_id, date, {r('greatest(st.l + st.b * h + [' + ', '.join(f'st.s{k}' for k in range(7)) + '][(h - 1) % 7 + 1], 0)')} AS ets_forecast
+    FROM (SELECT e.*, cal.date, date_diff('day', cutoff, cal.date) AS h FROM ets_best e CROSS JOIN cal CROSS JOIN bounds WHERE cal.date > cutoff)"""
 _PARTS["base"] = f"""SELECT v.item_id, v.store_id, v.date, v.cat_id, v.units_sold AS actual, n.seasonal_naive_forecast, n.seasonal_naive_forecast AS ets_forecast
     FROM panel_bw v JOIN naive_w n ON n.item_id = v.item_id AND n.store_id = v.store_id AND n.date = v.date"""
 _PARTS["z_rows"] = f"""SELECT c.*, n.seasonal_naive_forecast, {CAT.replace('item_id', 'c.item_id')} AS cat_id

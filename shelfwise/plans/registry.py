@@ -432,6 +432,11 @@ def model_comparison(r):
     return r.weekly.comparison
 
 
+@_query
+def model_comparison_all(r):
+    return r.daily.all_models(TREE_ROUNDS)
+
+
 @_query
 def metric_display(r):
     return accuracy.metric_display(r.weekly.comparison)

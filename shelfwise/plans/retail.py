@@ -234,6 +234,22 @@ class Forecasting:
             ]
         )
 
+    def all_models(self, rounds: int) -> DataFrame:
+        """Comparison of all four models; each is scored on the rows it forecasts."""
+        base = smoothing.fill_gaps(self.val, self.naive, self.ets)
+        tree_rows = self.trees(rounds)
+        models = {"Seasonal Naive": "seasonal_naive_forecast", "ETS": "ets_forecast"}
+        long = materialize(quality.clean_columns(accuracy.accuracy_long(base, models)), "baseline_metrics")
+        tree_long = accuracy.accuracy_long(tree_rows, {"GBT": "gbt_forecast"})
+        return accuracy.model_comparison(
+            [
+                accuracy.to_wide(long, "Seasonal_Naive", "Seasonal Naive"),
+                accuracy.to_wide(long, "ETS", "ETS"),
+                accuracy.to_wide(self.croston_metrics, "Croston SBA", "Croston SBA (Z-class)"),
+                accuracy.to_wide(tree_long, "GBT", "GBT"),
+            ]
+        )
+
     @cached_property
     def improvement(self) -> DataFrame:
         return accuracy.improvement_by_scope(self.z_rows, "seasonal_naive_forecast", "croston_sba_forecast")
