@@ -69,7 +69,8 @@ def croston_sba(train: DataFrame, alpha: float = ALPHA, days: int = 1) -> DataFr
 def intermittent_series(labels: DataFrame, train: DataFrame) -> DataFrame:
     """Keys of Z series that also occur in the training rows."""
     wanted = labels.where(F.col("xyz_class") == "Z").select("item_id", "store_id")
-    return wanted.intersect(train.select("item_id", "store_id"))
+    # Distinct first, so that training rows combine before they are moved.
+    return wanted.intersect(train.select("item_id", "store_id").distinct())
 
 
 def croston_forecasts(

@@ -123,6 +123,14 @@ def at_risk(df: DataFrame) -> DataFrame:
     )
 
 
+def a_class_priority(df: DataFrame) -> DataFrame:
+    """All high-revenue series at risk, shortest cover first, rounded to two places."""
+    risky = df.where((F.col("abc_class") == "A") & (F.col("stockout_risk") == 1))
+    ordered = risky.orderBy("DOH", "item_id", "store_id")
+    picked = select_existing(ordered, ("item_id", "store_id", "cat_id", "safety_stock", "ROP", "DOH", "EOQ", "sell_price", "forecast_mean"))
+    return picked.withColumns({c: tidy_even(c, 2) for c, t in picked.dtypes if t == "double"})
+
+
 def risk_by_abc(df: DataFrame) -> DataFrame:
     """Risk share by class, A first."""
     return df.groupBy("abc_class").agg(

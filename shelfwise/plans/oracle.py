@@ -451,8 +451,8 @@ def cdf(z: str) -> str:
 
 _LEVEL = f"CASE abc_class WHEN 'A' THEN {d(0.98)} WHEN 'B' THEN {d(0.95)} ELSE {d(0.9)} END"
 _FINAL["service_level_map"] = f"SELECT item_id, store_id, abc_class, {_LEVEL} AS service_level FROM stats"
-_PARTS["probs"] = "SELECT *, CAST(n_periods AS DOUBLE) / (n_periods + sum_units % 5000 + 1) AS p FROM variation_fd"
-_FINAL["normal_ppf"] = f"SELECT item_id, store_id, {r('z')} AS z, {r('mean_units + std_units * z')} AS quantile FROM (SELECT *, {ppf('p')} AS z FROM probs)"
+_PARTS["probs"] = "SELECT *, CAST(cum AS DOUBLE) / CAST(total AS DOUBLE) AS p FROM labels_fd"
+_FINAL["normal_ppf"] = f"SELECT item_id, store_id, {r('z')} AS z, {r('100 + 15 * z')} AS scaled FROM (SELECT *, {ppf('p')} AS z FROM probs)"
 _FINAL["normal_cdf"] = f"""SELECT item_id, store_id, date, {r(cdf('z'), 6)} AS probability FROM (
     SELECT w.item_id, w.store_id, w.date, (w.units_sold - v.mean_units) / v.std_units AS z FROM panel_bw w JOIN variation_bw v ON v.item_id = w.item_id AND v.store_id = w.store_id)"""
 _SS = "\n".join(
@@ -627,6 +627,9 @@ _FINAL["kpi_item_table"] = "SELECT item_id, cat_id, dept_id, abc_class, xyz_clas
 ) + " FROM dash"
 _FINAL["kpi_at_risk"] = f"""SELECT COUNT(*) FILTER (stockout_risk = 1) AS n_at_risk, COUNT(*) FILTER (stockout_risk = 0) AS n_safe, {r('100.0 * AVG(stockout_risk)')} AS pct_at_risk,
     COUNT(*) FILTER (stockout_risk = 1 AND abc_class = 'A') AS a_class_at_risk, {r('COALESCE(AVG(CASE WHEN stockout_risk = 1 THEN DOH END), 0)')} AS avg_doh_at_risk FROM dash"""
+_FINAL["a_class_priority"] = "SELECT item_id, store_id, cat_id, " + ", ".join(
+    f"round_even({r(c, 6)}, 2) AS {c}" for c in ("safety_stock", "ROP", "DOH", "EOQ", "sell_price", "forecast_mean")
+) + " FROM dash WHERE abc_class = 'A' AND stockout_risk = 1"
 _PARTS["risk_abc"] = f"SELECT abc_class, CAST(SUM(stockout_risk) AS BIGINT) AS At_Risk, COUNT(*) AS Total, {r('100.0 * AVG(stockout_risk)')} AS Risk_Pct FROM dash GROUP BY 1"
 _FINAL["kpi_risk_abc"] = "SELECT * FROM risk_abc"
 _FINAL["risk_rank"] = "SELECT abc_class, Risk_Pct, CAST(row_number() OVER (ORDER BY Risk_Pct DESC, abc_class) AS INTEGER) AS risk_rank FROM risk_abc"

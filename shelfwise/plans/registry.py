@@ -502,11 +502,12 @@ def service_level_map(r):
 
 @_query
 def normal_ppf(r):
-    """Quantile of each series' demand at a probability taken from its own data."""
-    p = F.col("n_periods") / (F.col("n_periods") + F.col("sum_units") % 5000 + 1)
-    totals = segment.with_variation(segment.series_totals(r.daily_fine.valued))
+    """Normal score of each series' cumulative revenue share; the last share is 1 and has none."""
+    ranked = segment.with_abc(segment.series_totals(r.daily_fine.valued))
+    share = F.col("cum_revenue").cast("double") / F.col("cum_revenue_total").cast("double")
+    scored = ranked.withColumn("share", share)
     return rounded(
-        totals.select("item_id", "store_id", norm_ppf(p).alias("z"), norm_ppf(p, F.col("mean_units"), F.col("std_units")).alias("quantile"))
+        scored.select("item_id", "store_id", norm_ppf(F.col("share")).alias("z"), norm_ppf(F.col("share"), 100.0, 15.0).alias("scaled"))
     )
 
 
@@ -870,6 +871,11 @@ def kpi_at_risk(r):
     return kpi.at_risk(r.inventory.validated)
 
 
+@_query
+def a_class_priority(r):
+    return kpi.a_class_priority(r.inventory.validated)
+
+
 @_query
 def kpi_risk_abc(r):
     return kpi.risk_by_abc(r.inventory.validated)

@@ -29,8 +29,8 @@ from shelfwise.operators import (
     smoothing,
     trees,
 )
-from shelfwise.params import DAY, WEEK, WEEKLY_POLICY, PolicyParams, TimeGrain
-from shelfwise.session import materialize
+from shelfwise.params import DAY, SERIES_KEY, WEEK, WEEKLY_POLICY, PolicyParams, TimeGrain
+from shelfwise.session import materialize, tune
 from shelfwise.sources import orders
 
 
@@ -38,7 +38,7 @@ class Star:
     """Star schema of one item grain: three dimensions, two facts, and the long table."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, grain: str = "brand"):
-        self.spark, self.sf_dir, self.grain = spark, sf_dir, grain
+        self.spark, self.sf_dir, self.grain = tune(spark), sf_dir, grain
 
     @cached_property
     def observed(self) -> DataFrame:
@@ -79,11 +79,12 @@ class Star:
 
     @cached_property
     def fact_sales(self) -> DataFrame:
-        return materialize(ingest.dense_sales(self.observed, *self.span), "fact_sales")
+        """Stored in buckets by series, as nearly every later step works per series."""
+        return materialize(ingest.dense_sales(self.observed, *self.span), "fact_sales", SERIES_KEY)
 
     @cached_property
     def fact_prices(self) -> DataFrame:
-        return materialize(orders.weekly_prices(self.observed), "fact_prices")
+        return materialize(orders.weekly_prices(self.observed), "fact_prices", SERIES_KEY)
 
     @cached_property
     def sales_with_ids(self) -> DataFrame:

@@ -30,6 +30,15 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str
     return spark
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Let joins on a series key plus a week reuse the bucketing by series key alone.
+
+    Without it Spark moves both sides of the price join again. Results do not depend on it.
+    """
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return spark
+
+
 def stage_dir(spark: SparkSession) -> str:
     """Folder all executors can reach; stage tables survive the loss of any of them."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -43,17 +52,23 @@ def stage_dir(spark: SparkSession) -> str:
     return _LOCAL_STAGE_DIRS[app]
 
 
-def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def materialize(df: DataFrame, name: str, bucket_by: tuple[str, ...] = ()) -> DataFrame:
     """Write a stage table once and read it back.
 
     Cuts the lineage, fixes values that other jobs must agree on, and gives the next
-    plan real file sizes, column pruning and filter pushdown.
+    plan real file sizes, column pruning and filter pushdown. ``bucket_by`` also keeps
+    the rows hash-partitioned on disk: later windows, aggregations and joins on those
+    columns then read them in place, without a shuffle.
     """
     spark = df.sparkSession
-    path = f"{stage_dir(spark)}/shelfwise/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists").option("compression", "snappy")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    back = spark.read.schema(df.schema).parquet(path)
-    return back.select(*df.columns)
+    unique = f"{name}-{uuid.uuid4().hex}"
+    path = f"{stage_dir(spark)}/shelfwise/{spark.sparkContext.applicationId}/{unique}"
+    if not bucket_by:
+        df.write.mode("errorifexists").option("compression", "snappy").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = unique.replace("-", "_")
+    # Shuffled by the bucket columns first, each bucket is written by one task as one file.
+    writer = df.repartition(buckets, *bucket_by).write.format("parquet").option("path", path)
+    writer.option("compression", "snappy").bucketBy(buckets, *bucket_by).saveAsTable(table)
+    return spark.table(table)

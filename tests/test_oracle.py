@@ -61,3 +61,34 @@ def test_trees_beat_the_naive_forecast(spark):
     assert {m for _, m in mae} == {"Seasonal Naive", "ETS", "Croston SBA (Z-class)", "GBT"}
     for category in {c for c, _ in mae}:
         assert mae[(category, "GBT")] < mae[(category, "Seasonal Naive")]
+
+
+def _moved(df, table):
+    """Exchanges above the scan of a table, in a plan without broadcasts of data-sized sides."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    path, depth = [], {}
+    for line in text.splitlines():
+        level = len(line) - len(line.lstrip(" :+-"))
+        depth = {k: v for k, v in depth.items() if k < level}
+        depth[level] = line
+        if f".{table}_" in line and "FileScan" in line:
+            path += [v.strip() for v in depth.values() if "Exchange" in v]
+    return path
+
+
+def test_features_read_the_bucketed_fact_in_place(spark):
+    run = registry.retail(spark, SF_DIR)
+    run.daily.labels, run.brand.codes
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert _moved(run.daily.features, "fact_sales") == []
+        from shelfwise.operators import segment
+
+        assert _moved(segment.series_totals(run.daily.valued), "fact_sales") == []
+        # Without the setting the price join moves the daily rows, so the check above can fail.
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "true")
+        assert _moved(segment.series_totals(run.daily.valued.select("*")), "fact_sales") != []
+    finally:
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
