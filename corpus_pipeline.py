@@ -1,10 +1,65 @@
-"""The corpus pipeline: stages over documents, each written as Parquet and read again by the next."""
+"""The corpus pipeline: stages over documents, each written as Parquet and read again by the next.
+
+1. language: documents without a language (no letters) go.
+2. quality: documents that the rule ensemble scores below its threshold go.
+3. near_duplicates: of each group of documents that share 0.8 of their 5-word shingles, the smallest doc_id stays; rows without an
+   id are no document's copy and stay.
+4. decontaminate: documents of which at least a twentieth stands in benchmark windows go.
+5. pack: the rest becomes token sequences of 1024.
+
+Every stage but the last returns the columns it was given. Language and quality models are learned as their operators say,
+from the stage's own documents.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from llm import decontaminate as benchmark_hits, language as languages, minhash, packing, quality as qualities
+from shelfwise.session import materialize
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return languages.determined(docs, languages.learn_from_documents(docs))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return qualities.good(docs, qualities.ensemble_for(docs, labels))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = materialize(minhash.near_duplicates(docs, percent=80, size=5), "near-duplicates")
+    kept = found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"))
+    kept = materialize(kept, "kept")
+    out = docs.join(kept.select(F.col("doc_id").alias("kept_id")), F.col("doc_id") == F.col("kept_id"), "left_semi")
+    if kept.where("rows > 1").limit(1).count():  # rows that repeat an id are one document
+        out = out.dropDuplicates(["doc_id"])
+    return out.union(docs.where("doc_id is null"))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return benchmark_hits.uncontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("language", language),
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
+    ("pack", pack),
+]
+
+# Trained models and signatures have no SQL form; the tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -24,14 +24,15 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from llm.text import alnum_words, chunks, lower_ascii, utf8, word_spans
+from llm.text import alnum_words, chunks, field, lower_ascii, utf8, word_spans
 
 WINDOW = 13
 PART_BYTES = 32 << 20
 KEEP, LOWER = alnum_words(), lower_ascii()
 _AUTOMATA: dict[str, ahocorasick.Automaton] = {}
 
-_STATE = "doc_id bigint, text string, n_words bigint, hits array<bigint>, items array<string>"
+_INTS = pa.list_(pa.int64())
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def item_words(text: str | None) -> list[str]:
@@ -101,11 +102,13 @@ def find(data: np.ndarray, offsets: np.ndarray, automaton: ahocorasick.Automaton
     return counts, found
 
 
-def _scan(key: str, patterns: Broadcast):
+def _scan(key: str, patterns: Broadcast, last: bool, carry: bool):
+    """One pass over rows; the last one adds hit words and character spans, and keeps the whole row only if asked to."""
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             automaton = _automaton(key, patterns)
-            data, offsets = utf8(batch.column("text"))
+            data, offsets = utf8(field(batch, "text"))
             hits, items = batch.column("hits").to_pylist(), batch.column("items").to_pylist()
             words = np.zeros(batch.num_rows, np.int64)
             for a, b in chunks(offsets):
@@ -115,10 +118,15 @@ def _scan(key: str, patterns: Broadcast):
                     spans = _merged([*zip(*[iter(hits[a + row])] * 2), *((m[0], m[1]) for m in matches)])
                     hits[a + row] = [x for span in spans for x in span]
                     items[a + row] = sorted({*items[a + row], *(i for m in matches for i in m[2])})
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text"), pa.array(words), pa.array(hits, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
-                names=["doc_id", "text", "n_words", "hits", "items"],
-            )
+            out = {"row": batch.column("row"), "n_words": pa.array(words), "hits": pa.array(hits, _INTS), "items": pa.array(items, pa.list_(pa.string()))}
+            if last:
+                spans = [_characters(data[offsets[k] : offsets[k + 1]], flat) for k, flat in enumerate(hits)]
+                out["n_hit"] = pa.array([sum(b - a + 1 for a, b in zip(f[::2], f[1::2])) for f in hits], pa.int64())
+                out["spans"] = pa.array(spans, _SPANS)
+                del out["hits"]
+                if not carry:
+                    out["row"] = pa.StructArray.from_arrays([field(batch, "doc_id")], ["doc_id"])
+            yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
 
     return scan
 
@@ -134,46 +142,48 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word spans to character spans of the original text, for the rows that have any."""
-    for batch in batches:
-        data, offsets = utf8(batch.column("text"))
-        hits, spans = batch.column("hits").to_pylist(), []
-        for row, flat in enumerate(hits):
-            if not flat:
-                spans.append([])
-                continue
-            own = data[offsets[row] : offsets[row + 1]]
-            starts, stops, _ = word_spans(own, np.array([0, len(own)]), KEEP)
-            chars = np.concatenate([[0], np.cumsum((own & 0xC0) != 0x80)])
-            spans.append([{"start": int(chars[starts[a]]), "end": int(chars[stops[b]])} for a, b in zip(flat[::2], flat[1::2])])
-        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        n_hit = pa.array([sum(b - a + 1 for a, b in zip(f[::2], f[1::2])) for f in hits], pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("n_words"), n_hit, batch.column("items"), pa.array(spans, kind)],
-            names=["doc_id", "n_words", "n_hit", "items", "spans"],
-        )
+def _characters(data: np.ndarray, flat: list[int]) -> list[dict[str, int]]:
+    """Word spans of one text to spans of its characters."""
+    if not flat:
+        return []
+    starts, stops, _ = word_spans(data, np.array([0, len(data)]), KEEP)
+    chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    return [{"start": int(chars[starts[a]]), "end": int(chars[stops[b]])} for a, b in zip(flat[::2], flat[1::2])]
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
-    """doc_id, n_words, n_hit, items (ids, sorted as strings), spans (character offsets of hit words), contaminated."""
+def judged(documents: DataFrame, benchmark: DataFrame, carry: bool, window: int, part_bytes: int) -> DataFrame:
+    """row (all columns if carried, else doc_id), n_words, items, n_hit, spans, contaminated."""
     spark = documents.sparkSession
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("item is not null and text is not null")
     # A window repeats the words that follow its first one, so patterns have at most this many bytes.
     size = items.agg(F.sum(F.octet_length("text") * window)).first()[0] or 0
     parts = -(-size // part_bytes) or 1
+    columns = [F.col(c) for c in documents.columns] if carry else [F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text")]
     state = documents.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.lit(0).cast("bigint").alias("n_words"),
-        F.array().cast("array<bigint>").alias("hits"), F.array().cast("array<string>").alias("items"),
+        F.struct(*columns).alias("row"), F.lit(0).cast("bigint").alias("n_words"), F.array().cast("array<bigint>").alias("hits"),
+        F.array().cast("array<string>").alias("items"),
     )
+    row = state.schema["row"].dataType.simpleString()
     for part in range(parts):
+        last = part == parts - 1
         chosen = items.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part) if parts > 1 else items
         patterns = spark.sparkContext.broadcast(windows([tuple(r) for r in chosen.collect()], window))
-        state = state.mapInArrow(_scan(uuid.uuid4().hex, patterns), _STATE)
-    found = state.mapInArrow(
-        _characters, "doc_id bigint, n_words bigint, n_hit bigint, items array<string>, spans array<struct<start: bigint, end: bigint>>"
-    )
-    return found.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+        kept = row if carry or not last else "struct<doc_id: bigint>"
+        more = "n_hit bigint, spans array<struct<start: bigint, end: bigint>>"
+        schema = f"row {kept}, n_words bigint, items array<string>, {more}" if last else f"row {row}, n_words bigint, hits array<bigint>, items array<string>"
+        state = state.mapInArrow(_scan(uuid.uuid4().hex, patterns, last, carry), schema)
+    return state.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+
+
+def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
+    """doc_id, n_words, n_hit, items (ids, sorted as strings), spans (character offsets of hit words), contaminated."""
+    found = judged(documents, benchmark, False, window, part_bytes)
+    return found.select("row.doc_id", "n_words", "n_hit", "items", "spans", "contaminated")
+
+
+def uncontaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
+    """The rows, with all their columns, of documents that are not contaminated."""
+    return judged(documents, benchmark, True, window, part_bytes).where("not contaminated").select("row.*")
 
 
 def digests(found: DataFrame) -> DataFrame:

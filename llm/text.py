@@ -47,6 +47,11 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[ends[0] : ends[-1]], ends - ends[0]
 
 
+def field(batch: pa.RecordBatch, name: str) -> pa.Array:
+    """A field of the struct column ``row``, which carries whole rows past name clashes."""
+    return pc.struct_field(batch.column("row"), name)
+
+
 def chunks(offsets: np.ndarray, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Runs of rows with about ``most`` bytes; a longer text is a run of its own, never cut."""
     first, rows = 0, len(offsets) - 1
