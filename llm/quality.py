@@ -211,7 +211,7 @@ def learn(stats: DataFrame, known: DataFrame, trees: int = 20, depth: int = 3, l
     design = materialize(train.select("label", array_to_vector(flags).alias("features")), "quality-rules")
     fitted = LogisticRegression(regParam=lasso, elasticNetParam=1.0, maxIter=60, standardization=False).fit(design)
     weights = fitted.coefficients.toArray()
-    return Ensemble(float(fitted.intercept), tuple((r, float(w)) for r, w in zip(rules, weights) if w != 0.0))
+    return Ensemble(round(float(fitted.intercept), 9), tuple((r, round(float(w), 9)) for r, w in zip(rules, weights) if round(float(w), 9)))
 
 
 def classify(stats: DataFrame, ensemble: Ensemble, threshold: float = THRESHOLD) -> DataFrame:
