@@ -18,13 +18,13 @@ def ratio(top: Column, bottom: Column, default: float | None = None) -> Column:
 
 
 def tidy(value: Column | str, digits: int) -> Column:
-    """Half-up rounding that first drops float noise, so sums in any order round alike."""
-    return F.round(F.round(value, digits + 4), digits)
+    """Half-up rounding. Noise far below the digits goes first, so sums of doubles in any order round alike."""
+    return F.round(F.round(value, digits + 8), digits)
 
 
 def tidy_even(value: Column | str, digits: int) -> Column:
     """Half-even rounding that first drops float noise."""
-    return F.bround(F.round(value, digits + 4), digits)
+    return F.bround(F.round(value, digits + 8), digits)
 
 
 def flag(condition: Column) -> Column:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise.functions.scalars import calendar_parts, flag, own_state_flag
-from shelfwise.operators.ingest import attach_labels
 from shelfwise.params import DAY, TimeGrain
 
 ENCODED = ("item_id", "store_id", "dept_id", "cat_id", "state_id")
@@ -77,10 +76,13 @@ def with_calendar_features(df: DataFrame) -> DataFrame:
     )
 
 
-def prepare(sales_long: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled daily rows with calendar features; an unknown price change counts as zero."""
+def prepare(sales_long: DataFrame, series: DataFrame) -> DataFrame:
+    """Daily rows with classes, codes and calendar features; an unknown price change counts as zero.
+
+    ``series`` has one row per series with all that is attached to it, so daily rows need one join.
+    """
     known = sales_long.withColumn("price_change", F.coalesce("price_change", F.lit(0.0)))
-    return with_calendar_features(attach_labels(known, labels))
+    return with_calendar_features(known.join(series, ["item_id", "store_id"], "left"))
 
 
 def coded_dimension(dim: DataFrame, codes: DataFrame) -> DataFrame:
@@ -94,8 +96,8 @@ def coded_dimension(dim: DataFrame, codes: DataFrame) -> DataFrame:
 
 
 def coded_series(labels: DataFrame, item_codes: DataFrame, store_codes: DataFrame) -> DataFrame:
-    """All codes per series, so that daily rows need a single join, on the series key."""
-    series = labels.select("item_id", "store_id")
+    """Classes and all codes per series."""
+    series = labels.select("item_id", "store_id", "abc_class", "xyz_class", "abc_xyz")
     return series.join(item_codes, "item_id", "left").join(store_codes, "store_id", "left")
 
 
@@ -111,11 +113,16 @@ def feature_columns(grain: TimeGrain = DAY) -> list[str]:
     )
 
 
-def model_features(prepared: DataFrame, series_codes: DataFrame, grain: TimeGrain = DAY) -> DataFrame:
-    """All inputs and the target; rows without a full lag history are dropped."""
-    coded = prepared.join(series_codes, ["item_id", "store_id"], "left")
-    built = with_price_vs_mean(with_rolling(with_lags(coded, grain), grain))
-    return built.dropna(subset=[f"lag_{n}" for n in grain.lags])
+def model_features(prepared: DataFrame, grain: TimeGrain = DAY) -> DataFrame:
+    """Keys, target, category, classes and all inputs; rows without a full lag history are dropped.
+
+    Only what a window or a model needs passes the windows.
+    """
+    made = {*[f"lag_{n}" for n in grain.lags], *[f"roll_{k}_{n}" for k in ("mean", "std") for n in grain.rolling], "price_vs_mean"}
+    keep = ["item_id", "store_id", "date", "units_sold", "cat_id", "abc_xyz"]
+    narrow = prepared.select(*keep, *[c for c in feature_columns(grain) if c not in made])
+    built = with_price_vs_mean(with_rolling(with_lags(narrow, grain), grain))
+    return built.dropna(subset=[f"lag_{n}" for n in grain.lags]).select(*keep, *feature_columns(grain))
 
 
 def last_mean(train: DataFrame, n: int) -> DataFrame:

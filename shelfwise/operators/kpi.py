@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from shelfwise.functions.scalars import ratio, tidy, tidy_even
 from shelfwise.params import ABC_CLASSES, CATEGORIES
 
+# Columns of the item table.
 ITEM_TABLE = (
     "item_id", "cat_id", "dept_id", "abc_class", "xyz_class", "safety_stock", "EOQ", "ROP", "DOH",
     "turnover", "stockout_risk", "sell_price", "forecast_mean",

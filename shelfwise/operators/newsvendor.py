@@ -56,6 +56,7 @@ def with_profit(orders: DataFrame) -> DataFrame:
     )
 
 
+# Columns of the newsvendor result.
 OUTPUT = (
     "item_id", "store_id", "cat_id", "dept_id", "abc_class", "sell_price", "Cu", "Co", "CR",
     "forecast_mean", "demand_std", "Q_star", "EOQ", "q_difference", "q_difference_pct",

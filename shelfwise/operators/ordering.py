@@ -27,8 +27,10 @@ def running_total(
     """
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by = list(by)
+    # Finding the ranges reads the input once more, so it is stored first and never computed twice.
+    known = materialize(df, f"unordered-{out}")
     staged = materialize(
-        df.repartitionByRange(ranges, *[F.col(c) for c in by], *order).withColumn(
+        known.repartitionByRange(ranges, *[F.col(c) for c in by], *order).withColumn(
             _BUCKET, F.spark_partition_id()
         ),
         f"ordered-{out}",
@@ -82,7 +84,7 @@ def median_by_counts(df: DataFrame, by: Sequence[str], value: str, out: str) ->
     """Exact median from a table of distinct values and their counts.
 
     For values on a coarse grid (units, cents): the count is a plain partial/final
-    aggregation, and the window sees distinct values only, never the rows.
+    aggregation, and the order is made over distinct values only, never the rows.
     """
     by = list(by)
     counts = (
@@ -90,11 +92,8 @@ def median_by_counts(df: DataFrame, by: Sequence[str], value: str, out: str) ->
         .groupBy(*by, F.col(value).alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    upto = group.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = counts.select(
-        *by, "v", "n", F.sum("n").over(upto).alias("upto"), F.sum("n").over(group).alias("total")
-    )
+    # Distinct values may grow with the data: their running count is a prefix sum over ranges, not one task's window.
+    placed = running_total(counts, [F.col("v")], "n", "upto", by=by).withColumnRenamed("upto_total", "total")
     lower, upper = F.expr("(total + 1) div 2"), F.expr("total div 2 + 1")
 
     def at(position: Column) -> Column:

@@ -92,6 +92,7 @@ def target_fill_rate(costs: DataFrame, params: PolicyParams = DAILY_POLICY) -> D
     )
 
 
+# Columns of the three result facts.
 INVENTORY_FACT = (
     "item_id", "store_id", "cat_id", "dept_id", "state_id", "abc_class", "xyz_class", "abc_xyz",
     "sell_price", "forecast_mean", "forecast_error_std", "service_level", "Z_score", "sigma_L",

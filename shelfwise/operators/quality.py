@@ -13,6 +13,7 @@ from shelfwise.operators.policy import ALLOCATION_FACT
 NON_NEGATIVE = (
     "safety_stock", "EOQ", "ROP", "DOH", "turnover", "annual_saving", "order_qty", "fulfilled", "Q_star",
 )
+# Columns of the main extract.
 DASHBOARD = (
     "item_id", "store_id", "cat_id", "dept_id", "state_id", "abc_class", "xyz_class", "abc_xyz",
     "sell_price", "forecast_mean", "safety_stock", "EOQ", "ROP", "DOH", "turnover", "stockout_risk",
@@ -94,10 +95,10 @@ def count_of(df: DataFrame) -> DataFrame:
 
 def row_count_checks(
     series: DataFrame, dashboard: DataFrame, newsvendor: DataFrame, allocation: DataFrame, calendar: DataFrame,
-    n_scenarios: int, n_days: int, category: str = "FOODS",
+    sales: DataFrame, n_scenarios: int, category: str = "FOODS",
 ) -> DataFrame:
-    """Expected against actual sizes of the extracts."""
-    days = calendar.agg(F.lit(n_days).cast("bigint").alias("n"))
+    """Expected against actual sizes of the extracts; the calendar must have the days of the sales."""
+    days = sales.agg(F.countDistinct("date").alias("n"))
     ab = dashboard.where(F.col("abc_class").isin("A", "B")).agg((F.count(F.lit(1)) * n_scenarios).alias("n"))
     return union_all(
         [
@@ -110,23 +111,31 @@ def row_count_checks(
     )
 
 
-def orphan_ids(tables: dict[str, DataFrame], master: DataFrame, expected_stores: Sequence[str]) -> DataFrame:
-    """Items missing from the master and stores outside the expected ones, per table."""
-    items = master.select("item_id").distinct()
+def orphan_ids(tables: dict[str, DataFrame], master: DataFrame, stores: DataFrame) -> DataFrame:
+    """Items missing from the master and stores missing from the store dimension, per table."""
+    items, known_stores = master.select("item_id").distinct(), stores.select("store_id").distinct()
     found = []
     for name, df in tables.items():
         missing = df.select("item_id").distinct().join(items, "item_id", "left_anti")
-        stray = df.select("store_id").distinct().where(~F.col("store_id").isin(*expected_stores))
+        stray = df.select("store_id").distinct().join(known_stores, "store_id", "left_anti")
         for kind, ids, column in (("unknown_item", missing, "item_id"), ("unexpected_store", stray, "store_id")):
             found.append(ids.select(F.lit(name).alias("table_name"), F.lit(kind).alias("problem"), F.col(column).alias("id")))
     return union_all(found)
 
 
 def report(tables: dict[str, DataFrame], checks: DataFrame, orphans: DataFrame) -> DataFrame:
-    """One row per rule with the number of findings."""
-    nulls = union_all([null_counts(df, t) for t, df in tables.items()]).agg(F.sum("n_null").alias("findings"))
-    guarded = {t: df for t, df in tables.items() if set(df.columns) & set(NON_NEGATIVE)}
-    negatives = union_all([negative_counts(df, t) for t, df in guarded.items()]).agg(F.sum("n_clipped").alias("findings"))
+    """One row per rule with the number of findings; each table is read once for NULLs and negative values together."""
+    count = lambda conditions: F.coalesce(F.sum(sum((c.cast("bigint") for c in conditions), F.lit(0))), F.lit(0))
+    found = union_all(
+        [
+            df.agg(
+                count([F.col(c).isNull() for c in df.columns]).alias("nulls"),
+                count([F.coalesce(F.col(c) < 0, F.lit(False)) for c in df.columns if c in NON_NEGATIVE]).alias("negatives"),
+            )
+            for df in tables.values()
+        ]
+    )
+    nulls, negatives = (found.agg(F.sum(c).alias("findings")) for c in ("nulls", "negatives"))
     spaces = checks.agg(F.lit(sum(" " in c for df in tables.values() for c in df.columns)).cast("bigint").alias("findings"))
     failed = checks.agg(F.sum((F.col("ok") == 0).cast("bigint")).alias("findings"))
     strays = orphans.agg(F.count(F.lit(1)).alias("findings"))

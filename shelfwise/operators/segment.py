@@ -17,17 +17,19 @@ def daily_revenue(sales_long: DataFrame) -> DataFrame:
     return sales_long.withColumn("revenue_cents", value)
 
 
-def demand_panel(sales_long: DataFrame, first, days: int) -> DataFrame:
-    """Sum demand and revenue into periods of ``days`` days counted from ``first``.
+def demand_panel(sales_long: DataFrame, first, cutoff, days: int) -> DataFrame:
+    """Sum demand and revenue into periods of ``days`` days laid in both directions from the cutoff.
 
-    Daily rows are their own periods, so they pass through without a shuffle.
+    No period holds days of both sides. A first period that begins before ``first`` is incomplete and left out: its
+    total is no period's demand. Daily rows are their own periods, so they pass through without a shuffle.
     """
     daily = daily_revenue(sales_long)
     if days == 1:
         return daily.select("item_id", "store_id", "date", "units_sold", "revenue_cents")
-    period = F.floor(F.datediff("date", F.lit(first)) / days).cast("int")
-    start = F.date_add(F.lit(first), period * days)
-    return daily.groupBy("item_id", "store_id", start.alias("date")).agg(
+    period = F.floor((F.datediff("date", F.lit(cutoff)) - 1) / days).cast("int")
+    start = F.date_add(F.lit(cutoff), period * days + 1)
+    whole = daily.withColumn("date", start).where(F.col("date") >= F.lit(first))
+    return whole.groupBy("item_id", "store_id", "date").agg(
         F.sum("units_sold").alias("units_sold"), F.sum("revenue_cents").alias("revenue_cents")
     )
 

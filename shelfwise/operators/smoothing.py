@@ -85,7 +85,7 @@ def ets_forecast(
             yield pd.Series(out)
 
     fit_udf = F.pandas_udf(fit, "array<double>")
-    since = cutoff - dt.timedelta(days=(grain.recent - 1) * grain.days)
+    since = cutoff - dt.timedelta(days=grain.recent * grain.days - 1)
     chosen = labels.where(F.col("abc_class").isin(*classes)).select(*key)
     recent = train.where(F.col("date") >= F.lit(since)).join(chosen, key, "left_semi")
     # At most `recent` values per series, so a collected list is bounded.
@@ -93,7 +93,8 @@ def ets_forecast(
         F.transform(F.sort_array(F.collect_list(F.struct("date", "units_sold"))), lambda r: r["units_sold"].cast("double")).alias("y")
     )
     fitted = histories.where(F.size("y") >= 2 * season).select(*key, fit_udf("y").alias("ahead"))
-    step = (F.datediff("date", F.lit(cutoff)) / grain.days).cast("int")
+    # Periods are dated by their first day, which for the first one is the day after the cutoff.
+    step = F.floor((F.datediff("date", F.lit(cutoff)) - 1) / grain.days + 1).cast("int")
     return (
         val.select(*key, "date", step.alias("step"))
         .join(fitted, key)

@@ -29,6 +29,8 @@ def summary_document(
     improvement: DataFrame,
     insight: DataFrame,
     params: PolicyParams,
+    tree_metrics: DataFrame,
+    tree_improvement: DataFrame,
 ) -> DataFrame:
     """Seven sections as nested structs, rendered to one JSON string."""
     dataset = dashboard.agg(
@@ -44,6 +46,9 @@ def summary_document(
         tidy(F.sum("annual_saving"), 2).alias("total_annual_saving"),
         tidy(100.0 * F.sum("annual_saving") / F.sum("naive_total_cost"), 1).alias("pct_cost_reduction"),
         tidy(F.sum("ss_holding_cost"), 2).alias("total_annual_ss_holding_cost"),
+        tidy(F.sum("total_annual_cost_naive"), 2).alias("order_size_naive_cost"),
+        tidy(F.sum("total_annual_cost_EOQ"), 2).alias("order_size_optimized_cost"),
+        tidy(100.0 * (1 - F.sum("total_annual_cost_EOQ") / F.sum("total_annual_cost_naive")), 1).alias("order_size_pct_reduction"),
     )
     vendor = newsvendor.agg(
         F.count(F.lit(1)).alias("n_item_store_combinations"),
@@ -61,11 +66,15 @@ def summary_document(
     )
     rmse = {
         model: _map_of(comparison.where(F.col("Model") == model), "Category", F.first("RMSE"))
-        for model in ("Seasonal Naive", "Croston SBA (Z-class)")
+        for model in ("Seasonal Naive", "ETS", "Croston SBA (Z-class)")
     }
+    tree_rmse = tree_metrics.where(F.col("Metric") == "RMSE")
     forecasting = F.struct(
         rmse["Seasonal Naive"].alias("seasonal_naive_rmse_by_category"),
+        rmse["ETS"].alias("ets_rmse_by_category"),
         rmse["Croston SBA (Z-class)"].alias("croston_rmse_by_category"),
+        _map_of(tree_rmse, "Category", tidy(F.first("GBT"), 4)).alias("trees_rmse_by_category"),
+        _map_of(tree_improvement, "scope", tidy(F.first("improvement_pct"), 1)).alias("trees_pct_improvement"),
         _map_of(improvement, "scope", tidy(F.first("improvement_pct"), 1)).alias("croston_pct_improvement"),
         _section(coverage).alias("coverage"),
     )
@@ -93,3 +102,45 @@ def summary_document(
     )
     one_row = dashboard.agg(F.count(F.lit(1)).alias("n"))
     return one_row.select(F.to_json(document).alias("document"))
+
+
+def summary_values(
+    dashboard: DataFrame, costs: DataFrame, newsvendor: DataFrame, comparison: DataFrame, improvement: DataFrame
+) -> DataFrame:
+    """Rows (section, key, value) of the document's figures that need no trees."""
+
+    def rows(df: DataFrame, section: str, key: Column, value: Column) -> DataFrame:
+        return df.select(F.lit(section).alias("section"), key.cast("string").alias("key"), value.cast("double").alias("value"))
+
+    def figures(df: DataFrame, section: str, values: dict[str, Column]) -> DataFrame:
+        sums = df.agg(*[v.cast("double").alias(k) for k, v in values.items()])
+        pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).alias("value")) for k in values]))
+        return sums.select(F.lit(section).alias("section"), pairs.alias("e")).select("section", "e.key", "e.value")
+
+    def grouped(df: DataFrame, section: str, by: str, value: Column) -> DataFrame:
+        return rows(df.groupBy(by).agg(value.alias("value")), section, F.col(by), F.col("value"))
+
+    total = lambda c: tidy(F.sum(c), 2)
+    share = lambda top, bottom: tidy(100.0 * (1 - F.sum(top) / F.sum(bottom)), 1)
+    parts = [
+        figures(costs, "cost_totals", {
+            "naive": total("naive_total_cost"), "optimized": total("optimized_total_cost"), "saving": total("annual_saving"),
+            "pct_reduction": tidy(100.0 * F.sum("annual_saving") / F.sum("naive_total_cost"), 1), "safety_stock_holding": total("ss_holding_cost"),
+        }),
+        figures(costs, "order_size_only", {
+            "naive": total("total_annual_cost_naive"), "optimized": total("total_annual_cost_EOQ"),
+            "pct_reduction": share("total_annual_cost_EOQ", "total_annual_cost_naive"),
+        }),
+        figures(newsvendor, "newsvendor", {
+            "n_series": F.count(F.lit(1)), "mean_critical_ratio": tidy(F.avg("CR"), 4), "mean_order": tidy(F.avg("Q_star"), 2), "gain": total("profit_improvement"),
+        }),
+        grouped(costs, "saving_by_category", "cat_id", total("annual_saving")),
+        grouped(dashboard, "safety_stock_by_class", "abc_class", tidy(F.avg("safety_stock"), 2)),
+        *[grouped(dashboard, f"{c}_by_category", "cat_id", tidy(F.avg(c), 2)) for c in ("EOQ", "DOH", "turnover")],
+        rows(comparison, "rmse", F.concat_ws(" / ", "Model", "Category"), F.col("RMSE")),
+        rows(improvement, "croston_improvement", F.col("scope"), tidy(F.col("improvement_pct"), 1)),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, functions as F
 from shelfwise.functions.scalars import clip_low
 from shelfwise.operators.features import feature_columns
 from shelfwise.params import DAY, TimeGrain
+from shelfwise.session import materialize
 
 SEED = 42
+FIRST_ROUNDS, MOST_ROUNDS, PATIENCE, LEAST_GAIN = 16, 1000, 4, 0.02  # the holdout ends the fit, the ceiling hardly ever
 NULLABLE = ("sell_price", "price_change", "price_vs_mean")
 
 
@@ -25,14 +27,16 @@ def train_trees(
     features: DataFrame,
     cutoff: dt.date,
     grain: TimeGrain = DAY,
-    rounds: int = 60,
+    most_rounds: int = MOST_ROUNDS,
+    patience: int = PATIENCE,
     depth: int = 6,
     loss: str = "absolute",
 ) -> PipelineModel:
     """Fit on rows up to the cutoff.
 
-    The last horizon *inside* training decides when to stop, so the scored rows are never
-    seen. Trees need complete vectors, so missing prices and deviations take the median.
+    The last horizon *inside* training decides when to stop: boosting goes on, doubling the rounds, until
+    the last ``patience`` rounds have lowered the holdout error by less than ``LEAST_GAIN`` of it, and the best number of rounds is kept. (The learner's
+    own validation stops at the first round that does not help.) The scored rows are never seen. Trees need complete vectors, so missing prices and deviations take the median.
     """
     columns = feature_columns(grain)
     holdout = cutoff - dt.timedelta(days=grain.horizon * grain.days)
@@ -40,24 +44,29 @@ def train_trees(
         *columns, F.col("units_sold").alias("label"), (F.col("date") > F.lit(holdout)).alias("is_holdout")
     )
     nullable = [*NULLABLE, *[f"roll_std_{n}" for n in grain.rolling]]
-    stages = [
-        Imputer(inputCols=nullable, outputCols=[f"{c}_full" for c in nullable], strategy="median"),
-        VectorAssembler(
-            inputCols=[f"{c}_full" if c in nullable else c for c in columns], outputCol="features"
-        ),
-        GBTRegressor(
-            maxIter=rounds,
-            maxDepth=depth,
-            stepSize=0.05,
-            lossType=loss,
-            subsamplingRate=0.8,
-            featureSubsetStrategy="0.8",
-            minInstancesPerNode=20,
-            validationIndicatorCol="is_holdout",
-            seed=SEED,
-        ),
-    ]
-    return Pipeline(stages=stages).fit(rows)
+    nulls = Imputer(inputCols=nullable, outputCols=[f"{c}_full" for c in nullable], strategy="median")
+    vectors = VectorAssembler(inputCols=[f"{c}_full" if c in nullable else c for c in columns], outputCol="features")
+    prepared = Pipeline(stages=[nulls, vectors]).fit(rows)
+    ready = materialize(prepared.transform(rows).select("features", "label", "is_holdout"), "tree-rows")
+    learned, held = ready.where("not is_holdout"), ready.where("is_holdout")
+
+    def boosted(rounds: int):
+        # The seed makes a shorter run the beginning of a longer one.
+        return GBTRegressor(
+            maxIter=rounds, maxDepth=depth, stepSize=0.05, lossType=loss, subsamplingRate=0.8, featureSubsetStrategy="0.8",
+            minInstancesPerNode=20, seed=SEED,
+        ).fit(learned)
+
+    rounds = min(FIRST_ROUNDS, most_rounds)
+    while True:
+        model = boosted(rounds)
+        errors = model.evaluateEachIteration(held, loss)
+        best = min(range(len(errors)), key=errors.__getitem__) + 1
+        gained = min(errors[:-patience], default=float("inf")) - min(errors)
+        if gained <= LEAST_GAIN * min(errors) or rounds >= most_rounds:
+            break
+        rounds = min(2 * rounds, most_rounds)
+    return PipelineModel(stages=[*prepared.stages, model if best == rounds else boosted(best)])
 
 
 def tree_forecasts(

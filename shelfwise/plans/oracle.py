@@ -18,8 +18,8 @@ Z90, Z95, Z98 = 1.2815515655446008, 1.6448536269514715, 2.053748910631822
 
 
 def r(expr: str, digits: int = 4) -> str:
-    """Half-up rounding of a double whose float noise was dropped first."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(38, {digits + 4})), {digits}) AS DOUBLE)"
+    """Half-up rounding of a double; noise eight places further down is dropped first."""
+    return f"CAST(round(CAST({expr} AS DECIMAL(38, {digits + 8})), {digits}) AS DOUBLE)"
 
 
 def d(value: float) -> str:
@@ -92,10 +92,10 @@ for _g, _item in (("b", "p_brand"), ("f", "p_type || '_' || p_brand")):
         LEFT JOIN price_{_g} p ON p.item_id = s.item_id AND p.store_id = s.store_id AND p.wm_yr_wk = c.wm_yr_wk"""
     for _t, _days in (("d", 1), ("w", 7)):
         _PARTS[f"panel_{_g}{_t}"] = f"""
-            SELECT item_id, store_id, cat_id, bounds.lo + {_days} * CAST(floor(date_diff('day', bounds.lo, date) / {_days}) AS INTEGER) AS date,
-                   CAST(SUM(units_sold) AS BIGINT) AS units_sold,
+            SELECT item_id, store_id, cat_id, start AS date, CAST(SUM(units_sold) AS BIGINT) AS units_sold,
                    SUM(units_sold * CAST(COALESCE(sell_price, 0) AS DECIMAL(12, 2))) AS revenue
-            FROM long_{_g} CROSS JOIN bounds GROUP BY 1, 2, 3, 4"""
+            FROM (SELECT *, cutoff + 1 + {_days} * CAST(floor((date_diff('day', cutoff, date) - 1) / {_days}) AS INTEGER) AS start FROM long_{_g} CROSS JOIN bounds)
+            WHERE start >= lo GROUP BY ALL"""
         _PARTS[f"totals_{_g}{_t}"] = f"""
             SELECT item_id, store_id, CAST(SUM(units_sold) AS BIGINT) AS sum_units,
                    SUM(CAST(units_sold AS DOUBLE) * units_sold) AS sum_squares, COUNT(*) AS n_periods,
@@ -138,8 +138,8 @@ ISO_WEEK = "CAST(weekofyear(date) AS INTEGER)"
 _FINAL["scan_pruned"] = "SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS units, CAST(l_shipdate AS DATE) AS date FROM lineitem"
 _FINAL["store_slice"] = "SELECT item_id, cat_id, state_id, date, wm_yr_wk, units_sold, sell_price FROM long_b WHERE store_id = 'AMERICA'"
 _FINAL["dataset_profile"] = " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, COUNT(*) AS n_rows, COUNT({c}) AS n_known, CAST(MIN({c}) AS VARCHAR) AS least, CAST(MAX({c}) AS VARCHAR) AS greatest FROM sales_b"
-    for c in ("item_id", "store_id", "date", "units_sold")
+    f"SELECT '{c}' AS column_name, '{t}' AS data_type, COUNT(*) AS n_rows, COUNT({c}) AS n_known, CAST(MIN({c}) AS VARCHAR) AS least, CAST(MAX({c}) AS VARCHAR) AS greatest FROM sales_b"
+    for c, t in (("item_id", "string"), ("store_id", "string"), ("date", "date"), ("units_sold", "bigint"))
 )
 _FINAL["dim_date"] = f"""SELECT date, d, wm_yr_wk, {DOW} AS day_of_week, {ISO_WEEK} AS week_of_year, month, year,
     event_name_1, event_type_1, event_name_2, event_type_2, snap_CA, snap_TX, snap_WI, {WEEKEND} AS is_weekend FROM cal"""
@@ -164,17 +164,18 @@ _FINAL["training_range"] = "SELECT MIN(date) AS training_start, MAX(date) AS tra
 
 # ---- reports -------------------------------------------------------------------------
 
-_PRICED = """FROM sales_f fs JOIN cal dd ON dd.date = fs.date JOIN items_f di ON di.item_id = fs.item_id
-    JOIN price_f fp ON fp.item_id = fs.item_id AND fp.store_id = fs.store_id AND fp.wm_yr_wk = dd.wm_yr_wk"""
-_FINAL["sales_by_category_month"] = f"""SELECT di.cat_id, dd.year, dd.month, CAST(SUM(fs.units_sold) AS BIGINT) AS total_units,
-    {r('SUM(fs.units_sold * fp.sell_price)', 2)} AS total_revenue {_PRICED} GROUP BY 1, 2, 3"""
+_PARTS["takings"] = """SELECT item_id, dept_id, cat_id, year, month, units_sold AS units, sell_price AS price, units_sold * CAST(round(sell_price * 100) AS BIGINT) AS cents
+    FROM long_f WHERE sell_price IS NOT NULL"""
+_FINAL["sales_by_category_month"] = f"""SELECT cat_id, year, month, CAST(SUM(units) AS BIGINT) AS total_units,
+    {r('SUM(cents) / 100', 2)} AS total_revenue FROM takings GROUP BY cat_id, year, month"""
 _FINAL["zero_sales_percentage"] = f"""SELECT item_id, store_id, COUNT(*) AS total_days,
     CAST(SUM(CASE WHEN units_sold = 0 THEN 1 ELSE 0 END) AS BIGINT) AS zero_days,
     {r('100.0 * SUM(CASE WHEN units_sold = 0 THEN 1 ELSE 0 END) / COUNT(*)', 2)} AS zero_percentage
     FROM sales_f GROUP BY 1, 2 ORDER BY zero_percentage DESC, item_id, store_id LIMIT 1000"""
-_FINAL["top_items_revenue"] = f"""SELECT di.item_id, di.dept_id, di.cat_id, CAST(SUM(fs.units_sold) AS BIGINT) AS total_units,
-    {r('AVG(fp.sell_price)', 2)} AS avg_price, {r('SUM(fs.units_sold * fp.sell_price)', 2)} AS total_revenue
-    {_PRICED} GROUP BY 1, 2, 3 ORDER BY total_revenue DESC, di.item_id LIMIT 20"""
+_PARTS["item_takings"] = """SELECT item_id, dept_id, cat_id, CAST(SUM(units) AS BIGINT) AS units, AVG(price) AS price, CAST(SUM(cents) AS DOUBLE) / 100 AS revenue
+    FROM takings GROUP BY ALL"""
+_FINAL["top_items_revenue"] = f"""SELECT item_id, dept_id, cat_id, units AS total_units, {r('price', 2)} AS avg_price, {r('revenue', 2)} AS total_revenue
+    FROM item_takings QUALIFY row_number() OVER (ORDER BY round(revenue, 2) DESC, item_id) <= 20"""
 _ON, _OFF = "AVG(CASE WHEN snap_CA = 1 THEN units_sold END)", "AVG(CASE WHEN snap_CA = 0 THEN units_sold END)"
 _FINAL["snap_impact"] = f"""SELECT dept_id, {r(_ON)} AS avg_sales_snap, {r(_OFF)} AS avg_sales_nonsnap,
     {r(f'100.0 * ({_ON} - {_OFF}) / {_OFF}', 2)} AS pct_uplift FROM long_f WHERE cat_id = 'FOODS' AND state_id = 'CA' GROUP BY 1"""
@@ -188,14 +189,17 @@ _FINAL["fc_mae_by_category"] = f"SELECT {CAT} AS category, {r('AVG(abs_error)')}
 _FINAL["fc_count_by_segment"] = "SELECT abc_xyz, COUNT(*) AS count FROM fact GROUP BY 1"
 _FINAL["fc_worst_series"] = f"""SELECT item_id, store_id, {r('avg_error')} AS avg_error FROM (SELECT item_id, store_id, AVG(abs_error) AS avg_error FROM fact GROUP BY 1, 2)
     ORDER BY 3 DESC, item_id, store_id LIMIT 10"""
-_FINAL["policy_avg_by_abc"] = f"""SELECT abc_class, {r('AVG(safety_stock)', 2)} AS avg_safety_stock, {r('AVG(ROP)', 2)} AS avg_ROP,
-    {r('AVG(turnover)', 2)} AS avg_turnover, {r('AVG(annual_saving_pct)', 2)} AS avg_saving_pct FROM costs GROUP BY 1"""
-_FINAL["risk_by_category"] = f"""SELECT cat_id, COUNT(*) AS total_items, CAST(SUM(stockout_risk) AS BIGINT) AS items_at_risk,
-    {r('100.0 * SUM(stockout_risk) / COUNT(*)', 1)} AS pct_at_risk FROM costs GROUP BY 1"""
-_FINAL["cost_by_category"] = f"""SELECT cat_id, {r('SUM(total_annual_cost_naive)', 2)} AS naive_total, {r('SUM(total_annual_cost_EOQ)', 2)} AS optimized_total,
-    {r('SUM(annual_saving)', 2)} AS total_saving, {r('100.0 * SUM(annual_saving) / SUM(total_annual_cost_naive)', 1)} AS saving_pct FROM costs GROUP BY 1"""
-_FINAL["newsvendor_summary"] = f"""SELECT {r('AVG(Q_star)', 2)} AS avg_newsvendor_qty, {r('AVG(EOQ)', 2)} AS avg_eoq_qty, {r('AVG(profit_improvement)')} AS avg_profit_improvement,
-    {r('AVG(100.0 * profit_improvement / NULLIF(ABS(expected_profit_eoq), 0))', 1)} AS avg_profit_improvement_pct FROM vendor"""
+_PARTS["by_abc"] = "SELECT abc_class, AVG(COLUMNS('^(safety_stock|ROP|turnover|annual_saving_pct)$')) AS 'mean_\\1' FROM costs GROUP BY ALL"
+_FINAL["policy_avg_by_abc"] = f"""SELECT abc_class, {r('mean_safety_stock', 2)} AS avg_safety_stock, {r('"mean_ROP"', 2)} AS "avg_ROP",
+    {r('mean_turnover', 2)} AS avg_turnover, {r('mean_annual_saving_pct', 2)} AS avg_saving_pct FROM by_abc"""
+_PARTS["by_category"] = """SELECT cat_id, COUNT(*) AS n, COUNT(*) FILTER (stockout_risk = 1) AS n_risk, SUM(total_annual_cost_naive) AS naive,
+    SUM(total_annual_cost_EOQ) AS optimized, SUM(annual_saving) AS saving FROM costs GROUP BY ALL"""
+_FINAL["risk_by_category"] = f"SELECT cat_id, n AS total_items, n_risk AS items_at_risk, {r('100.0 * n_risk / n', 1)} AS pct_at_risk FROM by_category"
+_FINAL["cost_by_category"] = f"""SELECT cat_id, {r('naive', 2)} AS naive_total, {r('optimized', 2)} AS optimized_total, {r('saving', 2)} AS total_saving,
+    {r('100.0 * saving / naive', 1)} AS saving_pct FROM by_category"""
+_PARTS["vendor_gain"] = "SELECT Q_star, EOQ, profit_improvement AS gain, CASE WHEN expected_profit_eoq <> 0 THEN 100.0 * profit_improvement / ABS(expected_profit_eoq) END AS gain_pct FROM vendor"
+_FINAL["newsvendor_summary"] = f"""SELECT {r('AVG(Q_star)', 2)} AS avg_newsvendor_qty, {r('AVG(EOQ)', 2)} AS avg_eoq_qty, {r('AVG(gain)')} AS avg_profit_improvement,
+    {r('AVG(gain_pct)', 1)} AS avg_profit_improvement_pct FROM vendor_gain"""
 _FINAL["lp_fill_rate"] = f"""SELECT scenario, {r('SUM(fulfilled) / SUM(demand_mean) * 100', 1)} AS fill_rate_pct, {r('SUM(budget_spent)', 2)} AS total_spent
     FROM alloc GROUP BY 1"""
 _FINAL["fact_row_counts"] = """SELECT 'fact_inventory_policy' AS table_name, COUNT(*) AS rows FROM costs UNION ALL SELECT 'fact_newsvendor', COUNT(*) FROM vendor
@@ -240,7 +244,7 @@ _FINAL["segment_method_map"] = """SELECT item_id, store_id, abc_xyz,
     CASE WHEN abc_xyz = 'CZ' THEN 'Simple ROP' WHEN xyz_class = 'Z' THEN 'Newsvendor (if FOODS)'
          ELSE 'EOQ + SS (' || CASE abc_class WHEN 'A' THEN '98' WHEN 'B' THEN '95' ELSE '90' END || '%)' END AS inventory_policy FROM labels_bw"""
 _FINAL["dq_label_coverage"] = f"""SELECT COUNT(*) AS n_rows, {r('100.0 * AVG(CAST(l.abc_class IS NOT NULL AS INTEGER))', 1)} AS pct_labelled
-    FROM sales_b s LEFT JOIN (SELECT * FROM labels_bw WHERE abc_class <> 'C') l ON l.item_id = s.item_id AND l.store_id = s.store_id"""
+    FROM sales_b s LEFT JOIN labels_bw l ON l.item_id = s.item_id AND l.store_id = s.store_id"""
 
 # ---- features ------------------------------------------------------------------------
 
@@ -322,27 +326,41 @@ _FINAL["seasonal_naive_weekly"] = "SELECT * FROM naive_w"
 _FINAL["croston_sba"] = f"SELECT item_id, store_id, n_periods, n_demands, {rs('demand_size, demand_interval, croston_sba', 6)} FROM cfit_d"
 _FINAL["zclass_series"] = "SELECT DISTINCT l.item_id, l.store_id FROM labels_bw l JOIN obs_b o ON o.item_id = l.item_id AND o.store_id = l.store_id WHERE xyz_class = 'Z'"
 _FINAL["croston_forecasts"] = f"SELECT item_id, store_id, date, actual, {r('croston_sba_forecast', 6)} AS croston_sba_forecast FROM croston_d"
-_PARTS["ets_lists"] = """SELECT s.item_id, s.store_id, list(CAST(s.units_sold AS DOUBLE) ORDER BY s.date) AS ys
-    FROM sales_b s JOIN labels_bd l ON l.item_id = s.item_id AND l.store_id = s.store_id CROSS JOIN bounds
-    WHERE l.abc_class IN ('A', 'B') AND s.date <= cutoff AND s.date > cutoff - 365 GROUP BY 1, 2"""
 _PARTS["ets_grid"] = f"""SELECT row_number() OVER (ORDER BY a, b, g) AS point, a, b, g FROM (SELECT unnest([{d(0.05)}, {d(0.2)}, {d(0.5)}]) AS a)
     CROSS JOIN (SELECT unnest([{d(0.0)}, {d(0.02)}, {d(0.1)}]) AS b) CROSS JOIN (SELECT unnest([{d(0.05)}, {d(0.2)}, {d(0.4)}]) AS g)"""
 _RAISED = "(a * (x.y - c.s0) + (1 - a) * (c.l + c.b))"
-_ETS_STEP = (
-    f"{{'y': x.y, 'l': {_RAISED}, 'b': b * ({_RAISED} - c.l) + (1 - b) * c.b, "
-    + ", ".join(f"'s{k}': c.s{k + 1}" for k in range(6))
-    + f", 's6': g * (x.y - {_RAISED}) + (1 - g) * c.s0, 'e': c.e + (x.y - (c.l + c.b + c.s0)) * (x.y - (c.l + c.b + c.s0))}}"
-)
 _ZERO = d(0.0)
-_ETS_BLANK = f"{{'y': v, 'l': {_ZERO}, 'b': {_ZERO}, " + ", ".join(f"'s{k}': {_ZERO}" for k in range(7)) + f", 'e': {_ZERO}}}"
-_ETS_START = f"{{'y': {_ZERO}, 'l': f, 'b': (f2 - f) / 7, " + ", ".join(f"'s{k}': ys[{k + 1}] - f" for k in range(7)) + f", 'e': {_ZERO}}}"
-_PARTS["ets_fit"] = f"""SELECT item_id, store_id, point, list_reduce(list_concat([{_ETS_START}], list_transform(ys[8:], lambda v: {_ETS_BLANK})), lambda c, x: {_ETS_STEP}) AS st
-    FROM (SELECT *, list_sum(ys[1:7]) / 7 AS f, list_sum(ys[8:14]) / 7 AS f2 FROM ets_lists) CROSS JOIN ets_grid"""
-_PARTS["ets_best"] = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item_id, store_id ORDER BY st.e, point) AS pick FROM ets_fit) WHERE pick = 1"
-_FINAL["ets_forecast"] = f"""SELECT item_id, store_id, date, {r('greatest(st.l + st.b * h + [' + ', '.join(f'st.s{k}' for k in range(7)) + '][(h - 1) % 7 + 1], 0)')} AS ets_forecast
-    FROM (SELECT e.*, cal.date, date_diff('day', cutoff, cal.date) AS h FROM ets_best e CROSS JOIN cal CROSS JOIN bounds WHERE cal.date > cutoff)"""
-_PARTS["base"] = f"""SELECT v.item_id, v.store_id, v.date, v.cat_id, v.units_sold AS actual, n.seasonal_naive_forecast, n.seasonal_naive_forecast AS ets_forecast
-    FROM panel_bw v JOIN naive_w n ON n.item_id = v.item_id AND n.store_id = v.store_id AND n.date = v.date"""
+
+
+def _ets(grain: str, season: int, recent: int, days: int) -> None:
+    """Smoothing of one time grain: the recursion over the ordered history at every point of the grid, then the best point."""
+    span = range(season)
+    blank = f"{{'y': v, 'l': {_ZERO}, 'b': {_ZERO}, " + ", ".join(f"'s{k}': {_ZERO}" for k in span) + f", 'e': {_ZERO}}}"
+    start = f"{{'y': {_ZERO}, 'l': f, 'b': (f2 - f) / {season}, " + ", ".join(f"'s{k}': ys[{k + 1}] - f" for k in span) + f", 'e': {_ZERO}}}"
+    step = (
+        f"{{'y': x.y, 'l': {_RAISED}, 'b': b * ({_RAISED} - c.l) + (1 - b) * c.b, "
+        + "".join(f"'s{k}': c.s{k + 1}, " for k in range(season - 1))
+        + f"'s{season - 1}': g * (x.y - {_RAISED}) + (1 - g) * c.s0, 'e': c.e + (x.y - (c.l + c.b + c.s0)) * (x.y - (c.l + c.b + c.s0))}}"
+    )
+    wave = ", ".join(f"st.s{k}" for k in span)
+    _PARTS[f"ets_lists_{grain}"] = f"""SELECT s.item_id, s.store_id, list(CAST(s.units_sold AS DOUBLE) ORDER BY s.date) AS ys
+        FROM panel_b{grain} s JOIN labels_b{grain} l ON l.item_id = s.item_id AND l.store_id = s.store_id CROSS JOIN bounds
+        WHERE l.abc_class IN ('A', 'B') AND s.date <= cutoff AND s.date > cutoff - {recent * days} GROUP BY 1, 2"""
+    _PARTS[f"ets_fit_{grain}"] = f"""SELECT item_id, store_id, point, list_reduce(list_concat([{start}], list_transform(ys[{season + 1}:], lambda v: {blank})), lambda c, x: {step}) AS st
+        FROM (SELECT *, list_sum(ys[1:{season}]) / {season} AS f, list_sum(ys[{season + 1}:{2 * season}]) / {season} AS f2 FROM ets_lists_{grain} WHERE len(ys) >= {2 * season}) CROSS JOIN ets_grid"""
+    _PARTS[f"ets_best_{grain}"] = f"SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item_id, store_id ORDER BY st.e, point) AS pick FROM ets_fit_{grain}) WHERE pick = 1"
+    _PARTS[f"ets_{grain}"] = f"""SELECT item_id, store_id, date, greatest(st.l + st.b * h + [{wave}][(h - 1) % {season} + 1], 0) AS ets_forecast
+        FROM (SELECT e.*, v.date, (date_diff('day', cutoff, v.date) - 1) // {days} + 1 AS h
+              FROM ets_best_{grain} e CROSS JOIN (SELECT DISTINCT date FROM panel_b{grain}) v CROSS JOIN bounds WHERE v.date > cutoff)"""
+    _PARTS[f"base_{grain}"] = f"""SELECT v.item_id, v.store_id, v.date, v.cat_id, v.units_sold AS actual, n.seasonal_naive_forecast,
+               greatest(COALESCE(e.ets_forecast, n.seasonal_naive_forecast), 0) AS ets_forecast
+        FROM panel_b{grain} v JOIN naive_{grain} n ON n.item_id = v.item_id AND n.store_id = v.store_id AND n.date = v.date
+        LEFT JOIN ets_{grain} e ON e.item_id = v.item_id AND e.store_id = v.store_id AND e.date = v.date"""
+
+
+_ets("d", 7, 365, 1)
+_ets("w", 4, 52, 7)
+_FINAL["ets_forecast"] = f"SELECT item_id, store_id, date, {r('ets_forecast')} AS ets_forecast FROM ets_d"
 _PARTS["z_rows"] = f"""SELECT c.*, n.seasonal_naive_forecast, {CAT.replace('item_id', 'c.item_id')} AS cat_id
     FROM croston_w c JOIN naive_w n ON n.item_id = c.item_id AND n.store_id = c.store_id AND n.date = c.date"""
 
@@ -373,32 +391,46 @@ def _wide(table: str, model: str, f: str, metrics=_ALL) -> str:
     return f"SELECT cat_id AS Category, '{model}' AS Model, {values} FROM {table} GROUP BY cat_id"
 
 
-_FINAL["accuracy_by_category"] = _long("base", {"Seasonal Naive": "seasonal_naive_forecast", "ETS": "ets_forecast"}, _ALL)
+_FINAL["accuracy_by_category"] = _long("base_w", {"Seasonal Naive": "seasonal_naive_forecast", "ETS": "ets_forecast"}, _ALL)
 _PARTS["comparison"] = " UNION ALL ".join(
     (
-        _wide("base", "Seasonal Naive", "seasonal_naive_forecast"),
-        _wide("base", "ETS", "ets_forecast"),
+        _wide("base_w", "Seasonal Naive", "seasonal_naive_forecast"),
+        _wide("base_w", "ETS", "ets_forecast"),
         _wide("z_rows", "Croston SBA (Z-class)", "croston_sba_forecast", ("RMSE", "MAE", "Bias")),
     )
 )
 _FINAL["model_comparison"] = "SELECT * FROM comparison"
 _FINAL["metric_display"] = "SELECT Category, Model, RMSE, MAE, Bias, CASE WHEN MAPE IS NULL THEN 'N/A (intermittent)' ELSE printf('%.2f', MAPE) END AS MAPE FROM comparison"
 _PARTS["rmses"] = f"""SELECT cat_id AS scope, {_metric('RMSE', 'seasonal_naive_forecast')} AS base_rmse, {_metric('RMSE', 'croston_sba_forecast')} AS model_rmse FROM z_rows GROUP BY 1"""
-_FINAL["improvement_pct"] = f"""SELECT scope, {rs('base_rmse, model_rmse')}, {r('(base_rmse - model_rmse) / base_rmse * 100')} AS improvement_pct FROM (
+_PARTS["improvements"] = f"""SELECT *, (base_rmse - model_rmse) / base_rmse * 100 AS improvement_pct FROM (
     SELECT * FROM rmses UNION ALL
     SELECT 'POOLED', {_metric('RMSE', 'seasonal_naive_forecast')}, {_metric('RMSE', 'croston_sba_forecast')} FROM z_rows UNION ALL
     SELECT 'MEAN_OF_CATEGORIES', AVG(base_rmse), AVG(model_rmse) FROM rmses)"""
+_FINAL["improvement_pct"] = f"SELECT scope, {rs('base_rmse, model_rmse, improvement_pct')} FROM improvements"
 _PARTS["fact"] = """SELECT *, best_forecast - actual_units AS forecast_error, ABS(best_forecast - actual_units) AS abs_error FROM (
     SELECT b.item_id, b.store_id, b.date, b.actual AS actual_units, b.seasonal_naive_forecast, b.ets_forecast, c.croston_sba_forecast AS croston_forecast,
            CAST(NULL AS DOUBLE) AS gbt_forecast, l.abc_class, l.xyz_class, l.abc_xyz,
            CASE WHEN l.xyz_class = 'Z' AND c.croston_sba_forecast IS NOT NULL THEN c.croston_sba_forecast ELSE b.seasonal_naive_forecast END AS best_forecast,
            CASE WHEN l.xyz_class = 'Z' AND c.croston_sba_forecast IS NOT NULL THEN 'Croston_SBA' ELSE 'Seasonal_Naive' END AS best_model_used
-    FROM base b LEFT JOIN croston_w c ON c.item_id = b.item_id AND c.store_id = b.store_id AND c.date = b.date
+    FROM base_w b LEFT JOIN croston_w c ON c.item_id = b.item_id AND c.store_id = b.store_id AND c.date = b.date
     LEFT JOIN labels_bw l ON l.item_id = b.item_id AND l.store_id = b.store_id)"""
 _FORECASTS = "seasonal_naive_forecast, ets_forecast, croston_forecast, gbt_forecast"
 _FINAL["forecast_wide"] = f"SELECT item_id, store_id, date, actual_units, {rs(_FORECASTS)} FROM fact"
 _FINAL["best_forecast"] = f"SELECT item_id, store_id, date, abc_xyz, {r('best_forecast')} AS best_forecast, best_model_used FROM fact"
 _FINAL["fact_forecasts"] = f"SELECT item_id, store_id, date, actual_units, {rs(_FORECASTS + ', best_forecast, forecast_error, abs_error')}, abc_class, xyz_class, abc_xyz FROM fact"
+_PARTS["cfit_bd"], _PARTS["croston_bd"] = _croston("panel_bd", 1), _croston_rows("panel_bd", "cfit_bd", "labels_bd")
+_PARTS["featured_days"] = "SELECT item_id, store_id, date FROM (SELECT *, LAG(units_sold, 364) OVER (PARTITION BY item_id, store_id ORDER BY date) AS oldest FROM sales_b) WHERE oldest IS NOT NULL"
+_PARTS["all_models"] = """SELECT b.*, c.croston_sba_forecast, l.abc_class, l.xyz_class, l.abc_xyz, f.date IS NOT NULL AS has_trees
+    FROM base_d b LEFT JOIN croston_bd c ON c.item_id = b.item_id AND c.store_id = b.store_id AND c.date = b.date
+    LEFT JOIN labels_bd l ON l.item_id = b.item_id AND l.store_id = b.store_id
+    LEFT JOIN featured_days f ON f.item_id = b.item_id AND f.store_id = b.store_id AND f.date = b.date"""
+_FINAL["fact_forecasts_all"] = f"""SELECT item_id, store_id, date, actual AS actual_units, {rs('seasonal_naive_forecast, ets_forecast')}, {r('croston_sba_forecast')} AS croston_forecast,
+    CAST(has_trees AS INTEGER) AS has_trees, 1 AS error_fits, 1 AS abs_error_fits, abc_class, xyz_class, abc_xyz FROM all_models"""
+_FINAL["best_forecast_all"] = """SELECT item_id, store_id, date, abc_xyz,
+    CASE WHEN xyz_class = 'Z' AND croston_sba_forecast IS NOT NULL THEN 'Croston_SBA' WHEN has_trees THEN 'GBT' ELSE 'Seasonal_Naive' END AS best_model_used, 1 AS is_chosen FROM all_models"""
+_FINAL["gbt_forecast_check"] = "SELECT item_id, store_id, date, cat_id, abc_xyz, actual, 1 AS is_finite, 1 AS is_not_negative FROM all_models WHERE has_trees"
+_FINAL["gbt_beats_naive"] = "SELECT scope, 1 AS improves FROM (VALUES ('FOODS'), ('HOBBIES'), ('HOUSEHOLD'), ('POOLED'), ('MEAN_OF_CATEGORIES')) s(scope)"
+_FINAL["gbt_importance_check"] = "SELECT CAST(unnest(range(1, 16)) AS INTEGER) AS place, 1 AS is_input, 1 AS is_not_negative, 1 AS is_ordered"
 _PARTS["errors"] = """SELECT item_id, store_id, AVG(best_forecast) AS forecast_mean, AVG(actual_units) AS actual_mean, AVG(actual_units - best_forecast) AS forecast_bias,
     COALESCE(STDDEV_SAMP(actual_units - best_forecast), 0) AS forecast_error_std, SQRT(AVG((actual_units - best_forecast) * (actual_units - best_forecast))) AS forecast_rmse,
     CASE WHEN AVG(actual_units) > 0 THEN COALESCE(STDDEV_SAMP(actual_units), 0) / AVG(actual_units) ELSE 0 END AS cv_actual, MIN(best_model_used) AS best_model_used
@@ -561,27 +593,36 @@ _FINAL["dq_fill_nulls"] = "SELECT item_id, store_id, date, actual_units, " + ",
     f"COALESCE({r(c)}, 0) AS {c}" for c in (_FORECASTS + ", best_forecast, forecast_error, abs_error").split(", ")
 ) + ", abc_class, xyz_class, abc_xyz FROM fact"
 _FACT_COLS = "item_id, store_id, date, actual_units, " + _FORECASTS + ", best_forecast, forecast_error, abs_error, abc_class, xyz_class, abc_xyz"
+_ALLOC_COLS = "item_id, store_id, abc_class, scenario, order_qty, fulfilled, demand_mean, sell_price, budget_spent"
+_CAL_COLS = "date, wm_yr_wk, weekday, wday, month, year, d, event_name_1, event_type_1, event_name_2, event_type_2, snap_CA, snap_TX, snap_WI"
 _LONG_COLS = "item_id, dept_id, cat_id, store_id, state_id, date, wm_yr_wk, weekday, wday, month, year, d, event_name_1, event_type_1, event_name_2, event_type_2, snap_CA, snap_TX, snap_WI, units_sold, sell_price"
 _FINAL["dq_null_counts"] = " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, '{c}' AS column_name, COUNT(*) - COUNT({c}) AS n_null FROM {table}"
-    for name, table, cols in (("fact_forecasts", "fact", _FACT_COLS), ("sales_long", "long_b", _LONG_COLS))
+    for name, table, cols in (
+        ("fact_forecasts", "fact", _FACT_COLS), ("policy", "costs", _TEXT + ", " + _INV_NUM + ", stockout_risk, best_model_used"), ("newsvendor", "vendor", "item_id, store_id, cat_id, " + _NV_NUM),
+        ("allocation", "alloc", _ALLOC_COLS), ("calendar", "cal", _CAL_COLS), ("sales_long", "long_b", _LONG_COLS),
+    )
     for c in cols.split(", ")
 )
-_FINAL["dq_clip_negative"] = "SELECT item_id, store_id, " + ", ".join(f"{r(f'greatest({c}, 0)', 3)} AS {c}" for c in ("safety_stock", "ROP", "annual_saving")) + " FROM costs"
 _GUARDED = ("safety_stock", "EOQ", "ROP", "DOH", "turnover", "annual_saving")
-_FINAL["dq_clip_counts"] = " UNION ALL ".join(f"SELECT 'policy' AS table_name, '{c}' AS column_name, COUNT(*) FILTER ({c} < 0) AS n_clipped FROM costs" for c in _GUARDED)
+_FINAL["dq_clip_negative"] = "SELECT item_id, store_id, " + ", ".join(f"{r(f'greatest({c}, 0)', 3)} AS {c}" for c in _GUARDED) + " FROM costs"
+_FINAL["dq_clip_counts"] = " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, '{c}' AS column_name, COUNT(*) FILTER ({c} < 0) AS n_clipped FROM {t}"
+    for n, t, cols in (("policy", "costs", _GUARDED), ("newsvendor", "vendor", ("Q_star", "EOQ")), ("allocation", "alloc", ("order_qty", "fulfilled")))
+    for c in cols
+)
 _FINAL["dq_clean_columns"] = _long("z_rows", {"Croston_SBA": "croston_sba_forecast", "Seasonal_Naive": "seasonal_naive_forecast"}, ("RMSE", "MAE", "Bias"))
 _PARTS["checks"] = """SELECT check_name, expected, actual, CAST(ABS(expected - actual) <= tolerance AS INTEGER) AS ok FROM (
     SELECT 'dashboard_is_series' AS check_name, (SELECT COUNT(*) FROM labels_bw) AS expected, (SELECT COUNT(*) FROM costs) AS actual, 0 AS tolerance
     UNION ALL SELECT 'newsvendor_is_perishable', (SELECT COUNT(*) FROM costs WHERE cat_id = 'FOODS'), (SELECT COUNT(*) FROM vendor), 0
     UNION ALL SELECT 'newsvendor_only_perishable', 0, (SELECT COUNT(*) FROM vendor WHERE cat_id <> 'FOODS'), 0
     UNION ALL SELECT 'allocation_is_scenarios_times_ab', (SELECT 3 * COUNT(*) FROM costs WHERE abc_class IN ('A', 'B')), (SELECT COUNT(*) FROM alloc), 0
-    UNION ALL SELECT 'calendar_days', (SELECT date_diff('day', lo, hi) + 1 FROM bounds), (SELECT COUNT(*) FROM cal), 5)"""
+    UNION ALL SELECT 'calendar_days', (SELECT COUNT(DISTINCT date) FROM sales_b), (SELECT COUNT(*) FROM cal), 5)"""
 _FINAL["dq_row_counts"] = "SELECT * FROM checks"
 _PARTS["orphans"] = " UNION ALL ".join(
-    f"""SELECT '{n}' AS table_name, 'unknown_item' AS problem, item_id AS id FROM (SELECT DISTINCT item_id FROM {t} WHERE item_id NOT IN (SELECT item_id FROM vendor))
-    UNION ALL SELECT '{n}', 'unexpected_store', store_id FROM (SELECT DISTINCT store_id FROM {t} WHERE store_id NOT IN ('AMERICA', 'EUROPE'))"""
-    for n, t in (("dashboard", "costs"), ("newsvendor", "vendor"), ("allocation", "alloc"))
+    f"""SELECT '{n}' AS table_name, 'unknown_item' AS problem, item_id AS id FROM (SELECT DISTINCT item_id FROM {t} WHERE item_id NOT IN (SELECT item_id FROM costs))
+    UNION ALL SELECT '{n}', 'unexpected_store', store_id FROM (SELECT DISTINCT store_id FROM {t} WHERE store_id NOT IN (SELECT r_name FROM region))"""
+    for n, t in (("policy", "costs"), ("newsvendor", "vendor"), ("allocation", "alloc"), ("fact_forecasts", "fact"))
 )
 _FINAL["dq_orphan_ids"] = "SELECT * FROM orphans"
 
@@ -594,8 +635,9 @@ def _negatives(table: str, columns) -> str:
     return "(SELECT " + " + ".join(f"COUNT(*) FILTER ({c} < 0)" for c in columns) + f" FROM {table})"
 
 
-_FINAL["dq_report"] = f"""SELECT 'null_values' AS rule, {_nulls('fact', _FACT_COLS)} + {_nulls('costs', _TEXT + ', ' + _INV_NUM)} + {_nulls('vendor', _NV_NUM)} AS findings
-    UNION ALL SELECT 'negative_values', {_negatives('costs', _GUARDED)} + {_negatives('vendor', ('EOQ', 'Q_star'))}
+_FINAL["dq_report"] = f"""SELECT 'null_values' AS rule, {_nulls('fact', _FACT_COLS)} + {_nulls('costs', _TEXT + ', ' + _INV_NUM)} + {_nulls('vendor', _NV_NUM)}
+        + {_nulls('alloc', _ALLOC_COLS)} + {_nulls('cal', _CAL_COLS)} AS findings
+    UNION ALL SELECT 'negative_values', {_negatives('costs', _GUARDED)} + {_negatives('vendor', ('EOQ', 'Q_star'))} + {_negatives('alloc', ('order_qty', 'fulfilled'))}
     UNION ALL SELECT 'column_names', 0
     UNION ALL SELECT 'row_counts', (SELECT COUNT(*) FROM checks WHERE ok = 0)
     UNION ALL SELECT 'id_consistency', (SELECT COUNT(*) FROM orphans)"""
@@ -652,3 +694,45 @@ _FINAL["inventory_stats"] = f"""SELECT 'n_with_safety_stock' AS section, 'ALL' A
     UNION ALL SELECT 'avg_doh_by_category', cat_id, {r('AVG(DOH)', 2)} FROM dash GROUP BY cat_id
     UNION ALL SELECT 'avg_turnover_by_category', cat_id, {r('AVG(turnover)', 2)} FROM dash GROUP BY cat_id"""
 _FINAL["croston_coverage"] = "SELECT COUNT(*) FILTER (xyz_class = 'Z') AS n_zclass, COUNT(*) FILTER (lower(best_model_used) LIKE '%croston%') AS n_croston FROM dash"
+
+# ---- files and tables, summary -----------------------------------------------------------
+
+_FINAL["csv_wide_scan"] = "SELECT item_id, dept_id, cat_id, store_id, state_id, d, units_sold FROM long_b"
+_FINAL["csv_calendar_scan"] = f"SELECT {_CAL_COLS} FROM cal"
+_FINAL["csv_price_last"] = "SELECT item_id, store_id, wm_yr_wk, sell_price FROM price_b"
+_FINAL["parquet_by_store"] = "SELECT item_id, store_id, date, units_sold FROM sales_b"
+_FINAL["star_tables"] = "SELECT item_id, dept_id, cat_id, store_id, state_id, date, wm_yr_wk, units_sold, sell_price FROM long_b"
+for _name in ("result_table", "csv_result", "json_result"):
+    _FINAL[_name] = "SELECT column_name, label, code FROM codes"
+_FINAL["long_schema"] = f"SELECT {_LONG_COLS} FROM long_b"
+_FINAL["policy_joined"] = _FINAL["fact_inventory_policy"]
+
+
+def _figures(section: str, table: str, values: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{section}' AS section, '{k}' AS key, CAST({v} AS DOUBLE) AS value FROM {table}" for k, v in values.items())
+
+
+def _groups(section: str, table: str, by: str, value: str) -> str:
+    return f"SELECT '{section}' AS section, {by} AS key, {value} AS value FROM {table} GROUP BY {by}"
+
+
+_FINAL["summary_values"] = " UNION ALL ".join(
+    (
+        _figures("cost_totals", "costs", {
+            "naive": r("SUM(naive_total_cost)", 2), "optimized": r("SUM(optimized_total_cost)", 2), "saving": r("SUM(annual_saving)", 2),
+            "pct_reduction": r("100.0 * SUM(annual_saving) / SUM(naive_total_cost)", 1), "safety_stock_holding": r("SUM(ss_holding_cost)", 2),
+        }),
+        _figures("order_size_only", "costs", {
+            "naive": r("SUM(total_annual_cost_naive)", 2), "optimized": r("SUM(total_annual_cost_EOQ)", 2),
+            "pct_reduction": r("100.0 * (1 - SUM(total_annual_cost_EOQ) / SUM(total_annual_cost_naive))", 1),
+        }),
+        _figures("newsvendor", "vendor", {
+            "n_series": "COUNT(*)", "mean_critical_ratio": r("AVG(CR)"), "mean_order": r("AVG(Q_star)", 2), "gain": r("SUM(profit_improvement)", 2),
+        }),
+        _groups("saving_by_category", "costs", "cat_id", r("SUM(annual_saving)", 2)),
+        _groups("safety_stock_by_class", "dash", "abc_class", r("AVG(safety_stock)", 2)),
+        *(_groups(f"{c}_by_category", "dash", "cat_id", r(f"AVG({c})", 2)) for c in ("EOQ", "DOH", "turnover")),
+        "SELECT 'rmse', Model || ' / ' || Category, RMSE FROM comparison",
+        f"SELECT 'croston_improvement', scope, {r('improvement_pct', 1)} FROM improvements",
+    )
+)

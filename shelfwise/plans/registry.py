@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shelfwise.functions.normal import norm_cdf, norm_ppf
 from shelfwise.functions.scalars import calendar_parts, flag, own_state_flag, tidy
@@ -28,28 +28,31 @@ from shelfwise.operators import (
 )
 from shelfwise.params import DAY
 from shelfwise.plans.retail import Retail
-from shelfwise.session import materialize
-from shelfwise.sources import orders, tables
+from shelfwise.schemas import STAR_TABLES
+from shelfwise.session import drop_stages, listing, materialize, stage_database, stage_path
+from shelfwise.sources import files, orders, tables
 
 Builder = Callable[[Retail], DataFrame]
 _BUILDERS: dict[str, Builder] = {}
-_RUNS: dict[tuple[str, str], Retail] = {}
+_RUNS: dict[tuple, Retail] = {}
+INPUTS = ("lineitem", "part", "supplier", "nation", "region")
 
-TREE_ROUNDS = 10
 Z98 = 2.053748910631822  # fixed value: normal quantile at 0.98
 
 
 def retail(spark: SparkSession, sf_dir: str) -> Retail:
-    """Stages of one data set, shared by the queries of a session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """Stages of one data set, shared by the queries of a session. Changed input files are another data set."""
+    key = (spark.sparkContext.applicationId, sf_dir, listing(spark, sf_dir, INPUTS))
     if key not in _RUNS:
         _RUNS[key] = Retail(spark, sf_dir)
     return _RUNS[key]
 
 
 def forget(spark: SparkSession | None = None) -> None:
-    """Drop built stages, so that the next query starts from the input tables."""
+    """Forget built stages, so that the next query starts from the input tables; with a session, drop them too."""
     _RUNS.clear()
+    if spark is not None:
+        drop_stages(spark)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -89,7 +92,7 @@ def store_slice(r):
 
 @_query
 def dataset_profile(r):
-    return statistics.dataset_profile(r.brand.fact_sales).drop("data_type")
+    return statistics.dataset_profile(r.brand.fact_sales)
 
 
 @_query
@@ -176,6 +179,97 @@ def training_range(r):
     return kpi.training_range(r.brand.dim_date, (r.brand.cutoff - r.brand.first_date).days + 1)
 
 
+# ---- files and tables: written to the stage folder, read back -------------------------
+
+
+@_query
+def csv_wide_scan(r):
+    """Wide sales file and back to rows."""
+    first, last = r.brand.span
+    history = F.sort_array(F.collect_list(F.struct("date", "units_sold")))["units_sold"]  # one per day
+    ids = ["item_id", "dept_id", "cat_id", "store_id", "state_id"]
+    series = r.brand.sales_with_ids.groupBy(*ids).agg(history.alias("y"))
+    days = [f"y[{n}] AS d_{n + 1}" for n in range((last - first).days + 1)]
+    path = stage_path(r.spark, "wide-csv")
+    files.write_csv(series.selectExpr("concat(item_id, '_', store_id) AS id", *ids, *days), path)
+    return ingest.melt_wide(files.scan_wide_csv(r.spark, path), ids).withColumn("units_sold", F.col("units_sold").cast("bigint"))
+
+
+@_query
+def csv_calendar_scan(r):
+    path = stage_path(r.spark, "calendar-csv")
+    files.write_csv(r.brand.calendar, path)
+    calendar = files.scan_calendar(r.spark, path)
+    return calendar.withColumns({c: F.col(c).cast("int") for c, t in calendar.dtypes if t in ("tinyint", "smallint")})
+
+
+@_query
+def csv_price_last(r):
+    """Price file in which every key stands twice; the row that arrives last wins."""
+    prices, path = r.brand.fact_prices, stage_path(r.spark, "price-csv")
+    twice = prices.withColumn("turn", F.lit(1)).union(prices.withColumn("sell_price", F.lit(-1.0)).withColumn("turn", F.lit(0)))
+    # Both rows of a key go to one file, in order: arrival is only defined within a file.
+    ordered = twice.repartition("item_id", "store_id", "wm_yr_wk").sortWithinPartitions("turn", "item_id", "store_id", "wm_yr_wk")
+    files.write_csv(ordered.select("store_id", "item_id", "wm_yr_wk", "sell_price"), path)
+    return ingest.last_price(files.scan_prices(r.spark, path), "arrival")
+
+
+@_query
+def parquet_by_store(r):
+    """Parquet split by store, and a scan with the fixed schema."""
+    path = stage_path(r.spark, "by-store")
+    files.write_parquet(r.brand.fact_sales, path, partition_by=("store_id",))
+    return files.scan_parquet(r.spark, path, STAR_TABLES["fact_sales"])
+
+
+@_query
+def star_tables(r):
+    """Star tables created, filled in two appends, and joined."""
+    star, database = r.brand, stage_database(r.spark, "star")
+    tables.create_star(r.spark, database)
+    for name in ("dim_date", "dim_item", "dim_store", "fact_prices"):
+        tables.append_rows(getattr(star, name), f"{database}.{name}")
+    half = F.col("date") <= F.lit(star.cutoff)
+    for part in (half, ~half):
+        tables.append_rows(star.fact_sales.where(part), f"{database}.fact_sales")
+    read = lambda name: r.spark.table(f"{database}.{name}")
+    rows = read("fact_sales").join(read("dim_date"), "date").join(read("dim_item"), "item_id").join(read("dim_store"), "store_id")
+    rows = rows.join(read("fact_prices"), ["item_id", "store_id", "wm_yr_wk"], "left")
+    return rows.select("item_id", "dept_id", "cat_id", "store_id", "state_id", "date", "wm_yr_wk", "units_sold", "sell_price")
+
+
+@_query
+def result_table(r):
+    """A result table written twice: the second write replaces the first."""
+    database = stage_database(r.spark, "results")
+    r.spark.sql(f"CREATE DATABASE {database}")
+    codes = r.fine.codes
+    for df in (codes.where(F.col("code") == 0), codes):
+        tables.replace_table(df, f"{database}.codes")
+    return r.spark.table(f"{database}.codes")
+
+
+@_query
+def csv_result(r):
+    path = stage_path(r.spark, "result-csv")
+    files.write_csv(r.fine.codes, path)
+    return files.scan_csv(r.spark, path, r.fine.codes.schema)
+
+
+@_query
+def json_result(r):
+    path = stage_path(r.spark, "result-json")
+    files.write_json(r.fine.codes.select(F.to_json(F.struct("*")).alias("value")), path)
+    return files.scan_json(r.spark, path, r.fine.codes.schema)
+
+
+@_query
+def long_schema(r):
+    """The long table cast to its fixed schema; small integers are widened again for comparison."""
+    rows = ingest.as_sales_long(r.brand.sales_long)
+    return rows.withColumns({c: F.col(c).cast("int") for c, t in rows.dtypes if t in ("tinyint", "smallint")})
+
+
 # ---- SQL reports ---------------------------------------------------------------------
 
 
@@ -341,8 +435,7 @@ def segment_method_map(r):
 
 @_query
 def dq_label_coverage(r):
-    scored = r.weekly.labels.where(F.col("abc_class") != "C")
-    return quality.label_coverage(ingest.attach_labels(r.brand.fact_sales, scored))
+    return quality.label_coverage(ingest.attach_labels(r.brand.fact_sales, r.weekly.labels))
 
 
 # ---- features ------------------------------------------------------------------------
@@ -366,7 +459,7 @@ def price_vs_mean(r):
 
 @_query
 def price_change(r):
-    return rounded(features.prepare(r.brand.sales_with_change, r.weekly.labels).select("item_id", "store_id", "date", "price_change"))
+    return rounded(features.prepare(r.brand.sales_with_change, r.weekly.series).select("item_id", "store_id", "date", "price_change"))
 
 
 @_query
@@ -414,12 +507,43 @@ def croston_forecasts(r):
 
 @_query
 def gbt_forecast(r):
-    return rounded(r.daily.trees(TREE_ROUNDS))
+    return rounded(r.daily.trees)
+
+
+@_query
+def gbt_forecast_check(r):
+    """What SQL can decide about the tree forecasts: rows, actuals, and that every value is a usable one."""
+    value = F.col("gbt_forecast")
+    return r.daily.trees.select(
+        "item_id", "store_id", "date", "cat_id", "abc_xyz", "actual",
+        flag(value.isNotNull() & ~F.isnan(value) & (value < float("inf"))).alias("is_finite"), flag(value >= 0).alias("is_not_negative"),
+    )
+
+
+@_query
+def gbt_beats_naive(r):
+    """Per scope, whether the trees have a lower error than the seasonal naive forecast."""
+    return r.daily.tree_improvement.select("scope", flag(F.col("improvement_pct") > 0).alias("improves"))
+
+
+@_query
+def improvement_trees(r):
+    return rounded(r.daily.tree_improvement)
 
 
 @_query
 def gbt_importance(r):
-    return rounded(r.daily.importance(TREE_ROUNDS), 6)
+    return rounded(r.daily.importance, 6)
+
+
+@_query
+def gbt_importance_check(r):
+    """Fifteen known inputs, by falling gain, none negative."""
+    ordered = Window.partitionBy(F.lit(0)).orderBy(F.desc("gain"), "feature")  # fifteen rows
+    return r.daily.importance.select(
+        F.row_number().over(ordered).alias("place"), flag(F.col("feature").isin(*features.feature_columns())).alias("is_input"),
+        flag(F.col("gain") >= 0).alias("is_not_negative"), flag(F.col("gain") <= F.lag("gain", 1, 1.0).over(ordered)).alias("is_ordered"),
+    )
 
 
 @_query
@@ -434,7 +558,30 @@ def model_comparison(r):
 
 @_query
 def model_comparison_all(r):
-    return r.daily.all_models(TREE_ROUNDS)
+    return r.daily.all_models
+
+
+@_query
+def fact_forecasts_all(r):
+    """The fact with all four models; of the tree values, what SQL can decide."""
+    fact = r.daily.fact_all
+    near = lambda a, b: flag(F.abs(a - b) <= 1e-9 * (1 + F.abs(b)))
+    error = F.col("best_forecast") - F.col("actual_units")
+    return rounded(
+        fact.select(
+            "item_id", "store_id", "date", "actual_units", "seasonal_naive_forecast", "ets_forecast", "croston_forecast",
+            flag(F.col("gbt_forecast").isNotNull() & (F.col("gbt_forecast") >= 0)).alias("has_trees"),
+            near(F.col("forecast_error"), error).alias("error_fits"), near(F.col("abs_error"), F.abs(error)).alias("abs_error_fits"),
+            "abc_class", "xyz_class", "abc_xyz",
+        )
+    )
+
+
+@_query
+def best_forecast_all(r):
+    """Which model was chosen, and that the chosen value is that model's."""
+    chosen = F.when(F.col("best_model_used") == "Croston_SBA", F.col("croston_forecast")).otherwise(F.col("gbt_forecast"))
+    return r.daily.best_all.select("item_id", "store_id", "date", "abc_xyz", "best_model_used", flag(F.col("best_forecast") == chosen).alias("is_chosen"))
 
 
 @_query
@@ -702,6 +849,21 @@ def fact_inventory_policy(r):
     return rounded(r.inventory.fact_policy, 3)
 
 
+@_query
+def policy_joined(r):
+    """The policy fact put together from separate tables."""
+    costs, key = r.inventory.costs, ["item_id", "store_id"]
+    reorder = costs.drop("annual_saving", "annual_saving_pct", "best_model_used")
+    return rounded(policy.join_policy(reorder, costs, costs.select(*key, "best_model_used")), 3)
+
+
+@_query
+def summary_values(r):
+    """The computable figures of the summary document as rows."""
+    inv, weekly = r.inventory, r.weekly
+    return summary.summary_values(inv.validated, inv.costs, inv.newsvendor, weekly.comparison, weekly.improvement)
+
+
 @_query
 def fact_newsvendor(r):
     return rounded(r.inventory.fact_newsvendor, 3)
@@ -726,22 +888,26 @@ def _extracts(r):
 
 
 def _raw(r):
-    return {"fact_forecasts": r.weekly.fact, "policy": r.inventory.fact_policy, "newsvendor": r.inventory.fact_newsvendor}
+    """The tables behind the extracts, before anything is filled or clipped."""
+    inv = r.inventory
+    return {
+        "fact_forecasts": r.weekly.fact, "policy": inv.fact_policy, "newsvendor": inv.fact_newsvendor, "allocation": inv.fact_allocation,
+        "calendar": r.brand.calendar,
+    }
 
 
 def _checks(r):
-    first, last = r.brand.span
     extracts = _extracts(r)
     return quality.row_count_checks(
         r.weekly.labels, extracts["dashboard"], extracts["newsvendor"], extracts["allocation"],
-        extracts["calendar"], len(r.inventory.params.budgets), (last - first).days + 1,
+        extracts["calendar"], r.brand.fact_sales, len(r.inventory.params.budgets),
     )
 
 
 def _orphans(r):
     extracts = _extracts(r)
-    tables_ = {t: extracts[t] for t in ("dashboard", "newsvendor", "allocation")}
-    return quality.orphan_ids(tables_, extracts["newsvendor"], ["AMERICA", "EUROPE"])
+    tables_ = {t: extracts[t] for t in ("policy", "newsvendor", "allocation")} | {"fact_forecasts": r.weekly.fact}
+    return quality.orphan_ids(tables_, extracts["dashboard"], r.brand.dim_store)
 
 
 @_query
@@ -752,18 +918,19 @@ def dq_fill_nulls(r):
 @_query
 def dq_null_counts(r):
     return quality.union_all(
-        [quality.null_counts(r.weekly.fact, "fact_forecasts"), quality.null_counts(r.brand.sales_long, "sales_long")]
+        [quality.null_counts(df, name) for name, df in _raw(r).items()] + [quality.null_counts(r.brand.sales_long, "sales_long")]
     )
 
 
 @_query
 def dq_clip_negative(r):
-    return rounded(quality.clip_negative(r.inventory.fact_policy).select("item_id", "store_id", "safety_stock", "ROP", "annual_saving"), 3)
+    return rounded(quality.clip_negative(r.inventory.fact_policy).select("item_id", "store_id", "safety_stock", "EOQ", "ROP", "DOH", "turnover", "annual_saving"), 3)
 
 
 @_query
 def dq_clip_counts(r):
-    return quality.negative_counts(r.inventory.fact_policy, "policy")
+    raw = _raw(r)
+    return quality.union_all([quality.negative_counts(raw[t], t) for t in ("policy", "newsvendor", "allocation")])
 
 
 @_query
@@ -939,4 +1106,5 @@ def summary_document(r):
         kpi.training_range(r.brand.dim_date, (r.brand.cutoff - r.brand.first_date).days + 1),
         r.weekly.comparison, r.weekly.improvement,
         kpi.error_vs_raw(inv.costs, inv.params.lead_time, Z98), inv.params,
+        r.daily.tree_metrics, r.daily.tree_improvement,
     )

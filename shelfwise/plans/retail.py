@@ -131,7 +131,7 @@ class Forecasting:
     @cached_property
     def valued(self) -> DataFrame:
         """Demand and revenue per period. Daily rows stay a plan; coarser periods are stored."""
-        panel = segment.demand_panel(self.star.sales_long, self.star.first_date, self.grain.days)
+        panel = segment.demand_panel(self.star.sales_long, self.star.first_date, self.star.cutoff, self.grain.days)
         return panel if self.grain.days == 1 else materialize(panel, f"panel-{self.grain.name}")
 
     @cached_property
@@ -170,34 +170,53 @@ class Forecasting:
 
     @cached_property
     def base(self) -> DataFrame:
-        """Baselines without the smoothing model, whose gaps the naive forecast fills."""
-        return smoothing.fill_gaps(self.val, self.naive)
+        """Baselines: the smoothing model, with the naive forecast in its gaps, beside the naive one.
+
+        Stored, as accuracy, comparison, fact and error statistics all read it.
+        """
+        return materialize(smoothing.fill_gaps(self.val, self.naive, self.ets), f"baselines-{self.grain.name}")
+
+    @cached_property
+    def series(self) -> DataFrame:
+        """Classes and codes per series, in the buckets of the facts: the daily rows are not moved to meet them."""
+        return materialize(self.star.coded(self.labels), "series", SERIES_KEY)
 
     @cached_property
     def prepared(self) -> DataFrame:
-        return features.prepare(self.star.sales_with_change, self.labels)
+        return features.prepare(self.star.sales_with_change, self.series)
 
     @cached_property
     def features(self) -> DataFrame:
-        return features.model_features(self.prepared, self.star.coded(self.labels), self.grain)
+        return features.model_features(self.prepared, self.grain)
 
     @cached_property
     def feature_table(self) -> DataFrame:
         """Stored features: boosting reads them once per round."""
         return materialize(self.features, "features")
 
-    def trees(self, rounds: int) -> DataFrame:
-        model = trees.train_trees(self.feature_table, self.star.cutoff, self.grain, rounds)
-        return trees.tree_forecasts(model, self.feature_table, self.star.cutoff, self.grain)
+    @cached_property
+    def tree_model(self):
+        """Fitted once; forecasts, importance and comparison share it."""
+        return trees.train_trees(self.feature_table, self.star.cutoff, self.grain)
+
+    @cached_property
+    def trees(self) -> DataFrame:
+        found = trees.tree_forecasts(self.tree_model, self.feature_table, self.star.cutoff, self.grain)
+        return materialize(found, "tree-forecasts")
 
-    def importance(self, rounds: int) -> DataFrame:
-        model = trees.train_trees(self.feature_table, self.star.cutoff, self.grain, rounds)
-        return trees.feature_importance(model, self.feature_table, self.grain)
+    @cached_property
+    def importance(self) -> DataFrame:
+        return trees.feature_importance(self.tree_model, self.feature_table, self.grain)
 
     @cached_property
     def wide(self) -> DataFrame:
+        """The three models that SQL can compute too; ``wide_all`` has the trees as well."""
         return selection.forecast_wide(self.base, self.croston)
 
+    @cached_property
+    def wide_all(self) -> DataFrame:
+        return selection.forecast_wide(self.base, self.croston, self.trees)
+
     @cached_property
     def best(self) -> DataFrame:
         """Forecast rows with the chosen model: stored, as the fact and the error statistics read it."""
@@ -208,6 +227,16 @@ class Forecasting:
     def fact(self) -> DataFrame:
         return selection.fact_forecasts(self.best)
 
+    @cached_property
+    def best_all(self) -> DataFrame:
+        """Choice among all four models, and the forecast fact that comes of it."""
+        labelled = ingest.attach_labels(self.wide_all, self.labels)
+        return materialize(selection.with_best_forecast(labelled), "best-all")
+
+    @cached_property
+    def fact_all(self) -> DataFrame:
+        return selection.fact_forecasts(self.best_all)
+
     @cached_property
     def z_rows(self) -> DataFrame:
         """Croston and naive forecasts on the same intermittent rows."""
@@ -235,13 +264,21 @@ class Forecasting:
             ]
         )
 
-    def all_models(self, rounds: int) -> DataFrame:
+    @cached_property
+    def tree_metrics(self) -> DataFrame:
+        return materialize(accuracy.accuracy_long(self.trees, {"GBT": "gbt_forecast"}), "tree-metrics")
+
+    @cached_property
+    def tree_improvement(self) -> DataFrame:
+        """Trees against the naive forecast, per category, pooled and as the mean of categories."""
+        rows = self.trees.join(self.naive, ["item_id", "store_id", "date"])
+        return accuracy.improvement_by_scope(rows, "seasonal_naive_forecast", "gbt_forecast")
+
+    @cached_property
+    def all_models(self) -> DataFrame:
         """Comparison of all four models; each is scored on the rows it forecasts."""
-        base = smoothing.fill_gaps(self.val, self.naive, self.ets)
-        tree_rows = self.trees(rounds)
-        models = {"Seasonal Naive": "seasonal_naive_forecast", "ETS": "ets_forecast"}
-        long = materialize(quality.clean_columns(accuracy.accuracy_long(base, models)), "baseline_metrics")
-        tree_long = accuracy.accuracy_long(tree_rows, {"GBT": "gbt_forecast"})
+        long = materialize(quality.clean_columns(self.metrics_long), "baseline_metrics")
+        tree_long = self.tree_metrics
         return accuracy.model_comparison(
             [
                 accuracy.to_wide(long, "Seasonal_Naive", "Seasonal Naive"),

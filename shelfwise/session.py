@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_STAGE_DIRS: dict[str, str] = {}
+_TABLES: dict[str, list[str]] = {}  # stage tables and databases by application, for drop_stages
+_DATABASES: dict[str, list[str]] = {}
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -52,23 +54,60 @@ def stage_dir(spark: SparkSession) -> str:
     return _LOCAL_STAGE_DIRS[app]
 
 
-def materialize(df: DataFrame, name: str, bucket_by: tuple[str, ...] = ()) -> DataFrame:
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new folder of this run under the shared one."""
+    return f"{stage_dir(spark)}/shelfwise/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def stage_database(spark: SparkSession, name: str) -> str:
+    """Name of a new database of this run; ``drop_stages`` removes it with its tables."""
+    database = f"{name}_{uuid.uuid4().hex}"
+    _DATABASES.setdefault(spark.sparkContext.applicationId, []).append(database)
+    return database
+
+
+def materialize(df: DataFrame, name: str, bucket_by: tuple[str, ...] = (), database: str | None = None) -> DataFrame:
     """Write a stage table once and read it back.
 
     Cuts the lineage, fixes values that other jobs must agree on, and gives the next
     plan real file sizes, column pruning and filter pushdown. ``bucket_by`` also keeps
     the rows hash-partitioned on disk: later windows, aggregations and joins on those
-    columns then read them in place, without a shuffle.
+    columns then read them in place, without a shuffle. Bucketed stages are external tables
+    of ``database`` (the current one if None); ``drop_stages`` removes all stages of a run.
     """
     spark = df.sparkSession
-    unique = f"{name}-{uuid.uuid4().hex}"
-    path = f"{stage_dir(spark)}/shelfwise/{spark.sparkContext.applicationId}/{unique}"
+    path = stage_path(spark, name)
     if not bucket_by:
         df.write.mode("errorifexists").option("compression", "snappy").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = unique.replace("-", "_")
+    table = (f"{database}." if database else "") + path.rpartition("/")[2].replace("-", "_")
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(table)
     # Shuffled by the bucket columns first, each bucket is written by one task as one file.
     writer = df.repartition(buckets, *bucket_by).write.format("parquet").option("path", path)
     writer.option("compression", "snappy").bucketBy(buckets, *bucket_by).saveAsTable(table)
     return spark.table(table)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Drop the stage tables and folders that this application has made. Frames read from them are void afterwards."""
+    app = spark.sparkContext.applicationId
+    for table in _TABLES.pop(app, []):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    for database in _DATABASES.pop(app, []):
+        spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{stage_dir(spark)}/shelfwise/{app}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def listing(spark: SparkSession, folder: str, names: tuple[str, ...]) -> tuple:
+    """Name, size and change time of the files of input tables: what has been read is told apart by it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for name in names:
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+        system = path.getFileSystem(conf)
+        if system.exists(path):
+            found += [(str(f.getPath()), f.getLen(), f.getModificationTime()) for f in system.listStatus(path)]
+    return tuple(found)

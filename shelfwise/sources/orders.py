@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwise.params import CATEGORIES
+from shelfwise.session import materialize
 
 WEEK_ORIGIN = dt.date(1994, 12, 31)  # a Saturday, so weeks run Saturday to Friday
 # State of each store; any other store belongs to WI.
@@ -37,8 +38,10 @@ def scan(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
 
 
 def item_column(grain: str) -> Column:
-    """Item name at brand or at type-and-brand grain."""
-    return F.col("p_brand") if grain == "brand" else F.concat_ws("_", "p_type", "p_brand")
+    """Item name at brand, at type-and-brand, or at part grain; it always ends with the brand."""
+    if grain == "brand":
+        return F.col("p_brand")
+    return F.concat_ws("_", "p_partkey" if grain == "part" else "p_type", "p_brand")
 
 
 def brand_number(item: Column) -> Column:
@@ -68,19 +71,21 @@ def observed_sales(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
     """Units, and the parts of a mean price, per item, store and day with sales.
 
     One pass over the order lines. Region and nation are fixed at 5 and 25 rows; part and
-    supplier grow with the data, so the optimizer decides by their size how to join, and
-    splits a hot part or supplier at run time. Amounts are whole numbers, in hundredths
+    supplier grow with the data. The map from supplier to store is stored first: a join of three tables
+    has only a guessed size, a stored one its true size, so the optimizer broadcasts it while it is
+    small and shuffles, and splits a hot supplier at run time, when it is not. Amounts are whole numbers, in hundredths
     of a cent, so sums do not depend on their order.
     """
     lines = scan(spark, sf_dir, "lineitem", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_shipdate")
     parts = scan(spark, sf_dir, "part", "p_partkey", "p_brand", "p_type", "p_retailprice")
     nations = scan(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
     regions = scan(spark, sf_dir, "region", "r_regionkey", "r_name")
-    stores = (
+    stores = materialize(
         scan(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
         .join(F.broadcast(nations), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(F.broadcast(regions), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", F.col("r_name").alias("store_id"))
+        .select("s_suppkey", F.col("r_name").alias("store_id")),
+        "stores",
     )
     items = parts.select(
         "p_partkey",

@@ -34,6 +34,7 @@ def test_rounding_modes(spark):
     assert even == [(0.2, 2.0), (0.4, 4.0), (9.1, 0.0)]
     noisy = spark.createDataFrame([(446101.40499999997,)], "a double").select(tidy("a", 2)).first()[0]
     assert noisy == 446101.41
+    assert spark.createDataFrame([(2.4949996,)], "a double").select(tidy("a", 2)).first()[0] == 2.49
 
 
 def test_lookup_and_own_state_flag(spark):

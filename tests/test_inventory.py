@@ -159,7 +159,7 @@ def test_quality_rules(spark):
 def test_orphans_and_filters(spark):
     master = spark.createDataFrame([("a", "S1")], "item_id string, store_id string")
     other = spark.createDataFrame([("a", "S1"), ("x", "S9")], "item_id string, store_id string")
-    got = sorted(tuple(r) for r in quality.orphan_ids({"t": other}, master, ["S1"]).collect())
+    got = sorted(tuple(r) for r in quality.orphan_ids({"t": other}, master, master.select("store_id")).collect())
     assert got == [("t", "unexpected_store", "S9"), ("t", "unknown_item", "x")]
     df = spark.createDataFrame([("A", "FOODS", 1), ("A", "FOODS", 0), ("C", "FOODS", 1)], "abc_class string, cat_id string, stockout_risk int")
     assert kpi.kpi_filter(df, ["A"]).count() == 2
@@ -168,6 +168,19 @@ def test_orphans_and_filters(spark):
     assert kpi.rename_existing(df, {"cat_id": "category", "nope": "x"}).columns == ["abc_class", "category", "stockout_risk"]
 
 
+def test_report_finds_planted_faults(spark):
+    good = spark.createDataFrame([("a", "S1", 1.0), ("b", "S1", 2.0)], "item_id string, store_id string, EOQ double")
+    bad = spark.createDataFrame([("a", "S1", -1.0), ("x", "S9", None)], "item_id string, store_id string, order_qty double")
+    days = spark.createDataFrame([(n,) for n in range(9)], "date int")
+    series = good.withColumns({"abc_class": F.lit("A"), "cat_id": F.lit("FOODS")})
+    checks = quality.row_count_checks(series, series, series, series, days.limit(1), days, 2)
+    failed = {r.check_name for r in checks.collect() if not r.ok}
+    assert failed == {"allocation_is_scenarios_times_ab", "calendar_days"}
+    orphans = quality.orphan_ids({"allocation": bad}, good, good.select("store_id"))
+    got = {r.rule: r.findings for r in quality.report({"good": good, "allocation": bad}, checks, orphans).collect()}
+    assert got == {"null_values": 1, "negative_values": 1, "column_names": 0, "row_counts": 2, "id_consistency": 2}
+
+
 def test_risk_rank_breaks_ties_by_class(spark):
     df = spark.createDataFrame([("B", 1), ("B", 0), ("A", 1), ("A", 0), ("C", 1)], "abc_class string, stockout_risk int")
     got = {r.abc_class: r.risk_rank for r in kpi.risk_rank(df).collect()}

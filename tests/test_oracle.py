@@ -7,6 +7,8 @@ import os
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from shelfwise.plans import oracle, registry
 
 from tests.conftest import SF_DIR
@@ -19,7 +21,11 @@ DEFAULT = (
     "zero_share_hist seasonality_dow abc_class abc_xyz abc_xyz_matrix dim_date dim_item label_encode seasonal_naive "
     "croston_sba croston_forecasts ets_forecast accuracy_by_category model_comparison improvement_pct fact_forecasts "
     "item_forecast_stats error_std_quantiles normal_ppf safety_stock eoq_cost reorder_point newsvendor_profit "
-    "budget_allocation policy_by_category dq_report extract_dashboard kpi_cost_summary ss_error_trend"
+    "budget_allocation policy_by_category dq_report extract_dashboard kpi_cost_summary ss_error_trend "
+    "dq_orphan_ids dq_row_counts dq_label_coverage dq_null_counts dq_clip_counts dq_clip_negative fact_forecasts_all best_forecast_all "
+    "gbt_forecast_check gbt_beats_naive gbt_importance_check csv_wide_scan csv_calendar_scan csv_price_last parquet_by_store star_tables "
+    "result_table csv_result json_result long_schema policy_joined summary_values policy_avg_by_abc risk_by_category cost_by_category "
+    "newsvendor_summary model_features price_change lag_features abc_class"
 ).split()
 STATEMENTS = oracle.statements()
 CHOSEN = sorted(STATEMENTS) if os.environ.get("FULL_ORACLE") else DEFAULT
@@ -63,6 +69,91 @@ def test_trees_beat_the_naive_forecast(spark):
         assert mae[(category, "GBT")] < mae[(category, "Seasonal Naive")]
 
 
+def test_smoothing_is_a_model_of_its_own(spark):
+    """Where a series is smoothed, its forecasts are not those of the naive model; elsewhere they are."""
+    run = registry.retail(spark, SF_DIR)
+    for forecasting in (run.weekly, run.daily):
+        smoothed = forecasting.ets.select("item_id", "store_id", "date", F.lit(True).alias("own"))
+        rows = forecasting.base.join(smoothed, ["item_id", "store_id", "date"], "left").collect()
+        own = [r.ets_forecast != r.seasonal_naive_forecast for r in rows if r.own and r.ets_forecast + r.seasonal_naive_forecast > 0]
+        assert len(own) > 100 and sum(own) > 0.9 * len(own)
+        assert all(r.ets_forecast == r.seasonal_naive_forecast for r in rows if not r.own)
+
+
+def test_one_tree_model_per_run(spark):
+    run = registry.retail(spark, SF_DIR)
+    assert run.daily.tree_model is run.daily.tree_model
+    assert 1 <= run.daily.tree_model.stages[-1].getNumTrees < 1000  # the holdout ended the fit
+
+
+def test_boosting_goes_on_while_the_holdout_gains(spark, monkeypatch):
+    """A smooth signal: more rounds help, so the fit outlasts the first batch of rounds."""
+    import datetime as dt
+
+    from shelfwise.operators import features, trees
+    from shelfwise.params import DAY
+
+    columns = features.feature_columns(DAY)
+    days = spark.range(1500).select("id", F.date_add(F.lit(dt.date(2020, 1, 1)), (F.col("id") % 150).cast("int")).alias("date"))
+    rows = days.select("date", *[((F.col("id") * (k + 7)) % 101).cast("double").alias(c) for k, c in enumerate(columns)])
+    rows = rows.withColumn("units_sold", F.col(columns[0]) * 3 + F.col(columns[1]))
+    monkeypatch.setattr(trees, "FIRST_ROUNDS", 2)
+    monkeypatch.setattr(trees, "LEAST_GAIN", 0.0)
+    model = trees.train_trees(rows, dt.date(2020, 5, 29), DAY, most_rounds=8, patience=1, depth=3)
+    assert model.stages[-1].getNumTrees > 2
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_single_task_over_prices(spark):
+    run = registry.retail(spark, SF_DIR)
+    from shelfwise.operators.ordering import median_by_counts
+
+    counted = median_by_counts(run.fine.fact_prices, [], "sell_price", "m")
+    singles = [line for line in _plan(counted).splitlines() if "SinglePartition" in line]
+    assert len(singles) <= 2  # one row per range for their offsets, one row per task for the result; never the values
+
+
+def test_order_lines_are_not_shuffled_by_supplier_while_stores_are_few(spark):
+    from shelfwise.sources import orders
+
+    plan = _plan(orders.observed_sales(spark, SF_DIR, "brand"))
+    assert not [line for line in plan.splitlines() if "Exchange hashpartitioning(l_suppkey" in line]
+
+
+def test_stages_follow_the_input_files(spark, tmp_path):
+    import shutil
+
+    for name in registry.INPUTS:
+        shutil.copy(f"{SF_DIR}/{name}.parquet", tmp_path)
+    one = registry.retail(spark, str(tmp_path))
+    assert registry.retail(spark, str(tmp_path)) is one
+    os.utime(tmp_path / "part.parquet", (1, 1))
+    assert registry.retail(spark, str(tmp_path)) is not one
+
+
+def test_stages_can_be_dropped():
+    """In a session of its own process, as all stages of the run go."""
+    import subprocess
+    import sys
+
+    code = f"""
+import os, tempfile
+from shelfwise.session import local_session, stage_dir
+from shelfwise.plans import registry
+base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+spark = local_session(2, 2, **{{"spark.checkpoint.dir": base, "spark.sql.warehouse.dir": base + "/warehouse"}})
+registry.queries()["parquet_by_store"](spark, "{SF_DIR}").count()
+assert spark.catalog.listTables() and os.listdir(base + "/shelfwise")
+registry.forget(spark)
+assert not spark.catalog.listTables() and not os.listdir(base + "/shelfwise")
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root, timeout=300)
+
+
 def _moved(df, table):
     """Exchanges above the scan of a table, in a plan without broadcasts of data-sized sides."""
     text = df._jdf.queryExecution().executedPlan().toString()

@@ -1,5 +1,7 @@
+import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.operators import segment
@@ -50,3 +52,16 @@ def test_matrix_keeps_empty_cells(spark):
 def test_missing_price_counts_as_no_revenue(spark):
     df = spark.createDataFrame([("a", "s", 5, None), ("a", "s", 2, 1.99)], "item_id string, store_id string, units_sold bigint, sell_price double")
     assert segment.daily_revenue(df).agg(F.sum("revenue_cents")).first()[0] == 398
+
+
+@pytest.mark.parametrize("extra", range(7))
+def test_weeks_are_laid_from_the_cutoff(spark, extra):
+    """No week crosses the cutoff, every week has seven days, and an incomplete first one is left out."""
+    first, n = dt.date(2020, 1, 1), 56 + extra
+    last = first + dt.timedelta(days=n - 1)
+    cutoff = last - dt.timedelta(days=28)
+    rows = [("a", "s", first + dt.timedelta(days=k), 1, 2.0) for k in range(n)]
+    df = spark.createDataFrame(rows, "item_id string, store_id string, date date, units_sold bigint, sell_price double")
+    got = sorted((r.date, r.units_sold) for r in segment.demand_panel(df, first, cutoff, 7).collect())
+    assert [units for _, units in got] == [7] * 8
+    assert [(day - cutoff).days for day, _ in got] == [1 + 7 * k for k in range(-4, 4)]
