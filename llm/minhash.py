@@ -29,12 +29,14 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from llm.components import components
-from llm.text import chunks, distinct_by_row, lower_ascii, mix, shingles, spaced_words, utf8, word_hashes, word_spans
+from llm.text import chunks, distinct_by_row, lower_ascii, mix, shingles, small_batches, spaced_words, utf8, word_hashes, word_spans
 from shelfwise.session import materialize
 
 ROWS_PER_BAND = 5
 MISS = 1e-7
 BLOCK_SHINGLES = 2_000_000
+MOST_BITS = 1 << 29  # of the candidates' bitmap: 64 MB
+BITMAP_SLICES = 64
 _LOWER, _WORDS = lower_ascii(), spaced_words()
 _LOW40 = np.uint64((1 << 40) - 1)
 _EMPTY = np.uint64((1 << 64) - 1)
@@ -120,9 +122,35 @@ def _fingerprints(size: int, bands: int):
     return run
 
 
-def _sets(size: int):
+def _slice_bits(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """One slice of the bitmap: the places of a slice are distinct and fewer than its bits."""
+    places, bits = table.column("place").to_numpy(), table.column("bits")[0].as_py()
+    own = np.zeros(max(bits // BITMAP_SLICES, 8), bool)
+    own[places % len(own)] = True
+    return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "data": pa.array([np.packbits(own).tobytes()], pa.binary())})
+
+
+def bitmap(nodes: DataFrame) -> tuple[np.ndarray, int]:
+    """Packed bits at the hashes of the nodes, and the number of bits: about 16 a node, MOST_BITS at most.
+
+    With more nodes than that more other documents pass it too, which costs time and never a result.
+    """
+    bits = min(MOST_BITS, 1 << max(16, (16 * nodes.count()).bit_length()))
+    places = nodes.select(F.pmod(F.xxhash64("node"), F.lit(bits)).alias("place"), F.lit(bits).alias("bits")).distinct()
+    slices = places.groupBy(F.floor(F.col("place") / (bits // BITMAP_SLICES)).cast("int").alias("slice")).applyInArrow(_slice_bits, "slice int, data binary")
+    packed = np.zeros((BITMAP_SLICES, bits // BITMAP_SLICES // 8), np.uint8)
+    for r in slices.collect():  # MOST_BITS / 8 bytes at most
+        packed[r.slice] = np.frombuffer(r.data, np.uint8)
+    return packed.reshape(-1), bits
+
+
+def _sets(size: int, shared):
+    """Sets of the documents whose place in the bitmap is taken."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            place = batch.column("place").to_numpy()
+            batch = batch.filter(pa.array((shared.value[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1))
             data, offsets = utf8(batch.column("text"))
             for a, b in chunks(offsets):
                 values, rows = document_shingles(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], size)
@@ -239,9 +267,20 @@ def _open_blocks(pairs: DataFrame, labels: DataFrame, sets: DataFrame, block: in
     return targets.unionByName(asking)
 
 
+def _candidate_sets(source: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """Full sets of the wanted nodes. Texts are read once more but never shuffled: a bitmap of bounded size leaves the
+    wanted documents and a few others, whose sets then meet the exact list."""
+    packed, bits = bitmap(wanted)
+    shared = source.sparkSession.sparkContext.broadcast(packed)
+    placed = source.where("doc_id is not null").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(bits)).alias("place"))
+    found = placed.mapInArrow(_sets(size, shared), "node bigint, shingles array<bigint>").where(F.size("shingles") > 0)
+    return materialize(found.join(wanted, "node", "left_semi"), "candidate-sets")
+
+
 def near_duplicates(documents: DataFrame, percent: int = 80, size: int = 5, block: int = BLOCK_SHINGLES) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of (doc_id, text); similarity in whole percent."""
     bands = n_bands(percent)
+    small_batches(documents.sparkSession)
     source = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     rows = materialize(
         source.mapInArrow(_fingerprints(size, bands), "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>"), "signatures"
@@ -255,12 +294,8 @@ def near_duplicates(documents: DataFrame, percent: int = 80, size: int = 5, bloc
     central = member.groupBy("node").agg(F.sum("n").alias("weight"))
     hubs = member.join(central, "node").groupBy("bucket").agg(F.max_by("node", F.struct("weight", -F.col("node"))).alias("hub"))
     pairs = materialize(member.join(hubs, "bucket").where("node <> hub").select("node", "hub").distinct(), "pairs")
-    wanted = pairs.select("node").union(pairs.select(F.col("hub").alias("node"))).distinct()
-    sets = materialize(
-        source.join(wanted, F.col("doc_id") == F.col("node"), "left_semi").mapInArrow(_sets(size), "node bigint, shingles array<bigint>")
-        .where(F.size("shingles") > 0),
-        "candidate-sets",
-    )
+    wanted = materialize(pairs.select("node").union(pairs.select(F.col("hub").alias("node"))).distinct(), "wanted")
+    sets = _candidate_sets(source, wanted, size)
     stars = materialize(_star_links(pairs, sets, percent), "star-links")
     labels = materialize(components(stars).select("node", F.col("component").alias("label")), "star-labels")
     blocks = _open_blocks(pairs, labels, sets, block)
