@@ -16,7 +16,8 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 VOCABULARY = "byte_bpe_50k.json"
-CACHED_PARTS = 700_000
+CACHED_PARTS = 500_000
+JOINED_PARTS = 2_000
 END_ID = 2
 _TAILS = ".,!?;:|*#%&$"
 _ENCODERS: dict[str, Encoder] = {}
@@ -34,16 +35,36 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.cached_parts = cached_parts
+        # Two generations of at most cached_parts: a full one becomes the older, from which parts still in use come back.
         self.after_space: dict[str, bytes | None] = {}  # None: the part can't be cut off
+        self.older: dict[str, bytes | None] = {}
         self.bare: dict[str, bytes] = {}
+        self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)  # tokens that begin with a space
+        for token, number in self.tokenizer.get_vocab().items():
+            self.opens[number] = token.startswith("\u0120")  # a space, as the vocabulary writes it
 
     def _batch(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _after_space(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts with a space before them: many parts are one text, cut again where tokens begin with a space."""
+        out: list[bytes] = []
+        for a in range(0, len(parts), JOINED_PARTS):
+            some = parts[a : a + JOINED_PARTS]
+            data = self._batch([" " + " ".join(some)])[0]
+            edges = [*(4 * np.flatnonzero(self.opens[np.frombuffer(data, "<u4")])).tolist(), len(data)]
+            whole = len(edges) == len(some) + 1 and edges[0] == 0
+            out += [data[i:j] for i, j in zip(edges[:-1], edges[1:])] if whole else self._batch([" " + x for x in some])
+        return out
+
     def _learn(self, parts: set[str]) -> None:
         """Encodes parts that follow a space. Letters with punctuation behind them are two pieces, learned one by one."""
         cache = self.after_space
+        if self.older:
+            back = parts & self.older.keys()
+            cache.update((part, self.older[part]) for part in back)
+            parts = parts - back
         split, fresh = [], set()
         for part in parts:
             if not part or part[0].isspace() or part[-1].isspace():
@@ -53,11 +74,14 @@ class Encoder:
             if core and len(core) < len(part) and core[-1].isalpha():
                 split.append((part, core))
                 if core not in cache:
-                    fresh.add(core)
+                    if core in self.older:
+                        cache[core] = self.older[core]
+                    else:
+                        fresh.add(core)
             else:
                 fresh.add(part)
         fresh = list(fresh)
-        cache.update(zip(fresh, self._batch([" " + x for x in fresh])))
+        cache.update(zip(fresh, self._after_space(fresh)))
         tails = {part[len(core) :] for part, core in split}
         self._learn_bare(tails)
         for part, core in split:
@@ -70,7 +94,7 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; a null is an empty text."""
         if len(self.after_space) > self.cached_parts:
-            self.after_space = {}
+            self.older, self.after_space = self.after_space, {}
         if len(self.bare) > self.cached_parts // 8:
             self.bare = {}
         cut = [(text or "").split(" ") for text in texts]
