@@ -25,27 +25,44 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from llm.text import BASE, chunks, lower_ascii, mix, spaced_words, utf8, word_hashes, word_spans
+from llm.text import BASE, chunks, lower_ascii, mix, small_batches, spaced_words, utf8, word_hashes, word_spans
 from shelfwise.session import materialize
 
 ALPHA = 0.4
 LEAST = 2
-BLOCK_WORDS = 1 << 21
-CLASS_WORDS = 1 << 22
+BLOCK_WORDS = 1 << 19
+CLASS_WORDS = 1 << 20
 _LOWER, _WORDS = lower_ascii(), spaced_words()
 _BLOCKS = "block bigint, n_words bigint, doc_ids array<bigint>, counts array<bigint>, words binary, vocabulary binary"
 
 
+def _packed(number: np.ndarray) -> bytes:
+    """Numbers below 2^32, all lowest bytes first, then all next ones, compressed."""
+    planes = np.ascontiguousarray(number.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
+
+
 def _block_row(block: int, docs: list, counts: list[np.ndarray], hashes: list[np.ndarray]) -> pa.RecordBatch:
-    vocabulary, number = np.unique(np.concatenate(hashes), return_inverse=True)
+    vocabulary, number, n = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+    # Frequent words get small numbers, so that the upper bytes of the numbers are nearly all zero.
+    order = np.argsort(-n, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    number, vocabulary = rank[number], vocabulary[order]
     sizes = np.concatenate(counts)
     return pa.RecordBatch.from_arrays(
         [
             pa.array([block], pa.int64()), pa.array([len(number)], pa.int64()), pa.array([docs], pa.list_(pa.int64())), pa.array([sizes.tolist()], pa.list_(pa.int64())),
-            pa.array([number.astype("<u4").tobytes()], pa.binary()), pa.array([vocabulary.astype("<u8").tobytes()], pa.binary()),
+            pa.array([_packed(number)], pa.binary()), pa.array([vocabulary.astype("<u8").tobytes()], pa.binary()),
         ],
         names=["block", "n_words", "doc_ids", "counts", "words", "vocabulary"],
     )
@@ -72,7 +89,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _unpacked(words: bytes, vocabulary: bytes, counts: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Word numbers, vocabulary hashes, bigram hashes, and whether a word has a word of its document before it."""
-    number, vocab = np.frombuffer(words, "<u4").astype(np.int64), np.frombuffer(vocabulary, "<u8")
+    number, vocab = _numbers(words), np.frombuffer(vocabulary, "<u8")
     follows = np.ones(len(number), bool)
     sizes = np.asarray(counts, np.int64)
     follows[(np.cumsum(sizes) - sizes)[sizes > 0]] = False
@@ -113,7 +130,9 @@ def _entries(bits: int):
         for batch in batches:
             for block, words, vocabulary, counts, adds, asks in zip(*(batch.column(c).to_pylist() for c in ("block", "words", "vocabulary", "counts", "adds", "asks"))):
                 number, vocab, pairs, _ = _unpacked(words, vocabulary, counts)
-                for order, (hashes, n) in enumerate(((vocab, np.bincount(number, minlength=len(vocab))), np.unique(pairs, return_counts=True)), 1):
+                by_hash = np.argsort(vocab)
+                single = vocab[by_hash], np.bincount(number, minlength=len(vocab))[by_hash]
+                for order, (hashes, n) in enumerate((single, np.unique(pairs, return_counts=True)), 1):
                     n = n.astype("<i4") if adds else np.zeros(len(hashes), "<i4")
                     cut = _slices(hashes, bits)
                     yield pa.RecordBatch.from_arrays(
@@ -160,9 +179,11 @@ def _documents(n_all: int, alpha: float, least: int):
         rows = left.to_pylist()
         out = {"doc_id": [], "n_words": [], "n_backoff": [], "total": []}
         for r in rows:
-            number, _, pairs, follows = _unpacked(r["words"], r["vocabulary"], r["counts"])
+            number, vocab, pairs, follows = _unpacked(r["words"], r["vocabulary"], r["counts"])
             found = sorted(right.to_pylist(), key=lambda x: (x["order"], x["class"]))
-            one, two = (np.frombuffer(b"".join(x["totals"] for x in found if x["order"] == k), "<i8") for k in (1, 2))
+            by_hash, two = (np.frombuffer(b"".join(x["totals"] for x in found if x["order"] == k), "<i8") for k in (1, 2))
+            one = np.empty(len(vocab), np.int64)
+            one[np.argsort(vocab)] = by_hash
             value, backed = scores(number, pairs, follows, one, two, n_all, alpha, least)
             sizes = np.asarray(r["counts"], np.int64)
             row = np.repeat(np.arange(len(sizes)), sizes)
@@ -177,6 +198,7 @@ def _documents(n_all: int, alpha: float, least: int):
 
 
 def _as_blocks(documents: DataFrame) -> DataFrame:
+    small_batches(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return materialize(rows.mapInArrow(_blocks, _BLOCKS), "word-blocks")
 
