@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from llm.text import alnum_words, chunks, field, lower_ascii, utf8, word_spans
+from llm.text import alnum_words, chunks, field, lower_ascii, small_batches, utf8, word_spans
 
 WINDOW = 13
 PART_BYTES = 32 << 20
@@ -154,6 +154,7 @@ def _characters(data: np.ndarray, flat: list[int]) -> list[dict[str, int]]:
 def judged(documents: DataFrame, benchmark: DataFrame, carry: bool, window: int, part_bytes: int) -> DataFrame:
     """row (all columns if carried, else doc_id), n_words, items, n_hit, spans, contaminated."""
     spark = documents.sparkSession
+    small_batches(spark)
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("item is not null and text is not null")
     # A window repeats the words that follow its first one, so patterns have at most this many bytes.
     size = items.agg(F.sum(F.octet_length("text") * window)).first()[0] or 0

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from llm.text import BASE, chunks, field, utf8
+from llm.text import BASE, chunks, field, small_batches, utf8
 
 UNDETERMINED = "und"
 PLACES = 8192
@@ -122,6 +122,7 @@ def learn(
     labelled: DataFrame, per_language: int = 400, n_landmarks: int = 256, ridge: float = 1.0, max_languages: int = 64
 ) -> Model | None:
     """Model from (doc_id, text, lang). The sample is bounded by per_language x max_languages texts of one kilobyte of bits each."""
+    small_batches(labelled.sparkSession)
     rows = labelled.select("doc_id", "text", "lang").where("doc_id is not null and lang is not null and text is not null")
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
     share = counts.select(F.col("lang").alias("known"), (F.lit(2.0 * per_language) / F.col("count")).alias("share"))
@@ -181,6 +182,7 @@ def _has_letter() -> Column:
 
 def identify(documents: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, lang_pred, score for each row of (doc_id, text)."""
+    small_batches(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)
     rows = documents.select(F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), "text").alias("row"), _has_letter())
     return rows.mapInArrow(_predict(shared, False), "doc_id bigint, lang_pred string, score double")
@@ -190,6 +192,7 @@ def determined(documents: DataFrame, model: Model | None) -> DataFrame:
     """The rows, with all their columns, of documents with a language."""
     if model is None:
         return documents.where(F.col("text").rlike(r"\p{L}"))
+    small_batches(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(model)
     rows = documents.select(F.struct(*documents.columns).alias("row"), _has_letter())
     return rows.mapInArrow(_predict(shared, True), f"row {documents.schema.simpleString()}").select("row.*")

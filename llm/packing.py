@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from llm.text import small_batches
 from llm.tokens import END_ID, encoder, end_bytes, vocabulary_path
 from shelfwise.session import materialize
 
@@ -98,6 +99,7 @@ def _cut(path: str, end_id: int, length: int):
 
 def pieces(documents: DataFrame, length: int = LENGTH, vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of (doc_id, text)."""
+    small_batches(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return rows.mapInArrow(_cut(vocabulary or vocabulary_path(), end_id, length), _PIECES)
 

@@ -13,6 +13,15 @@ _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 BYTE_VALUES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = np.uint64(0x9E3779B97F4A7C15)
 CHUNK_BYTES = 1 << 20
+BATCH_BYTES = "8m"
+
+
+def small_batches(spark) -> None:
+    """Arrow batches of whole texts stay small: a batch stands in the JVM and in Python, coming and going, for each core.
+
+    One longer text is still one batch.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def lower_ascii() -> np.ndarray:

@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from llm import simple8b
+from llm.text import small_batches
 from llm.tokens import END_ID, encoder, end_bytes, vocabulary_path
 from shelfwise.session import stage_dir
 
@@ -64,6 +65,7 @@ def _encode(path: str, end_id: int, block_ids: int):
 
 def write(documents: DataFrame, path: str | None = None, vocabulary: str | None = None, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> str:
     """Writes the token files of (doc_id, text) and returns their folder."""
+    small_batches(documents.sparkSession)
     path = path or f"{stage_dir(documents.sparkSession)}/tokens-{uuid.uuid4().hex}"
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
