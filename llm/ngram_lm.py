@@ -41,14 +41,14 @@ _BLOCKS = "block bigint, n_words bigint, doc_ids array<bigint>, counts array<big
 
 
 def _packed(number: np.ndarray) -> bytes:
-    """Numbers below 2^32, all lowest bytes first, then all next ones, compressed."""
-    planes = np.ascontiguousarray(number.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    """Counts and numbers, mostly small: all lowest bytes first, then all next ones, compressed."""
+    planes = np.ascontiguousarray(number.astype("<u8").view(np.uint8).reshape(-1, 8).T)
     return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
 def _numbers(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1).astype(np.int64)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").reshape(-1).astype(np.int64)
 
 
 def _block_row(block: int, docs: list, counts: list[np.ndarray], hashes: list[np.ndarray]) -> pa.RecordBatch:
@@ -133,13 +133,13 @@ def _entries(bits: int):
                 by_hash = np.argsort(vocab)
                 single = vocab[by_hash], np.bincount(number, minlength=len(vocab))[by_hash]
                 for order, (hashes, n) in enumerate((single, np.unique(pairs, return_counts=True)), 1):
-                    n = n.astype("<i4") if adds else np.zeros(len(hashes), "<i4")
+                    n = n if adds else np.zeros(len(hashes), np.int64)
                     cut = _slices(hashes, bits)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([c for c, _, _ in cut], pa.int32()), pa.array([order] * len(cut), pa.int32()), pa.array([block] * len(cut), pa.int64()),
                             pa.array([asks] * len(cut), pa.bool_()), pa.array([shortened(hashes[i:j]) for _, i, j in cut], pa.binary()),
-                            pa.array([n[i:j].tobytes() for _, i, j in cut], pa.binary()),
+                            pa.array([_packed(n[i:j]) for _, i, j in cut], pa.binary()),
                         ],
                         names=["class", "order", "block", "asks", "hashes", "n"],
                     )
@@ -152,9 +152,9 @@ def _totals(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     rows = table.to_pylist()
     hashes = [lengthened(r["hashes"]) for r in rows]
     _, number = np.unique(np.concatenate(hashes), return_inverse=True)
-    totals = np.bincount(number, np.concatenate([np.frombuffer(r["n"], "<i4") for r in rows]))[number].astype("<i8")
+    totals = np.bincount(number, np.concatenate([_numbers(r["n"]) for r in rows]))[number].astype(np.int64)
     edges = np.concatenate([[0], np.cumsum([len(h) for h in hashes])])
-    out = [(r["block"], r["class"], r["order"], totals[edges[k] : edges[k + 1]].tobytes()) for k, r in enumerate(rows) if r["asks"]]
+    out = [(r["block"], r["class"], r["order"], _packed(totals[edges[k] : edges[k + 1]])) for k, r in enumerate(rows) if r["asks"]]
     kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
     return pa.table([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], names=["block", "class", "order", "totals"])
 
@@ -181,7 +181,9 @@ def _documents(n_all: int, alpha: float, least: int):
         for r in rows:
             number, vocab, pairs, follows = _unpacked(r["words"], r["vocabulary"], r["counts"])
             found = sorted(right.to_pylist(), key=lambda x: (x["order"], x["class"]))
-            by_hash, two = (np.frombuffer(b"".join(x["totals"] for x in found if x["order"] == k), "<i8") for k in (1, 2))
+            by_hash, two = (
+                np.concatenate([np.zeros(0, np.int64), *(_numbers(x["totals"]) for x in found if x["order"] == k)]) for k in (1, 2)
+            )
             one = np.empty(len(vocab), np.int64)
             one[np.argsort(vocab)] = by_hash
             value, backed = scores(number, pairs, follows, one, two, n_all, alpha, least)
