@@ -34,7 +34,7 @@ from shelfwise.session import materialize
 
 ALPHA = 0.4
 LEAST = 2
-BLOCK_WORDS = 1 << 19
+BLOCK_WORDS = 1 << 20
 CLASS_WORDS = 1 << 20
 _LOWER, _WORDS = lower_ascii(), spaced_words()
 _BLOCKS = "block bigint, n_words bigint, doc_ids array<bigint>, counts array<bigint>, words binary, vocabulary binary"
