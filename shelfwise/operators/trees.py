@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.functions.scalars import clip_low
@@ -15,7 +16,7 @@ from shelfwise.params import DAY, TimeGrain
 from shelfwise.session import materialize
 
 SEED = 42
-FIRST_ROUNDS, MOST_ROUNDS, PATIENCE, LEAST_GAIN = 16, 1000, 4, 0.02  # the holdout ends the fit, the ceiling hardly ever
+FIRST_ROUNDS, MOST_ROUNDS, PATIENCE, LEAST_GAIN = 256, 1000, 50, 0.0  # the holdout ends the fit, the ceiling hardly ever
 NULLABLE = ("sell_price", "price_change", "price_vs_mean")
 
 
@@ -35,8 +36,11 @@ def train_trees(
     """Fit on rows up to the cutoff.
 
     The last horizon *inside* training decides when to stop: boosting goes on, doubling the rounds, until
-    the last ``patience`` rounds have lowered the holdout error by less than ``LEAST_GAIN`` of it, and the best number of rounds is kept. (The learner's
+    the last ``patience`` rounds have lowered the holdout error by no more than ``LEAST_GAIN`` of it, and the best number of rounds is kept. (The learner's
     own validation stops at the first round that does not help.) The scored rows are never seen. Trees need complete vectors, so missing prices and deviations take the median.
+
+    The absolute loss fits trees to signs, so a round moves a forecast by at most the step, whatever the units. Labels are
+    therefore learned in units of their own mean deviation: forecasts of k times the sales are k times the forecasts.
     """
     columns = feature_columns(grain)
     holdout = cutoff - dt.timedelta(days=grain.horizon * grain.days)
@@ -48,10 +52,12 @@ def train_trees(
     vectors = VectorAssembler(inputCols=[f"{c}_full" if c in nullable else c for c in columns], outputCol="features")
     prepared = Pipeline(stages=[nulls, vectors]).fit(rows)
     ready = materialize(prepared.transform(rows).select("features", "label", "is_holdout"), "tree-rows")
+    mean = ready.where("not is_holdout").agg(F.avg("label")).first()[0]
+    scale = ready.where("not is_holdout").agg(F.avg(F.abs(F.col("label") - F.lit(mean)))).first()[0] or 1.0
+    ready = ready.withColumn("label", F.col("label") / F.lit(scale))
     learned, held = ready.where("not is_holdout"), ready.where("is_holdout")
 
     def boosted(rounds: int):
-        # The seed makes a shorter run the beginning of a longer one.
         return GBTRegressor(
             maxIter=rounds, maxDepth=depth, stepSize=0.05, lossType=loss, subsamplingRate=0.8, featureSubsetStrategy="0.8",
             minInstancesPerNode=20, seed=SEED,
@@ -66,7 +72,17 @@ def train_trees(
         if gained <= LEAST_GAIN * min(errors) or rounds >= most_rounds:
             break
         rounds = min(2 * rounds, most_rounds)
-    return PipelineModel(stages=[*prepared.stages, model if best == rounds else boosted(best)])
+    return PipelineModel(stages=[*prepared.stages, beginning(model, best, scale)])
+
+
+def beginning(model: GBTRegressionModel, rounds: int, scale: float) -> GBTRegressionModel:
+    """The first rounds of a fitted model, its predictions times ``scale``."""
+    java, context = model._java_obj, SparkContext._active_spark_context
+    jvm, array = context._jvm, context._gateway.new_array
+    trees, weights = array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds), array(jvm.double, rounds)
+    for k, (tree, weight) in enumerate(zip(java.trees()[:rounds], model.treeWeights[:rounds])):
+        trees[k], weights[k] = tree, weight * scale
+    return GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), trees, weights, java.numFeatures()))
 
 
 def tree_forecasts(
