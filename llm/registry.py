@@ -29,6 +29,10 @@ def op4_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score(table(spark, sf_dir, "documents"))
 
 
+def op4_stupid_backoff_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(table(spark, sf_dir, "documents"), order=3)
+
+
 def op5_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, token_files.write(table(spark, sf_dir, "documents")))
 
@@ -57,7 +61,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (
-    op1_hnsw, op2_rule_ensemble, op3_superminhash, op4_stupid_backoff, op5_simple8b, op6_decontaminate, op7_best_fit, op8_warc, op9_language, op10_url_filter,
+    op1_hnsw, op2_rule_ensemble, op3_superminhash, op4_stupid_backoff, op4_stupid_backoff_trigrams, op5_simple8b, op6_decontaminate, op7_best_fit, op8_warc, op9_language, op10_url_filter,
 )
 
 
@@ -66,4 +70,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_stupid_backoff": ngram_lm.sql(), "op6_decontaminate": decontaminate.sql(), "op8_warc": warc.sql(), "op10_url_filter": url_filter.sql()}
+    trigrams = {"op4_stupid_backoff_trigrams": ngram_lm.sql_of_order(3)}
+    return trigrams | {"op4_stupid_backoff": ngram_lm.sql(), "op6_decontaminate": decontaminate.sql(), "op8_warc": warc.sql(), "op10_url_filter": url_filter.sql()}
