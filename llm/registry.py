@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm import decontaminate, hnsw, language, minhash, ngram_lm, packing, quality, token_files, url_filter, warc
+from llm import decontaminate, hnsw, infill, language, minhash, ngram_lm, packing, quality, token_files, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,8 +60,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(infill.transform(table(spark, sf_dir, "documents")))
+
+
 QUERIES = (
-    op1_hnsw, op2_rule_ensemble, op3_superminhash, op4_stupid_backoff, op4_stupid_backoff_trigrams, op5_simple8b, op6_decontaminate, op7_best_fit, op8_warc, op9_language, op10_url_filter,
+    op1_hnsw, op2_rule_ensemble, op3_superminhash, op4_stupid_backoff, op4_stupid_backoff_trigrams, op5_simple8b, op6_decontaminate, op7_best_fit, op8_warc, op9_language, op10_url_filter, op12_infill,
 )
 
 
@@ -71,4 +75,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     trigrams = {"op4_stupid_backoff_trigrams": ngram_lm.sql_of_order(3)}
-    return trigrams | {"op4_stupid_backoff": ngram_lm.sql(), "op6_decontaminate": decontaminate.sql(), "op8_warc": warc.sql(), "op10_url_filter": url_filter.sql()}
+    added = {"op12_infill": infill.sql()}
+    return trigrams | added | {"op4_stupid_backoff": ngram_lm.sql(), "op6_decontaminate": decontaminate.sql(), "op8_warc": warc.sql(), "op10_url_filter": url_filter.sql()}
