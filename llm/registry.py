@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm import decontaminate, hnsw, infill, language, minhash, ngram_lm, packing, quality, token_files, url_filter, warc
+from llm import decontaminate, hnsw, infill, language, minhash, ngram_lm, packing, quality, secrets, token_files, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,8 +64,12 @@ def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digests(infill.transform(table(spark, sf_dir, "documents")))
 
 
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES = (
-    op1_hnsw, op2_rule_ensemble, op3_superminhash, op4_stupid_backoff, op4_stupid_backoff_trigrams, op5_simple8b, op6_decontaminate, op7_best_fit, op8_warc, op9_language, op10_url_filter, op12_infill,
+    op1_hnsw, op2_rule_ensemble, op3_superminhash, op4_stupid_backoff, op4_stupid_backoff_trigrams, op5_simple8b, op6_decontaminate, op7_best_fit, op8_warc, op9_language, op10_url_filter, op12_infill, op13_secrets,
 )
 
 
