@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from llm import decontaminate, hnsw, infill, language, minhash, ngram_lm, packing, quality, secrets, token_files, url_filter, warc
+from llm import decontaminate, hnsw, infill, language, minhash, ngram_lm, packing, prefix_trie, quality, secrets, token_files, url_filter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op11_zfast_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.digests(prefix_trie.grafted_trie(table(spark, sf_dir, "conversations")))
+
+
 def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digests(infill.transform(table(spark, sf_dir, "documents")))
 
@@ -69,7 +73,7 @@ def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (
-    op1_hnsw, op2_rule_ensemble, op3_superminhash, op4_stupid_backoff, op4_stupid_backoff_trigrams, op5_simple8b, op6_decontaminate, op7_best_fit, op8_warc, op9_language, op10_url_filter, op12_infill, op13_secrets,
+    op1_hnsw, op2_rule_ensemble, op3_superminhash, op4_stupid_backoff, op4_stupid_backoff_trigrams, op5_simple8b, op6_decontaminate, op7_best_fit, op8_warc, op9_language, op10_url_filter, op11_zfast_trie, op12_infill, op13_secrets,
 )
 
 
@@ -79,5 +83,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     trigrams = {"op4_stupid_backoff_trigrams": ngram_lm.sql_of_order(3)}
-    added = {"op12_infill": infill.sql()}
+    added = {"op11_zfast_trie": prefix_trie.sql(), "op12_infill": infill.sql()}
     return trigrams | added | {"op4_stupid_backoff": ngram_lm.sql(), "op6_decontaminate": decontaminate.sql(), "op8_warc": warc.sql(), "op10_url_filter": url_filter.sql()}
