@@ -69,3 +69,26 @@ def calendar_parts(date: Column) -> dict[str, Column]:
         "year": F.year(date),
         "is_weekend": (dow >= 5).cast("int"),
     }
+
+
+def fixed_text(x: Column, places: int) -> Column:
+    """Text with a fixed number (2 at most) of decimal places of the exact binary value, half to even: 2.675 is a little less, so 2.67.
+
+    A double is a whole number of 54 bits over a power of two, so everything is done in whole numbers. Values of 2**40 and more have
+    too few binary places for a tie between decimals of this kind and are formatted as they are.
+    """
+    unit = 10**places
+    size = F.abs(x)
+    # Few enough bits for a 64-bit product; a value below 2**-9 lies nowhere near a tie.
+    bits = F.least(F.lit(53) - F.floor(F.log2(size)), F.lit(62)).cast("int")
+    whole = (size * F.pow(F.lit(2.0), bits)).cast("bigint") * F.lit(unit).cast("bigint")
+    power = F.expr("1L")
+    one = lambda n: F.call_function("shiftleft", power, n)
+    low = F.call_function("mod", whole, one(bits))
+    floor_ = F.call_function("shiftright", whole, bits)
+    half = one(bits - 1)
+    up = (low > half) | ((low == half) & (F.call_function("mod", floor_, F.lit(2)) == 1))
+    number = F.when(size == 0, F.lit(0).cast("bigint")).otherwise(floor_ + up.cast("bigint"))
+    sign = F.when(x < 0, "-").otherwise("")
+    text = F.concat(sign, F.floor(number / unit).cast("string"), F.lit("."), F.lpad((number % unit).cast("string"), places, "0"))
+    return F.when(size < 2.0**40, text).when(x.isNotNull(), F.format_string(f"%.{places}f", x))

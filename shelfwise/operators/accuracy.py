@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfwise.functions.scalars import tidy
+from shelfwise.functions.scalars import fixed_text, tidy
 from shelfwise.params import CATEGORIES
 
 METRICS = ("RMSE", "MAE", "MAPE", "Bias")
@@ -62,7 +62,7 @@ def model_comparison(parts: Sequence[DataFrame]) -> DataFrame:
 def metric_display(comparison: DataFrame) -> DataFrame:
     """Comparison with MAPE as text; intermittent models have none."""
     text = F.when(F.col("MAPE").isNull(), F.lit("N/A (intermittent)")).otherwise(
-        F.format_string("%.2f", F.col("MAPE"))
+        fixed_text(F.col("MAPE"), 2)
     )
     return comparison.withColumn("MAPE", text)
 

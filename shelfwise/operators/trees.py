@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
@@ -16,7 +17,8 @@ from shelfwise.params import DAY, TimeGrain
 from shelfwise.session import materialize
 
 SEED = 42
-FIRST_ROUNDS, MOST_ROUNDS, PATIENCE, LEAST_GAIN = 256, 1000, 50, 0.0  # the holdout ends the fit, the ceiling hardly ever
+MOST_ROUNDS, PATIENCE, CHUNK, STEP = 1000, 50, 20, 0.05  # the holdout ends the fit, the ceiling hardly ever
+SMALL, LEAST_GAIN = 1e-6, 1e-9  # units of a later chunk's labels, and the gain that a split needs: see ``_continued``
 NULLABLE = ("sell_price", "price_change", "price_vs_mean")
 
 
@@ -32,12 +34,14 @@ def train_trees(
     patience: int = PATIENCE,
     depth: int = 6,
     loss: str = "absolute",
+    chunk: int = CHUNK,
 ) -> PipelineModel:
     """Fit on rows up to the cutoff.
 
-    The last horizon *inside* training decides when to stop: boosting goes on, doubling the rounds, until
-    the last ``patience`` rounds have lowered the holdout error by no more than ``LEAST_GAIN`` of it, and the best number of rounds is kept. (The learner's
-    own validation stops at the first round that does not help.) The scored rows are never seen. Trees need complete vectors, so missing prices and deviations take the median.
+    The last horizon *inside* training decides when to stop: boosting goes on, ``chunk`` rounds at a time, until
+    ``patience`` rounds have not lowered the holdout error, and the best number of rounds is kept. (The learner's
+    own validation stops at the first round that does not help.) A chunk begins where the one before ended, so no round is fitted twice.
+    The scored rows are never seen. Trees need complete vectors, so missing prices and deviations take the median.
 
     The absolute loss fits trees to signs, so a round moves a forecast by at most the step, whatever the units. Labels are
     therefore learned in units of their own mean deviation: forecasts of k times the sales are k times the forecasts.
@@ -55,34 +59,73 @@ def train_trees(
     mean = ready.where("not is_holdout").agg(F.avg("label")).first()[0]
     scale = ready.where("not is_holdout").agg(F.avg(F.abs(F.col("label") - F.lit(mean)))).first()[0] or 1.0
     ready = ready.withColumn("label", F.col("label") / F.lit(scale))
-    learned, held = ready.where("not is_holdout"), ready.where("is_holdout")
-
-    def boosted(rounds: int):
-        return GBTRegressor(
-            maxIter=rounds, maxDepth=depth, stepSize=0.05, lossType=loss, subsamplingRate=0.8, featureSubsetStrategy="0.8",
-            minInstancesPerNode=20, seed=SEED,
-        ).fit(learned)
-
-    rounds = min(FIRST_ROUNDS, most_rounds)
+    learner = GBTRegressor(
+        maxDepth=depth, stepSize=STEP, lossType=loss, subsamplingRate=0.8, featureSubsetStrategy="0.8", minInstancesPerNode=20, seed=SEED
+    )
+    boosted, errors = None, []
     while True:
-        model = boosted(rounds)
-        errors = model.evaluateEachIteration(held, loss)
+        if boosted is None:
+            model = learner.setMaxIter(min(chunk, most_rounds)).fit(ready.where("not is_holdout"))
+            boosted = Boosted(list(model._java_obj.trees()), list(model.treeWeights))
+            errors = model.evaluateEachIteration(ready.where("is_holdout"), loss)
+        else:
+            more, later = _continued(boosted, learner, ready, min(chunk, most_rounds - len(errors)), loss)
+            boosted = Boosted(boosted.trees + more.trees, boosted.weights + more.weights)
+            errors = [*errors, *later]
         best = min(range(len(errors)), key=errors.__getitem__) + 1
-        gained = min(errors[:-patience], default=float("inf")) - min(errors)
-        if gained <= LEAST_GAIN * min(errors) or rounds >= most_rounds:
+        if len(errors) >= min(best + patience, most_rounds):
             break
-        rounds = min(2 * rounds, most_rounds)
-    return PipelineModel(stages=[*prepared.stages, beginning(model, best, scale)])
-
-
-def beginning(model: GBTRegressionModel, rounds: int, scale: float) -> GBTRegressionModel:
-    """The first rounds of a fitted model, its predictions times ``scale``."""
-    java, context = model._java_obj, SparkContext._active_spark_context
-    jvm, array = context._jvm, context._gateway.new_array
-    trees, weights = array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds), array(jvm.double, rounds)
-    for k, (tree, weight) in enumerate(zip(java.trees()[:rounds], model.treeWeights[:rounds])):
-        trees[k], weights[k] = tree, weight * scale
-    return GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), trees, weights, java.numFeatures()))
+    return PipelineModel(stages=[*prepared.stages, boosted.model(best, scale)])
+
+
+@dataclass
+class Boosted:
+    """Fitted trees and their weights, in the order of rounds."""
+
+    trees: list
+    weights: list[float]
+
+    def model(self, rounds: int | None = None, scale: float = 1.0) -> GBTRegressionModel:
+        """The model of the first rounds, its predictions times ``scale``."""
+        rounds, context = len(self.trees) if rounds is None else rounds, SparkContext._active_spark_context
+        jvm, array = context._jvm, context._gateway.new_array
+        trees, weights = array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds), array(jvm.double, rounds)
+        for k, (tree, weight) in enumerate(zip(self.trees[:rounds], self.weights)):
+            trees[k], weights[k] = tree, weight * scale
+        return GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(f"boosted_{rounds}", trees, weights, self.trees[0].numFeatures()))
+
+
+def _continued(boosted: Boosted, learner: GBTRegressor, ready: DataFrame, rounds: int, loss: str) -> tuple[Boosted, list[float]]:
+    """Further rounds on what the rounds so far leave open, and the holdout error after each of them.
+
+    The learner fits its first tree to the labels themselves, with full weight, and all later ones to the signs of what is left. Here the first tree
+    must change nothing, and the others must be what boosting would have fitted without the pause:
+
+    * Labels and step are made small (``SMALL``), so that no split of the first tree gains enough to be made: it is the mean. Signs have no
+      units, so the other trees are the same.
+    * The mean is nought: a residual that all rounds of the chunk together can't use up keeps its sign whatever its size, so those
+      far ones (of the side that is too light) are moved further out until the sides weigh the same. What the subsample leaves of the mean is one
+      constant for all forecasts; the tree stays in the model, and the next ones know of it. (The mean of the residuals is that constant
+      where one side has no far ones.)
+    """
+    left = boosted.model().transform(ready).select("features", (F.col("label") - F.col("prediction")).alias("left"), "is_holdout")
+    learned = left.where("not is_holdout")
+    reach = STEP * rounds
+    far = F.when(F.col("left") > reach, 1.0).when(F.col("left") < -reach, -1.0).otherwise(0.0)
+    near = F.when(far == 0, F.col("left")).otherwise(far * reach)
+    known = learned.select(far.alias("far"), near.alias("near")).agg(
+        F.sum("near").alias("total"), F.count(F.when(F.col("far") > 0, 1)).alias("above"), F.count(F.when(F.col("far") < 0, 1)).alias("below")
+    ).first()
+    side, count = (-1.0, known.below) if known.total > 0 else (1.0, known.above)
+    outward = abs(known.total) / count if count else 0.0
+    label = near + F.when(far == side, side * outward).otherwise(0.0)
+    widest = max(reach + outward, 1.0)
+    small = SMALL / widest  # so that the variance of all labels is below SMALL squared
+    own = learner.copy({learner.maxIter: rounds, learner.stepSize: STEP * small, learner.minInfoGain: LEAST_GAIN, learner.seed: SEED + len(boosted.trees)})
+    model = own.fit(learned.select("features", (label * small).alias("label")))
+    errors = model.evaluateEachIteration(left.where("is_holdout").select("features", (F.col("left") * small).alias("label")), loss)
+    trees, weights = list(model._java_obj.trees()), [w / small for w in model.treeWeights]
+    return Boosted(trees, weights), [e / small for e in errors]
 
 
 def tree_forecasts(

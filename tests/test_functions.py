@@ -5,7 +5,7 @@ from statistics import NormalDist
 from pyspark.sql import functions as F
 
 from shelfwise.functions.normal import norm_cdf, norm_ppf
-from shelfwise.functions.scalars import clip_low, flag, lookup, own_state_flag, ratio, tidy
+from shelfwise.functions.scalars import clip_low, fixed_text, flag, lookup, own_state_flag, ratio, tidy
 
 
 def test_normal_functions_match_the_standard_library(spark):
@@ -44,3 +44,12 @@ def test_lookup_and_own_state_flag(spark):
     )
     assert [r[0] for r in df.select(own_state_flag(F.col("state"))).collect()] == [1, 1, 1, 1, 0]
     assert [r[0] for r in df.select(lookup(F.col("state"), {"CA": 1.0}, 9.0)).collect()] == [1.0, 9.0, 9.0, 9.0, 1.0]
+
+
+def test_fixed_text_is_that_of_the_exact_binary_value(spark):
+    draw = random.Random(5)
+    xs = [175.765, 0.125, 2.675, 0.375, 0.005, 0.015, 1.005, 0.0, 1.0, 0.004999, 1e-12, 1e7 + 0.125, 2.0**39 + 0.125, 123456789.125, 1e15, -2.675, -0.125, 99.995, 0.995, 64.0, 63.999999]
+    xs += [round(draw.uniform(0, 300), 3) for _ in range(400)] + [draw.randint(0, 10**6) / 8 for _ in range(200)] + [draw.uniform(0, 1) * 10 ** draw.randint(-8, 9) for _ in range(300)]
+    got = spark.createDataFrame([(x,) for x in xs], "x double").select("x", fixed_text(F.col("x"), 2).alias("t")).collect()
+    assert [(r.x, r.t) for r in got if r.t != f"{r.x:.2f}"] == []
+    assert spark.sql("SELECT CAST(NULL AS DOUBLE) AS x").select(fixed_text(F.col("x"), 2).alias("t")).first().t is None
