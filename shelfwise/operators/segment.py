@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.functions.scalars import cents, from_cents
 from shelfwise.operators.ordering import running_total
@@ -34,17 +34,45 @@ def demand_panel(sales_long: DataFrame, first, cutoff, days: int) -> DataFrame:
     )
 
 
-def series_totals(panel: DataFrame) -> DataFrame:
-    """Sums per series that later steps turn into mean, spread and revenue."""
+def partial_totals(panel: DataFrame) -> DataFrame:
+    """Sums per series of one batch of periods. They are whole numbers, so they merge exactly, in any order."""
     units = F.col("units_sold").cast("double")
     return panel.groupBy("item_id", "store_id").agg(
         F.sum("units_sold").alias("sum_units"),
         F.sum(units * units).alias("sum_squares"),
         F.count(F.lit(1)).alias("n_periods"),
-        from_cents(F.sum("revenue_cents")).alias("total_revenue"),
+        F.sum("revenue_cents").alias("revenue_cents"),
     )
 
 
+def merged_totals(parts: DataFrame) -> DataFrame:
+    """Series totals from partial sums of several batches."""
+    merged = parts.groupBy("item_id", "store_id").agg(*[F.sum(c).alias(c) for c in ("sum_units", "sum_squares", "n_periods", "revenue_cents")])
+    return merged.withColumn("total_revenue", from_cents(F.col("revenue_cents"))).drop("revenue_cents")
+
+
+def series_totals(panel: DataFrame) -> DataFrame:
+    """Sums per series that later steps turn into mean, spread and revenue."""
+    whole = partial_totals(panel)
+    return whole.withColumn("total_revenue", from_cents(F.col("revenue_cents"))).drop("revenue_cents")
+
+
+class SeriesAccumulator:
+    """Stored partial sums of series. Each batch of new periods is read once, when it is added; totals read the sums only.
+
+    A batch that is added again (under its name) takes the place of what it was before.
+    """
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def add(self, panel: DataFrame, batch: str) -> None:
+        partial_totals(panel).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+
+    def totals(self, spark: SparkSession) -> DataFrame:
+        return merged_totals(spark.read.parquet(self.path).drop("batch"))
+
+
 def with_variation(totals: DataFrame) -> DataFrame:
     """Population mean, standard deviation and cv; cv is infinite when the mean is not positive."""
     mean = F.col("sum_units") / F.col("n_periods")

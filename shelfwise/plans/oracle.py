@@ -706,6 +706,20 @@ _FINAL["croston_coverage"] = "SELECT COUNT(*) FILTER (xyz_class = 'Z') AS n_zcla
 
 _FINAL["csv_wide_scan"] = "SELECT item_id, dept_id, cat_id, store_id, state_id, d, units_sold FROM long_b"
 _FINAL["csv_calendar_scan"] = f"SELECT {_CAL_COLS} FROM cal"
+_FINAL["csv_price_arrivals"] = "SELECT item_id, store_id, wm_yr_wk, sell_price FROM price_b"
+_FINAL["fact_loads"] = "SELECT item_id, store_id, date, units_sold FROM sales_b"
+_FINAL["sample_rows"] = "SELECT item_id, store_id, date, units_sold FROM sales_b ORDER BY item_id, store_id, date LIMIT 5"
+_FINAL["series_cv_merged"] = _FINAL["series_cv"]
+_LINEITEM = {
+    "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double",
+    "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz",
+}
+_FINAL["footer_profile"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS data_type, COUNT(*) AS n_rows, COUNT({c}) AS n_known, "
+    + ("NULL AS least, NULL AS greatest" if t in ("string", "timestamp_ntz") else f"CAST(MIN({c}) AS VARCHAR) AS least, CAST(MAX({c}) AS VARCHAR) AS greatest")
+    + " FROM lineitem"
+    for c, t in _LINEITEM.items()
+)
 _FINAL["csv_price_last"] = "SELECT item_id, store_id, wm_yr_wk, sell_price FROM price_b"
 _FINAL["parquet_by_store"] = "SELECT item_id, store_id, date, units_sold FROM sales_b"
 _FINAL["star_tables"] = "SELECT item_id, dept_id, cat_id, store_id, state_id, date, wm_yr_wk, units_sold, sell_price FROM long_b"

@@ -95,6 +95,18 @@ def dataset_profile(r):
     return statistics.dataset_profile(r.brand.fact_sales)
 
 
+@_query
+def footer_profile(r):
+    """Profile of the order lines from file footers."""
+    return files.footer_profile(r.spark, f"{r.sf_dir}/lineitem.parquet")
+
+
+@_query
+def sample_rows(r):
+    """Five rows of the long table, in the order of its key."""
+    return files.first_rows(r.brand.fact_sales.select("item_id", "store_id", "date", "units_sold"), ["item_id", "store_id", "date"])
+
+
 @_query
 def dim_date(r):
     return r.brand.dim_date
@@ -214,6 +226,17 @@ def csv_price_last(r):
     return ingest.last_price(files.scan_prices(r.spark, path), "arrival")
 
 
+@_query
+def csv_price_arrivals(r):
+    """Price files in three arrivals, the largest first and the right one last: Spark reads them by size, the last arrival wins."""
+    prices, path = r.brand.fact_prices.select("store_id", "item_id", "wm_yr_wk", "sell_price"), stage_path(r.spark, "price-arrivals")
+    wrong = prices.withColumn("sell_price", F.lit(-1.0))
+    older = prices.where(F.pmod(F.xxhash64("item_id", "store_id", "wm_yr_wk"), F.lit(2)) == 0).withColumn("sell_price", F.lit(-2.0))
+    for number, arrival in enumerate((wrong.union(wrong).union(wrong), older, prices)):
+        files.write_csv(arrival, f"{path}/arrival={number}")
+    return ingest.last_price(files.scan_prices(r.spark, f"{path}/*", by="name"), "arrival")
+
+
 @_query
 def parquet_by_store(r):
     """Parquet split by store, and a scan with the fixed schema."""
@@ -249,6 +272,24 @@ def result_table(r):
     return r.spark.table(f"{database}.codes")
 
 
+@_query
+def fact_loads(r):
+    """Facts appended in two loads, of which the first is tried twice and a third is cut short before its ledger entry."""
+    star, database = r.brand, stage_database(r.spark, "loads")
+    r.spark.sql(f"CREATE DATABASE {database}")
+    name, sales = f"{database}.fact_sales", star.fact_sales.select("item_id", "store_id", "date", "units_sold")
+    tables.create_loads(r.spark, name, sales.schema)
+    early = F.col("date") <= F.lit(star.cutoff)
+    tables.append_once(sales.where(early), name, "early")
+    tables.append_once(sales.where(early), name, "early")
+    sales.where(early).limit(10).createOrReplaceTempView("cut_short")
+    r.spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (load_id = 'late') SELECT * FROM cut_short")
+    tables.append_once(sales.where(~early), name, "late")
+    r.spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION (load_id = 'unfinished') SELECT * FROM cut_short")
+    r.spark.catalog.dropTempView("cut_short")
+    return tables.loaded_rows(r.spark, name)
+
+
 @_query
 def csv_result(r):
     path = stage_path(r.spark, "result-csv")
@@ -397,6 +438,17 @@ def series_cv(r):
     return rounded(segment.with_variation(segment.series_totals(r.daily_fine.valued)).drop("total_revenue"), 6)
 
 
+@_query
+def series_cv_merged(r):
+    """Variability from stored partial sums: three batches of days, the second added twice."""
+    panel, cutoff = r.daily_fine.valued, r.fine.cutoff
+    sums = segment.SeriesAccumulator(stage_path(r.spark, "series-sums"))
+    days = F.datediff(F.col("date"), F.lit(cutoff))
+    for batch, use in (("old", days <= -365), ("year", (days > -365) & (days <= 0)), ("year", (days > -365) & (days <= 0)), ("new", days > 0)):
+        sums.add(panel.where(use), batch)
+    return rounded(segment.with_variation(sums.totals(r.spark)).drop("total_revenue"), 6)
+
+
 @_query
 def abc_class(r):
     ranked = segment.with_abc(segment.series_totals(r.daily_fine.valued))

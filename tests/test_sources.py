@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F, types as T
 
 from shelfwise import schemas
@@ -77,6 +78,85 @@ def test_star_tables_load_and_reload(spark, tmp_path):
     assert spark.table("retail.by_month").count() == 1
 
 
+def test_last_price_follows_arrival_not_size(spark, tmp_path):
+    """The oldest file is the largest, so Spark reads it first or in a task of its own; a tie in time goes by name."""
+    import os
+
+    for name, price, copies, when in (("b.csv", 9.0, 3000, 100), ("c.csv", 1.0, 1, 200), ("a.csv", 5.0, 40, 200)):
+        rows = "".join(f"S1,I{k % 7},11101,{price}\n" for k in range(copies * 7))
+        (tmp_path / name).write_text("store_id,item_id,wm_yr_wk,sell_price\n" + rows)
+        os.utime(tmp_path / name, (when, when))
+    last = lambda by: {r.sell_price for r in ingest.last_price(files.scan_prices(spark, str(tmp_path), by), "arrival").collect()}
+    assert last("time") == {1.0}  # a and c are of one time, c is the later name
+    assert last("name") == {1.0}
+    os.utime(tmp_path / "b.csv", (300, 300))
+    assert last("time") == {9.0} and last("name") == {1.0}
+
+
+def test_a_load_is_appended_once(spark):
+    schema = schemas.STAR_TABLES["fact_sales"]
+    rows = lambda *units: spark.createDataFrame([("a", "s", dt.date(2020, 1, 1), u) for u in units], schema)
+    spark.sql("CREATE DATABASE IF NOT EXISTS loading")
+    tables.create_loads(spark, "loading.fact", schema)
+    assert tables.append_once(rows(1, 2), "loading.fact", "it's one") and not tables.append_once(rows(1, 2), "loading.fact", "it's one")
+    # Cut short: rows without a ledger entry are not seen, and the next try replaces them.
+    rows(7).createOrReplaceTempView("cut")
+    spark.sql("INSERT OVERWRITE TABLE loading.fact PARTITION (load_id = 'two') SELECT * FROM cut")
+    units = lambda: sorted(r.units_sold for r in tables.loaded_rows(spark, "loading.fact").collect())
+    assert units() == [1, 2]
+    tables.append_once(rows(3, 4), "loading.fact", "two")
+    assert units() == [1, 2, 3, 4] and tables.completed_loads(spark, "loading.fact") == {"it's one", "two"}
+
+
+def test_readers_keep_a_whole_version_during_replacement(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS versions")
+    numbers = lambda a, b: spark.range(a, b).toDF("n")
+    tables.replace_table(numbers(0, 3), "versions.result")
+    reader = spark.table("versions.result")
+    tables.replace_table(numbers(10, 14), "versions.result")
+    assert sorted(r.n for r in reader.collect()) == [0, 1, 2]
+    assert sorted(r.n for r in spark.table("versions.result").collect()) == [10, 11, 12, 13]
+    with pytest.raises(Exception):  # noqa: B017  a new version that fails leaves the old one in place
+        tables.replace_table(numbers(0, 2).select(F.raise_error(F.lit("broken")).alias("n")), "versions.result")
+    assert spark.table("versions.result").count() == 4
+    tables.replace_table(numbers(0, 1), "versions.result")
+    tables.replace_table(numbers(0, 1), "versions.result")
+    assert len([r for r in spark.sql("SHOW TABLES IN versions").collect() if "__v" in r.tableName]) == 2
+
+
+def test_accumulated_sums_never_read_old_days(spark, tmp_path):
+    from shelfwise.operators import segment
+
+    panel = spark.createDataFrame([("a", "s", dt.date(2020, 1, d), d % 5, 100 * d) for d in range(1, 29)], "item_id string, store_id string, date date, units_sold bigint, revenue_cents bigint")
+    days = str(tmp_path / "days")
+    panel.write.partitionBy("date").parquet(days)
+    sums = segment.SeriesAccumulator(str(tmp_path / "sums"))
+    read = lambda first, last: spark.read.parquet(days).where(F.col("date").between(F.lit(dt.date(2020, 1, first)), F.lit(dt.date(2020, 1, last))))
+    sums.add(read(1, 20), "old")
+    sums.add(read(21, 28), "new")
+    sums.add(read(21, 28), "new")
+    merged, whole = sums.totals(spark), segment.series_totals(panel)
+    assert [r.asDict() for r in merged.collect()] == [{k: r[k] for k in merged.columns} for r in whole.collect()]
+    assert all("/sums/" in f for f in merged.inputFiles())
+
+
+def test_footer_profile_reads_no_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(50_000).select(F.col("id").alias("n"), F.when(F.col("id") > 9, F.col("id") / 2).alias("x"), F.lit("t").alias("s")).write.parquet(path)
+    got = {r.column_name: (r.n_rows, r.n_known, r.least, r.greatest) for r in files.footer_profile(spark, path).collect()}
+    assert got == {"n": (50_000, 50_000, "0", "49999"), "x": (50_000, 49_990, "5.0", "24999.5"), "s": (50_000, 50_000, None, None)}
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    spark.conf.set("spark.sql.sources.useV1SourceList", "")
+    try:
+        plan = files.footer_aggregates(spark.read.parquet(path))._jdf.queryExecution().optimizedPlan().toString()
+        plan += files.footer_aggregates(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.parquet.aggregatePushdown")
+        spark.conf.unset("spark.sql.sources.useV1SourceList")
+    assert "PushedAggregation: [COUNT(*)" in plan
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
 def test_zero_share_and_uplift(spark, tmp_path):
     long, calendar, _ = _long(spark, tmp_path)
     zero = {(r.store_id): (r.total_days, r.zero_days, r.zero_percentage) for r in reports.zero_sales_percentage(long).collect()}
