@@ -25,6 +25,8 @@ from shelfwise.session import stage_dir
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"  # fixed values: base32
 CRLF = "\r\n"
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"  # fixed value of the format
+UNKNOWN_DATE = "1970-01-01T00:00:00Z"
 
 
 @dataclass(frozen=True)
@@ -56,26 +58,32 @@ def _payload(html: Column) -> Column:
     return F.coalesce(html, F.lit("")).cast("binary")
 
 
-def _header_block() -> Column:
+def _record_id(page: Column, row: Column) -> Column:
+    """Page and row: pages that repeat are records of their own."""
+    return F.concat(F.lit("<urn:page:"), F.coalesce(page.cast("string"), F.lit("none")), F.lit("#"), row.cast("string"), F.lit(">"))
+
+
+def _header_block(date: str) -> Column:
     """The record's header lines, each ended by CRLF, without the empty line that ends the block."""
     response = F.col("record_type") == "response"
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
     return F.concat(
         F.lit("WARC/1.1" + CRLF),
         line("WARC-Type", F.col("record_type")),
-        line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.lit(">"))),
+        line("WARC-Record-ID", _record_id(F.col("page_id"), F.col("row"))),
+        line("WARC-Date", F.lit(date)),
         line("WARC-Target-URI", F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", " ")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         F.when(response, F.lit("")).otherwise(
-            line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.coalesce(F.col("holder").cast("string"), F.lit("none")), F.lit(">")))
+            F.concat(line("WARC-Refers-To", _record_id(F.col("holder"), F.col("holder_row"))), line("WARC-Profile", F.lit(PROFILE)))
         ),
         line("Content-Type", F.lit("text/html; charset=utf-8")),
         line("Content-Length", F.when(response, F.col("payload_bytes")).otherwise(F.lit(0)).cast("string")),
     )
 
 
-def write(pages: DataFrame, min_bytes: int = 0, path: str | None = None) -> Archive:
-    """Archive of (page_id, url, html).
+def write(pages: DataFrame, min_bytes: int = 0, path: str | None = None, date: str = UNKNOWN_DATE) -> Archive:
+    """Archive of (page_id, url, html); ``date`` is that of the capture, which the pages do not tell.
 
     The scan keeps digests only; the payload moves once more, for the rows that hold it. The digests are grouped with partial
     aggregation, so a payload of a third of all rows is one row per task before the shuffle.
@@ -105,7 +113,7 @@ def write(pages: DataFrame, min_bytes: int = 0, path: str | None = None) -> Arch
         .select(
             "page_id", "address", "payload_bytes", "payload_digest", "record_type",
             F.when(F.col("record_type") == "revisit", F.col("holder")).alias("refers_to"),
-            _header_block().alias("header"),
+            _header_block(date).alias("header"),
         )
     )
     headers.write.option("compression", "zstd").parquet(f"{path}/headers")
@@ -137,13 +145,14 @@ def verified(archive: Archive) -> DataFrame:
 
 
 def _field(name: str) -> Column:
-    return F.regexp_extract("header", rf"(?m)^{name}: ([^\r\n]*)", 1)
+    # Unix lines: only a line feed ends one, as in the block; other line separators are part of a url.
+    return F.regexp_extract("header", rf"(?dm)^{name}: ([^\r\n]*)", 1)
 
 
 def read(archive: Archive) -> DataFrame:
     """Per record what its header block says, with bytes and digest from the payload that was read."""
     found = archive.headers.select("page_id", "address", "header").join(verified(archive), "address", "left")
-    refers = F.regexp_extract(_field("WARC-Refers-To"), "<urn:page:(-?[0-9]+)>", 1)
+    refers = F.regexp_extract(_field("WARC-Refers-To"), "<urn:page:(-?[0-9]+)#", 1)
     digest = F.when(F.concat(F.lit("sha1:"), F.col("stored_digest")) == _field("WARC-Payload-Digest"), F.col("stored_digest"))
     return found.select(
         "page_id",

@@ -72,5 +72,25 @@ def test_wrong_bytes_are_found(spark, archive, tmp_path):
         warc.read(warc.Archive(spark, f"{tmp_path}/p")).collect()
 
 
+def test_urls_cannot_write_header_fields(spark):
+    """Line ends go, and other line separators stay inside the url's own field."""
+    urls = ["http://a/\u2028WARC-Refers-To: <urn:page:77#0>", "http://a/\u0085WARC-Payload-Digest: sha1:AAAA", "http://a/\u2029WARC-Type: revisit", "http://a/\r\nWARC-Type: revisit", "http://a/\rWARC-Type: revisit"]
+    made = warc.write(table(spark, [(k, url, f"text {k}") for k, url in enumerate(urls)]))
+    assert {(r.record_type, r.refers_to) for r in warc.read(made).collect()} == {("response", None)}
+    assert sorted(bytes(r.record).partition(b"\r\n\r\n")[2] for r in warc.reconstruct(made).collect()) == [f"text {k}".encode() for k in range(5)]
+
+
+def test_records_have_the_fields_that_the_format_demands(archive):
+    heads = [r.header.split("\r\n") for r in archive.headers.collect()]
+    names = [[line.partition(":")[0] for line in head[1:-1]] for head in heads]
+    must = {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"}
+    assert all(must <= set(n) and len(n) == len(set(n)) for n in names)
+    assert all(("WARC-Profile" in n and "WARC-Refers-To" in n) == any("revisit" in line for line in head[:2]) for n, head in zip(names, heads))
+    ids = [line for head in heads for line in head if line.startswith("WARC-Record-ID")]
+    assert len(ids) == len(set(ids))
+    targets = {line.partition(": ")[2] for head in heads for line in head if line.startswith("WARC-Refers-To")}
+    assert targets <= {line.partition(": ")[2] for line in ids}
+
+
 def test_empty_table(spark):
     assert warc.read(warc.write(table(spark, []))).count() == 0
