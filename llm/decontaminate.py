@@ -43,14 +43,16 @@ def item_words(text: str | None) -> list[str]:
     return [low[a:b] for a, b in zip(starts.tolist(), stops.tolist())]
 
 
-def windows(items: list[tuple[str, str | None]], size: int = WINDOW) -> dict[str, tuple[int, list[str]]]:
+def windows(items: list[tuple[str | None, str | None]], size: int = WINDOW) -> dict[str, tuple[int, list[str]]]:
     """Window text to (number of words, ids of its items)."""
     out: dict[str, tuple[int, list[str]]] = {}
     for item, text in items:
         words = item_words(text)
         made = {tuple(words[k : k + size]) for k in range(max(1, len(words) - size + 1))} if words else set()
         for window in made:
-            out.setdefault(" ".join(window), (len(window), []))[1].append(item)
+            own = out.setdefault(" ".join(window), (len(window), []))[1]
+            if item is not None:
+                own.append(item)
     return out
 
 
@@ -155,7 +157,7 @@ def judged(documents: DataFrame, benchmark: DataFrame, carry: bool, window: int,
     """row (all columns if carried, else doc_id), n_words, items, n_hit, spans, contaminated."""
     spark = documents.sparkSession
     small_batches(spark)
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("item is not null and text is not null")
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("text is not null")
     # A window repeats the words that follow its first one, so patterns have at most this many bytes.
     size = items.agg(F.sum(F.octet_length("text") * window)).first()[0] or 0
     parts = -(-size // part_bytes) or 1
@@ -167,7 +169,7 @@ def judged(documents: DataFrame, benchmark: DataFrame, carry: bool, window: int,
     row = state.schema["row"].dataType.simpleString()
     for part in range(parts):
         last = part == parts - 1
-        chosen = items.where(F.pmod(F.xxhash64("item"), F.lit(parts)) == part) if parts > 1 else items
+        chosen = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == part) if parts > 1 else items
         patterns = spark.sparkContext.broadcast(windows([tuple(r) for r in chosen.collect()], window))
         kept = row if carry or not last else "struct<doc_id: bigint>"
         more = "n_hit bigint, spans array<struct<start: bigint, end: bigint>>"
@@ -201,7 +203,7 @@ def sql() -> str:
     low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     return f"""
         WITH items AS (
-            SELECT item_id, regexp_extract_all({low}, '{word}') AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+            SELECT item_id, regexp_extract_all({low}, '{word}') AS w FROM benchmark WHERE text IS NOT NULL),
         patterns AS (
             SELECT DISTINCT item_id, least(len(w), {WINDOW}) AS n, array_to_string(w[k:k + least(len(w), {WINDOW}) - 1], ' ') AS p
             FROM items, unnest(range(1, greatest(len(w) - {WINDOW - 2}, 2))) AS t(k) WHERE len(w) > 0),
@@ -214,7 +216,7 @@ def sql() -> str:
         words AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS place FROM hits) GROUP BY r),
         found AS (
             SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
-            FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hits) GROUP BY r)
+            FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
                sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated

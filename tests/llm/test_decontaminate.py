@@ -21,14 +21,14 @@ def brute(docs, items):
         own, hit, ids = words(doc[1]), set(), set()
         for item, text in items:
             w = words(text)
-            if not w or item is None:
+            if not w:
                 continue
             n = min(13, len(w))
             made = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}
             for k in range(len(own) - n + 1):
                 if tuple(own[k : k + n]) in made:
                     hit.update(range(k, k + n))
-                    ids.add(str(item))
+                    ids |= {str(item)} - {"None"}
         found.append((doc[0], len(own), len(hit), sorted(ids), len(hit) > 0 and 20 * len(hit) >= len(own)))
     return sorted(found, key=repr)
 
@@ -44,6 +44,12 @@ def test_same_as_brute_force(spark):
         assert result(got) == brute(DOCS, ITEMS)
 
 
+def test_items_without_an_id_count_but_have_no_name(spark):
+    items = spark.createDataFrame([(None, " ".join(W[:14])), (None, "other words")], "item_id bigint, text string")
+    got = decontaminate.contamination(documents(spark, [(1, " ".join(W[:13]) + " tail"), (2, "no other"), (3, "the other words")]), items)
+    assert result(got) == [(1, 14, 13, [], True), (2, 2, 0, [], False), (3, 3, 2, [], True)]
+
+
 def test_spans_are_places_of_the_original(spark):
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     texts = {20: DOCS[len(MESSY)][1], 29: "\u6771 \U0001f600 \u00e9t\u00e9, na\u00efve\u2014short ONE"}
