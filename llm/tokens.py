@@ -4,12 +4,13 @@ A byte-level BPE never joins what stands on both sides of a single space between
 next piece. So a text is cut there, each different part is encoded once per worker process (a bounded cache), and a text's
 ids are the concatenated ids of its parts. The result is that of encoding the whole text, which a test compares.
 
-Strings of special tokens in a text are ordinary text.
+A text that holds the string of an added (special) token is encoded whole, as the library does it by default.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import public_tokenizers
@@ -33,7 +34,8 @@ class Encoder:
     def __init__(self, path: str, cached_parts: int = CACHED_PARTS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.cached_parts = cached_parts
         # Two generations of at most cached_parts: a full one becomes the older, from which parts still in use come back.
         self.after_space: dict[str, bytes | None] = {}  # None: the part can't be cut off
@@ -93,6 +95,16 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; a null is an empty text."""
+        if self.added:
+            special = [i for i, text in enumerate(texts) if text and self.added.search(text)]
+            if special:
+                out = self._encode([None if i in set(special) else text for i, text in enumerate(texts)])
+                for i, data in zip(special, self._batch([texts[i] for i in special])):
+                    out[i] = data
+                return out
+        return self._encode(texts)
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.after_space) > self.cached_parts:
             self.older, self.after_space = self.after_space, {}
         if len(self.bare) > self.cached_parts // 8:

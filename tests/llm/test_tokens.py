@@ -11,7 +11,6 @@ from llm.tokens import Encoder, vocabulary_path
 from tests.llm.common import MESSY, documents
 
 TOKENIZER = Tokenizer.from_file(vocabulary_path())
-TOKENIZER.encode_special_tokens = True
 ENCODER = Encoder(vocabulary_path(), cached_parts=50)
 MORE = [(30 + k, "Wort! " * (k * 97) + "end.") for k in range(12)]
 DOCS = MESSY + MORE
@@ -31,6 +30,12 @@ def test_parts_give_the_ids_of_the_whole_text(texts):
     assert [np.frombuffer(x, "<u4").tolist() for x in ENCODER.encode(texts)] == [TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_strings_of_special_tokens_are_those_tokens():
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> y", "<|endoftext", None, "plain text"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in ENCODER.encode(texts)] == [TOKENIZER.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert any(t.content in "a <|endoftext|> b" for t in TOKENIZER.get_added_tokens_decoder().values())
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 60_000), st.integers(0, 2**64 - 1)), max_size=400))
 def test_simple8b_round_trip(values):
