@@ -2,8 +2,8 @@
 
 The blended-spectrum presence kernel of two texts is the number of n-grams (1 to 3 bytes, ASCII folded) that occur in
 both, divided by the geometric mean of how many occur in each. N-grams are hashed to a fixed number of places, so a text is
-one row of bits however long it is. A bounded, documented sample of labelled texts is learned from: ``per_language`` texts
-for each of the ``max_languages`` most frequent languages, chosen by a hash of the id; ``landmarks`` of them span the kernel. Scoring
+one row of bits however long it is. A bounded, documented sample of labelled texts is learned from: up to ``per_language`` texts
+for each language, chosen by a hash of the id; landmarks from all of them span the kernel. Scoring
 is two batched matrix products per Arrow chunk: bits x landmark bits, then kernel values x weights.
 
 Defined cases: ``und`` with score 0 for a null text, a text without letters, and any text when nothing could be learned;
@@ -21,10 +21,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from llm.text import BASE, chunks, field, small_batches, utf8
+from shelfwise.session import materialize
 
 UNDETERMINED = "und"
 PLACES = 8192
 ROWS_AT_ONCE = 512
+LEAST_SCORE, EVIDENCE = 0.37, 60  # of 10,000 documents at sf0.1 none with so many n-grams scores below 0.377; letters at random score 0.29 to 0.37
 
 
 def _folded() -> np.ndarray:
@@ -119,12 +121,19 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(
-    labelled: DataFrame, per_language: int = 400, n_landmarks: int = 256, ridge: float = 1.0, max_languages: int = 64
+    labelled: DataFrame, per_language: int = 400, n_landmarks: int = 256, ridge: float = 1.0, sample_texts: int = 25_600, least_texts: int = 20
 ) -> Model | None:
-    """Model from (doc_id, text, lang). The sample is bounded by per_language x max_languages texts of one kilobyte of bits each."""
+    """Model from (doc_id, text, lang), of all its languages.
+
+    The sample has up to ``per_language`` texts (one kilobyte of bits each) of a language, fewer where languages are so many that ``sample_texts`` would
+    be exceeded, but ``least_texts`` at least; there are four landmarks for each language, and no fewer than ``n_landmarks``.
+    """
     small_batches(labelled.sparkSession)
     rows = labelled.select("doc_id", "text", "lang").where("doc_id is not null and lang is not null and text is not null")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
+    counts = materialize(rows.groupBy("lang").count(), "languages")
+    known = counts.count()
+    per_language = max(min(per_language, sample_texts // max(known, 1)), least_texts)
+    n_landmarks = max(n_landmarks, 4 * known)
     share = counts.select(F.col("lang").alias("known"), (F.lit(2.0 * per_language) / F.col("count")).alias("share"))
     spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     # Twice the share is drawn and cut to size afterwards, as a share by hash is not exact.
@@ -145,30 +154,32 @@ def hash_order(doc_id: int) -> int:
     return (doc_id * 0x9E3779B97F4A7C15 + 0x7F4A7C15) % (1 << 64) >> 11
 
 
-def predictions(model: Model | None, texts: pa.Array, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Language and score of each text."""
-    names, scores = np.full(len(texts), UNDETERMINED, dtype=object), np.zeros(len(texts))
+def predictions(model: Model | None, texts: pa.Array, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Language and score of each text, and from how many different n-grams."""
+    names, scores, seen = np.full(len(texts), UNDETERMINED, dtype=object), np.zeros(len(texts)), np.zeros(len(texts), np.int64)
     if model is None or not len(texts):
-        return names, scores
+        return names, scores, seen
     data, offsets = utf8(texts)
     for first, last in chunks(offsets):
         for a in range(first, last, ROWS_AT_ONCE):
             b = min(a + ROWS_AT_ONCE, last)
-            margins = model.margins(presence(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
+            bits = presence(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            margins, seen[a:b] = model.margins(bits), bits.sum(axis=1)
             best = margins.argmax(1)
             names[a:b] = np.array(model.languages, dtype=object)[best]
             scores[a:b] = np.clip((margins[np.arange(b - a), best] + 1) / 2, 0, 1)
     names[~letters], scores[~letters] = UNDETERMINED, 0.0
-    return names, scores
+    return names, scores, seen
 
 
 def _predict(shared, filtering: bool):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             letters = batch.column("has_letter").to_numpy(zero_copy_only=False).astype(bool)
-            names, scores = predictions(shared.value, field(batch, "text"), letters)
+            names, scores, seen = predictions(shared.value, field(batch, "text"), letters)
             if filtering:
-                out = {"row": batch.column("row").filter(pa.array(names != UNDETERMINED))}
+                foreign = (scores < LEAST_SCORE) & (seen >= EVIDENCE)
+                out = {"row": batch.column("row").filter(pa.array((names != UNDETERMINED) & ~foreign))}
             else:
                 out = {"doc_id": field(batch, "doc_id"), "lang_pred": pa.array(names, pa.string()), "score": pa.array(scores, pa.float64())}
             yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
@@ -189,7 +200,11 @@ def identify(documents: DataFrame, model: Model | None) -> DataFrame:
 
 
 def determined(documents: DataFrame, model: Model | None) -> DataFrame:
-    """The rows, with all their columns, of documents with a language."""
+    """The rows, with all their columns, of documents in one of the learned languages.
+
+    Rejected are texts without letters and those that no language claims: a score below LEAST_SCORE from at least EVIDENCE different n-grams. Shorter
+    texts say too little and stay.
+    """
     if model is None:
         return documents.where(F.col("text").rlike(r"\p{L}"))
     small_batches(documents.sparkSession)

@@ -192,7 +192,8 @@ def sample(labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
 
 def learn(stats: DataFrame, known: DataFrame, trees: int = 20, depth: int = 3, lasso: float = 0.001) -> Ensemble:
     """Ensemble from statistics of documents and a sample of labels."""
-    rows = stats.join(known, "doc_id").dropDuplicates(["doc_id"])
+    # Of rows that share an id the one with the least statistics is learned from, whatever order they come in.
+    rows = stats.join(known, "doc_id").groupBy("doc_id", "label").agg(F.min(F.struct(*STATISTICS)).alias("own")).select("doc_id", "label", "own.*")
     train = materialize(
         rows.select("doc_id", F.col("label").cast("double").alias("label"), array_to_vector(F.array(*STATISTICS)).alias("features"), *STATISTICS)
         .repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id"),
