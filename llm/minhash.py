@@ -35,6 +35,7 @@ from shelfwise.session import materialize
 ROWS_PER_BAND = 5
 MISS = 1e-7
 BLOCK_SHINGLES = 2_000_000
+MOST_BROADCAST = 1 << 21  # ids: 16 MB
 MOST_BITS = 1 << 29  # of the candidates' bitmap: 64 MB
 BITMAP_SLICES = 64
 _LOWER, _WORDS = lower_ascii(), spaced_words()
@@ -307,3 +308,57 @@ def near_duplicates(documents: DataFrame, percent: int = 80, size: int = 5, bloc
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def _held(key: str, shared):
+    """Rows whose place in the bitmap is taken, or the others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.column("place").to_numpy()
+            taken = (shared.value[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(taken)], names=["row", key])
+
+    return run
+
+
+def without(documents: DataFrame, gone: DataFrame, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+    """The rows, with all their columns, whose doc_id is not in ``gone`` (node); rows without a doc_id stay.
+
+    Texts are not shuffled. Up to ``most_broadcast`` ids (eight bytes each) are broadcast; beyond that a bitmap of bounded size shows
+    most rows to be none of them, and the ids (not the texts) of the others meet the exact list.
+    """
+    spark = documents.sparkSession
+    if gone.count() <= most_broadcast:
+        return documents.join(F.broadcast(gone.select(F.col("node").alias("__gone"))), F.col("doc_id") == F.col("__gone"), "left_anti")
+    packed, bits = bitmap(gone)
+    shared = spark.sparkContext.broadcast(packed)
+    place = F.coalesce(F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(bits)), F.lit(0))
+    rows = documents.select(F.struct(*documents.columns).alias("row"), place.alias("place"))
+    small_batches(spark)
+    marked = rows.mapInArrow(_held("taken", shared), f"row {documents.schema.simpleString()}, taken boolean")
+    surely = marked.where(~F.col("taken")).select("row.*")
+    asked = marked.where("taken").select("row.*")
+    return surely.union(asked.join(gone.select(F.col("node").alias("__gone")), F.col("doc_id") == F.col("__gone"), "left_anti"))
+
+
+def one_row_each(documents: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Of the rows of a repeated doc_id (node) one stays: the least by a hash of the whole row. Only rows of these ids move."""
+    rows = without(documents, repeated)
+    ids = repeated.select(F.col("node").alias("__again"))
+    again = documents.join(F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids, F.col("doc_id") == F.col("__again"), "left_semi")
+    columns = [F.col(c) for c in documents.columns]
+    first = again.groupBy("doc_id").agg(F.min_by(F.struct(*columns), F.struct(F.xxhash64(*columns), F.length("text"))).alias("row"))
+    return rows.union(first.select("row.*"))
+
+
+def distinct_documents(documents: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
+    """The rows, with all their columns, of documents that are the smallest of their group; see ``near_duplicates``.
+
+    Rows that share a doc_id are one document, of which one row stays, chosen by a fixed order; rows without an id all stay.
+    """
+    found = materialize(near_duplicates(documents, percent, size), "near-duplicates").where("doc_id is not null")
+    gone = materialize(found.where("not kept").select(F.col("doc_id").alias("node")).distinct(), "gone")
+    out = without(documents, gone)
+    repeated = materialize(found.where("kept").groupBy(F.col("doc_id").alias("node")).agg(F.count("*").alias("n")).where("n > 1").select("node"), "repeated")
+    return one_row_each(out, repeated) if repeated.limit(1).count() else out

@@ -32,6 +32,32 @@ def test_near_duplicate_stage_keeps_one_row_of_repeated_rows(spark):
     assert collections.Counter(r.doc_id for r in out.collect()) == {1: 1, 3: 1, 4: 1, 5: 1, 6: 1, 7: 1, 8: 1, 9: 1, None: 2, 10: 1}
 
 
+def test_language_stage_rejects_what_no_language_claims(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang")
+    junk = [(900_001, "xqzt wvkj pqrr zzxx kkqj vvwq bnmk jjqz wxvk ptkq zzqj"), (900_002, "12 34 ??"), (900_003, None), (900_004, "")]
+    planted = docs.union(documents(spark, junk))
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, planted, SF_DIR).collect()}
+    assert not kept & {d for d, _ in junk}
+    assert kept == {r.doc_id for r in docs.where("text rlike '[A-Za-z]'").collect()}
+
+
+def test_dropping_documents_moves_no_text(spark):
+    from llm import minhash
+
+    rows = [(k, f"text {k} " * 50) for k in range(400)] + [(5, "another text of five"), (None, "without an id"), (None, "without an id")]
+    docs = documents(spark, rows, clashing=True)
+    gone = spark.range(0, 300, 7).toDF("node")
+    expected = sorted(((d, t) for d, t in rows if d is None or d >= 300 or d % 7), key=repr)
+    for most in (1000, 0):  # a broadcast, a bitmap
+        out = minhash.without(docs, gone, most_broadcast=most)
+        assert out.columns == docs.columns and sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == expected
+    plan = minhash.without(docs, gone)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    again = minhash.one_row_each(docs, spark.createDataFrame([(5,)], "node bigint")).where("doc_id = 5").collect()
+    other = minhash.one_row_each(docs.repartition(7, "text"), spark.createDataFrame([(5,)], "node bigint")).where("doc_id = 5").collect()
+    assert len(again) == 1 and again == other
+
+
 def test_stages_take_awkward_and_empty_tables(spark):
     for rows in (MESSY, []):
         docs = documents(spark, rows, clashing=True)
