@@ -903,10 +903,12 @@ def fact_inventory_policy(r):
 
 @_query
 def policy_joined(r):
-    """The policy fact put together from separate tables."""
+    """The policy fact put together from separate tables: the cost table has the naive cost of half of the series, and the other table a wrong one for these."""
     costs, key = r.inventory.costs, ["item_id", "store_id"]
-    reorder = costs.drop("annual_saving", "annual_saving_pct", "best_model_used")
-    return rounded(policy.join_policy(reorder, costs, costs.select(*key, "best_model_used")), 3)
+    known, naive = F.pmod(F.xxhash64(*key), F.lit(2)) == 0, F.col("total_annual_cost_naive")
+    reorder = costs.drop("annual_saving", "annual_saving_pct", "best_model_used").withColumn("total_annual_cost_naive", F.when(known, -1.0).otherwise(naive))
+    gaps = costs.withColumn("total_annual_cost_naive", F.when(known, naive))
+    return rounded(policy.join_policy(reorder, gaps, costs.select(*key, "best_model_used")), 3)
 
 
 @_query
