@@ -19,6 +19,7 @@ DASHBOARD = (
     "sell_price", "forecast_mean", "safety_stock", "EOQ", "ROP", "DOH", "turnover", "stockout_risk",
     "total_annual_cost_EOQ", "total_annual_cost_naive", "annual_saving", "annual_saving_pct", "best_model_used",
 )
+ERRORS = ("forecast_rmse", "forecast_bias")
 
 
 def _numeric(df: DataFrame) -> list[str]:
@@ -112,15 +113,21 @@ def row_count_checks(
 
 
 def orphan_ids(tables: dict[str, DataFrame], master: DataFrame, stores: DataFrame) -> DataFrame:
-    """Items missing from the master and stores missing from the store dimension, per table."""
-    items, known_stores = master.select("item_id").distinct(), stores.select("store_id").distinct()
-    found = []
-    for name, df in tables.items():
-        missing = df.select("item_id").distinct().join(items, "item_id", "left_anti")
-        stray = df.select("store_id").distinct().join(known_stores, "store_id", "left_anti")
-        for kind, ids, column in (("unknown_item", missing, "item_id"), ("unexpected_store", stray, "store_id")):
-            found.append(ids.select(F.lit(name).alias("table_name"), F.lit(kind).alias("problem"), F.col(column).alias("id")))
-    return union_all(found)
+    """Items missing from the master and stores missing from the store dimension, per table.
+
+    Every table is read once: the ids of both kinds leave it together, each task passes on only its different ones, and one join
+    meets them with all known ids.
+    """
+    kinds = {"unknown_item": "item_id", "unexpected_store": "store_id"}
+    both = F.array(*[F.struct(F.lit(kind).alias("problem"), F.col(c).alias("id")) for kind, c in kinds.items()])
+    ids = union_all([df.select(F.lit(name).alias("table_name"), F.explode(both).alias("row")) for name, df in tables.items()])
+    known = master.select(F.lit("unknown_item").alias("problem"), F.col("item_id").alias("id")).unionByName(
+        stores.select(F.lit("unexpected_store").alias("problem"), F.col("store_id").alias("id"))
+    )
+    distinct = ids.select("table_name", "row.*").distinct()
+    # Not an anti join: the optimizer would move it below the union and the distinct, once per table and to all rows.
+    marked = distinct.join(known.distinct().withColumn("known", F.lit(True)), ["problem", "id"], "left")
+    return marked.where(F.col("known").isNull()).select("table_name", "problem", "id")
 
 
 def report(tables: dict[str, DataFrame], checks: DataFrame, orphans: DataFrame) -> DataFrame:
@@ -137,10 +144,16 @@ def report(tables: dict[str, DataFrame], checks: DataFrame, orphans: DataFrame)
     )
     nulls, negatives = (found.agg(F.sum(c).alias("findings")) for c in ("nulls", "negatives"))
     spaces = checks.agg(F.lit(sum(" " in c for df in tables.values() for c in df.columns)).cast("bigint").alias("findings"))
+    parts = (("null_values", nulls), ("negative_values", negatives), ("column_names", spaces))
+    return rules(union_all([df.select(F.lit(rule).alias("rule"), "findings") for rule, df in parts]), checks, orphans)
+
+
+def rules(values: DataFrame, checks: DataFrame, orphans: DataFrame) -> DataFrame:
+    """Findings of the value rules, with the failed size checks and the stray ids under them."""
     failed = checks.agg(F.sum((F.col("ok") == 0).cast("bigint")).alias("findings"))
     strays = orphans.agg(F.count(F.lit(1)).alias("findings"))
-    parts = (("null_values", nulls), ("negative_values", negatives), ("column_names", spaces), ("row_counts", failed), ("id_consistency", strays))
-    return union_all([df.select(F.lit(rule).alias("rule"), "findings") for rule, df in parts])
+    parts = (("row_counts", failed), ("id_consistency", strays))
+    return union_all([values] + [df.select(F.lit(rule).alias("rule"), "findings") for rule, df in parts])
 
 
 def label_coverage(labelled: DataFrame) -> DataFrame:
@@ -151,16 +164,20 @@ def label_coverage(labelled: DataFrame) -> DataFrame:
     )
 
 
+def dashboard_columns(policy: DataFrame) -> DataFrame:
+    """Columns of the main extract from a policy table that carries the forecast error."""
+    return policy.select(*DASHBOARD, *ERRORS)
+
+
 def dashboard_extract(policy: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Main extract: policy with forecast error, cleaned.
 
     The error columns come from ``stats`` when the policy table does not carry them.
     """
-    errors = ("forecast_rmse", "forecast_bias")
     if stats is None:
-        return clean(policy.select(*DASHBOARD, *errors))
+        return clean(dashboard_columns(policy))
     key = ["item_id", "store_id"]
-    return clean(policy.select(*DASHBOARD).join(stats.select(*key, *errors), key, "left"))
+    return clean(policy.select(*DASHBOARD).join(stats.select(*key, *ERRORS), key, "left"))
 
 
 def calendar_extract(calendar: DataFrame) -> DataFrame:

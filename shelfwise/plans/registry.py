@@ -12,6 +12,7 @@ from shelfwise.operators import (
     accuracy,
     allocation,
     croston,
+    extracts,
     features,
     ingest,
     inventory,
@@ -931,37 +932,21 @@ def fact_allocation(r):
 # ---- data quality and extracts -------------------------------------------------------
 
 
-def _extracts(r):
-    return {
-        "dashboard": r.inventory.dashboard,
-        "policy": quality.clean(r.inventory.fact_policy),
-        "newsvendor": quality.clean(r.inventory.fact_newsvendor),
-        "allocation": quality.allocation_extract(r.inventory.allocation),
-        "calendar": quality.calendar_extract(r.brand.calendar),
-    }
+EXTRACTS = ("dashboard", "policy", "newsvendor", "allocation", "calendar")
+JUDGED = ("fact_forecasts", "policy", "newsvendor", "allocation", "calendar")  # whose values the quality gate judges
 
 
-def _raw(r):
-    """The tables behind the extracts, before anything is filled or clipped."""
-    inv = r.inventory
-    return {
-        "fact_forecasts": r.weekly.fact, "policy": inv.fact_policy, "newsvendor": inv.fact_newsvendor, "allocation": inv.fact_allocation,
-        "calendar": r.brand.calendar,
-    }
+def _extracts(r, names):
+    return {name: r.inventory.extract(name) for name in names}
 
 
 def _checks(r):
-    extracts = _extracts(r)
-    return quality.row_count_checks(
-        r.weekly.labels, extracts["dashboard"], extracts["newsvendor"], extracts["allocation"],
-        extracts["calendar"], r.brand.fact_sales, len(r.inventory.params.budgets),
-    )
+    return extracts.row_count_checks(r.weekly.labels, _extracts(r, EXTRACTS), r.brand.fact_sales, len(r.inventory.params.budgets))
 
 
 def _orphans(r):
-    extracts = _extracts(r)
-    tables_ = {t: extracts[t] for t in ("policy", "newsvendor", "allocation")} | {"fact_forecasts": r.weekly.fact}
-    return quality.orphan_ids(tables_, extracts["dashboard"], r.brand.dim_store)
+    found = _extracts(r, ("policy", "newsvendor", "allocation", "fact_forecasts"))
+    return quality.orphan_ids({name: e.rows for name, e in found.items()}, r.inventory.extract("dashboard").rows, r.brand.dim_store)
 
 
 @_query
@@ -971,9 +956,8 @@ def dq_fill_nulls(r):
 
 @_query
 def dq_null_counts(r):
-    return quality.union_all(
-        [quality.null_counts(df, name) for name, df in _raw(r).items()] + [quality.null_counts(r.brand.sales_long, "sales_long")]
-    )
+    seen = extracts.null_counts(r.spark, _extracts(r, JUDGED))
+    return seen.unionByName(quality.null_counts(r.brand.sales_long, "sales_long"))
 
 
 @_query
@@ -983,8 +967,7 @@ def dq_clip_negative(r):
 
 @_query
 def dq_clip_counts(r):
-    raw = _raw(r)
-    return quality.union_all([quality.negative_counts(raw[t], t) for t in ("policy", "newsvendor", "allocation")])
+    return extracts.negative_counts(r.spark, _extracts(r, ("policy", "newsvendor", "allocation")))
 
 
 @_query
@@ -1004,38 +987,38 @@ def dq_orphan_ids(r):
 
 @_query
 def dq_report(r):
-    return quality.report(_raw(r), _checks(r), _orphans(r))
+    return extracts.report(_extracts(r, JUDGED), JUDGED, _checks(r), _orphans(r))
 
 
 @_query
 def extract_dashboard(r):
-    return rounded(r.inventory.validated, 3)
+    return rounded(r.inventory.extract("dashboard").rows, 3)
 
 
 @_query
 def extract_policy(r):
-    return rounded(_extracts(r)["policy"], 3)
+    return rounded(r.inventory.extract("policy").rows, 3)
 
 
 @_query
 def extract_newsvendor(r):
-    return rounded(_extracts(r)["newsvendor"], 3)
+    return rounded(r.inventory.extract("newsvendor").rows, 3)
 
 
 @_query
 def extract_allocation(r):
-    return rounded(_extracts(r)["allocation"], 3)
+    return rounded(r.inventory.extract("allocation").rows, 3)
 
 
 @_query
 def extract_calendar(r):
-    calendar = _extracts(r)["calendar"]
+    calendar = r.inventory.extract("calendar").rows
     return calendar.withColumns({c: F.col(c).cast("int") for c, t in calendar.dtypes if t in ("tinyint", "smallint")})
 
 
 @_query
 def extract_summary(r):
-    return quality.extract_summary(_extracts(r))
+    return extracts.summary(r.spark, _extracts(r, EXTRACTS))
 
 
 # ---- dashboard figures ---------------------------------------------------------------

@@ -16,6 +16,7 @@ from shelfwise.operators import (
     accuracy,
     allocation,
     croston,
+    extracts,
     features,
     ingest,
     inventory,
@@ -298,6 +299,7 @@ class Inventory:
 
     def __init__(self, forecasting: Forecasting, params: PolicyParams = WEEKLY_POLICY):
         self.forecasting, self.params = forecasting, params
+        self._written: dict[str, extracts.Extract] = {}
 
     @cached_property
     def error_stats(self) -> DataFrame:
@@ -347,6 +349,21 @@ class Inventory:
         """Main extract after validation; the dashboard reads this one."""
         return quality.clip_negative(self.dashboard)
 
+    def extract(self, name: str) -> extracts.Extract:
+        """An extract by name, written on first use together with the figures of the quality gate."""
+        if name not in self._written:
+            calendar = self.forecasting.star.calendar
+            raw, finish = {
+                "fact_forecasts": (lambda: self.forecasting.fact, quality.clean),
+                "dashboard": (lambda: quality.dashboard_columns(self.costs), lambda df: quality.clip_negative(quality.clean(df))),
+                "policy": (lambda: self.fact_policy, quality.clean),
+                "newsvendor": (lambda: self.fact_newsvendor, quality.clean),
+                "allocation": (lambda: self.fact_allocation, quality.clean),
+                "calendar": (lambda: calendar, quality.calendar_extract),
+            }[name]
+            self._written[name] = extracts.write_extract(raw(), name, finish, extracts.gate_conditions().get(name))
+        return self._written[name]
+
 
 class Retail:
     """All stages of one data set, built on first use."""
