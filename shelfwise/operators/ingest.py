@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, functions as F
 from shelfwise.functions.scalars import calendar_parts
 from shelfwise.schemas import EVENT_COLUMNS, FLAG_COLUMNS, SALES_LONG
 
+YEAR_PART = "sale_year"  # column by which a stored fact is split into folders
+
 
 def melt_wide(wide: DataFrame, ids: Sequence[str], prefix: str = "d_") -> DataFrame:
     """One row per id and day column: ids, d, units_sold.
@@ -79,6 +81,18 @@ def time_split(df: DataFrame, cutoff: dt.date) -> tuple[DataFrame, DataFrame]:
     return df.where(F.col("date") <= F.lit(cutoff)), df.where(F.col("date") > F.lit(cutoff))
 
 
+def on_days(fact_sales: DataFrame, days: DataFrame) -> DataFrame:
+    """Sales of the given days with the columns of their day; the days are few (one row each), so they are broadcast.
+
+    A fact that is split by year is joined on the year too: a filter on the days then reaches its folders, as a literal where the filter
+    names the year and as a set found at run time where it names dates, flags or events.
+    """
+    if YEAR_PART not in fact_sales.columns:
+        return fact_sales.join(F.broadcast(days), "date")
+    dated = days.withColumn(YEAR_PART, F.year("date"))
+    return fact_sales.join(F.broadcast(dated), ["date", YEAR_PART]).drop(YEAR_PART)
+
+
 def attach_labels(df: DataFrame, labels: DataFrame) -> DataFrame:
     """Left join of the segment labels onto any frame keyed by series."""
     return df.join(

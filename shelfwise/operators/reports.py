@@ -1,16 +1,20 @@
-"""Analytical reports over the star schema and over the result facts."""
+"""Analytical reports over the star schema and over the result facts.
+
+A report on a period takes ``dim_date`` filtered to it; a fact that is split by year is then read in the years of the period only.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.functions.scalars import cents, tidy
+from shelfwise.operators.ingest import on_days
 
 
 def _priced(fact_sales: DataFrame, dim_date: DataFrame, fact_prices: DataFrame) -> DataFrame:
     """Sales with the price of their week; days without a price drop out."""
-    weeks = F.broadcast(dim_date.select("date", "wm_yr_wk", "year", "month"))  # one row per day
-    return fact_sales.join(weeks, "date").join(fact_prices, ["item_id", "store_id", "wm_yr_wk"])
+    weeks = dim_date.select("date", "wm_yr_wk", "year", "month")
+    return on_days(fact_sales, weeks).join(fact_prices, ["item_id", "store_id", "wm_yr_wk"])
 
 
 def _revenue() -> Column:
@@ -70,11 +74,12 @@ def snap_impact(
     fact_sales, dim_date, dim_item, dim_store, category: str = "FOODS", state: str = "CA", flag: str = "snap_CA"
 ) -> DataFrame:
     """Mean daily units on benefit days and other days by department, and the uplift."""
-    days = F.broadcast(dim_date.select("date", F.col(flag).alias("on_day")))
+    days = dim_date.select("date", F.col(flag).alias("on_day"))
+    sales = fact_sales.join(dim_store.where(F.col("state_id") == state), "store_id", "left_semi").join(
+        dim_item.where(F.col("cat_id") == category).select("item_id", "dept_id"), "item_id"
+    )
     sums = (
-        fact_sales.join(dim_store.where(F.col("state_id") == state), "store_id", "left_semi")
-        .join(dim_item.where(F.col("cat_id") == category).select("item_id", "dept_id"), "item_id")
-        .join(days, "date")
+        on_days(sales, days)
         .groupBy("dept_id")
         .agg(
             F.avg(F.when(F.col("on_day") == 1, F.col("units_sold"))).alias("on_mean"),

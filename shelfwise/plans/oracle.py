@@ -179,6 +179,12 @@ _FINAL["top_items_revenue"] = f"""SELECT item_id, dept_id, cat_id, units AS tota
 _ON, _OFF = "AVG(CASE WHEN snap_CA = 1 THEN units_sold END)", "AVG(CASE WHEN snap_CA = 0 THEN units_sold END)"
 _FINAL["snap_impact"] = f"""SELECT dept_id, {r(_ON)} AS avg_sales_snap, {r(_OFF)} AS avg_sales_nonsnap,
     {r(f'100.0 * ({_ON} - {_OFF}) / {_OFF}', 2)} AS pct_uplift FROM long_f WHERE cat_id = 'FOODS' AND state_id = 'CA' GROUP BY 1"""
+_YEAR = "(SELECT year(hi) - 1 FROM bounds)"
+_FINAL["category_months_of_year"] = _FINAL["sales_by_category_month"].replace("FROM takings", f"FROM takings WHERE year = {_YEAR}")
+_FINAL["snap_impact_of_year"] = _FINAL["snap_impact"].replace("WHERE", f"WHERE year = {_YEAR} AND")
+_FINAL["event_day_sales"] = f"""SELECT cat_id, year, month, CAST(SUM(units_sold) AS BIGINT) AS total_units,
+    {r('SUM(units_sold * CAST(round(sell_price * 100) AS BIGINT)) / 100', 2)} AS total_revenue FROM long_f
+    WHERE sell_price IS NOT NULL AND event_type_1 = 'National' AND date >= (SELECT date_trunc('year', hi) - INTERVAL 365 DAY FROM bounds) GROUP BY 1, 2, 3"""
 _FINAL["price_trend"] = f"""SELECT cat_id, year, avg_price, num_price_points, {r('avg_price - before')} AS yoy_change,
     {r('100.0 * (avg_price - before) / before', 2)} AS yoy_pct_change FROM (
       SELECT *, LAG(avg_price) OVER (PARTITION BY cat_id ORDER BY year) AS before FROM (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -339,6 +340,32 @@ def snap_impact(r):
     return reports.snap_impact(*_star(r, "fact_sales", "dim_date", "dim_item", "dim_store"))
 
 
+def _last_full_year(r):
+    """The fact split by year, and the days of the last year that the data hold as a whole."""
+    year = r.fine.span[1].year - 1
+    return r.fine.fact_sales_by_year, r.fine.dates_of_year(year)
+
+
+@_query
+def category_months_of_year(r):
+    """Units and revenue by category and month of one year: one year of the fact is read."""
+    return reports.sales_by_category_month(*_last_full_year(r), *_star(r, "dim_item", "fact_prices"))
+
+
+@_query
+def snap_impact_of_year(r):
+    """Benefit-day uplift of one year: one year of the fact is read."""
+    return reports.snap_impact(*_last_full_year(r), *_star(r, "dim_item", "dim_store"))
+
+
+@_query
+def event_day_sales(r):
+    """Units and revenue by category and month of the national holidays since the last full year: years are found at run time."""
+    since = r.fine.span[1].replace(month=1, day=1) - dt.timedelta(days=365)
+    days = r.fine.dim_date.where((F.col("event_type_1") == "National") & (F.col("date") >= F.lit(since)))
+    return reports.sales_by_category_month(r.fine.fact_sales_by_year, days, *_star(r, "dim_item", "fact_prices"))
+
+
 @_query
 def price_trend(r):
     return reports.price_trend(*_star(r, "fact_prices", "dim_date", "dim_item"))

@@ -79,9 +79,17 @@ class Star:
         return ingest.build_dim(rows, "store_id", ["state_id"])
 
     @cached_property
+    def fact_sales_by_year(self) -> DataFrame:
+        """Stored in buckets by series, as nearly every later step works per series, and in folders by year, for reports on a period."""
+        rows = ingest.dense_sales(self.observed, *self.span).withColumn(ingest.YEAR_PART, F.year("date"))
+        return materialize(rows, "fact_sales", SERIES_KEY, partition_by=(ingest.YEAR_PART,))
+
+    @property
     def fact_sales(self) -> DataFrame:
-        """Stored in buckets by series, as nearly every later step works per series."""
-        return materialize(ingest.dense_sales(self.observed, *self.span), "fact_sales", SERIES_KEY)
+        return self.fact_sales_by_year.drop(ingest.YEAR_PART)
+
+    def dates_of_year(self, year: int) -> DataFrame:
+        return self.dim_date.where(F.col("year") == year)
 
     @cached_property
     def fact_prices(self) -> DataFrame:

@@ -66,13 +66,17 @@ def stage_database(spark: SparkSession, name: str) -> str:
     return database
 
 
-def materialize(df: DataFrame, name: str, bucket_by: tuple[str, ...] = (), database: str | None = None) -> DataFrame:
+def materialize(
+    df: DataFrame, name: str, bucket_by: tuple[str, ...] = (), database: str | None = None, partition_by: tuple[str, ...] = ()
+) -> DataFrame:
     """Write a stage table once and read it back.
 
     Cuts the lineage, fixes values that other jobs must agree on, and gives the next
     plan real file sizes, column pruning and filter pushdown. ``bucket_by`` also keeps
     the rows hash-partitioned on disk: later windows, aggregations and joins on those
-    columns then read them in place, without a shuffle. Bucketed stages are external tables
+    columns then read them in place, without a shuffle. ``partition_by`` (with buckets only) splits
+    each bucket into folders by columns of few values, so that a filter on them reads their folders
+    alone; the columns come last. Bucketed stages are external tables
     of ``database`` (the current one if None); ``drop_stages`` removes all stages of a run.
     """
     spark = df.sparkSession
@@ -83,8 +87,10 @@ def materialize(df: DataFrame, name: str, bucket_by: tuple[str, ...] = (), datab
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = (f"{database}." if database else "") + path.rpartition("/")[2].replace("-", "_")
     _TABLES.setdefault(spark.sparkContext.applicationId, []).append(table)
-    # Shuffled by the bucket columns first, each bucket is written by one task as one file.
+    # Shuffled by the bucket columns first, each bucket is written by one task as one file (a folder, where it is split).
     writer = df.repartition(buckets, *bucket_by).write.format("parquet").option("path", path)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     writer.option("compression", "snappy").bucketBy(buckets, *bucket_by).saveAsTable(table)
     return spark.table(table)
 

@@ -25,7 +25,7 @@ DEFAULT = (
     "dq_orphan_ids dq_row_counts dq_label_coverage dq_null_counts dq_clip_counts dq_clip_negative fact_forecasts_all best_forecast_all "
     "gbt_forecast_check gbt_beats_naive gbt_importance_check csv_wide_scan csv_calendar_scan csv_price_last parquet_by_store star_tables "
     "result_table csv_result json_result long_schema policy_joined summary_values policy_avg_by_abc risk_by_category cost_by_category "
-    "newsvendor_summary model_features price_change lag_features metric_display "
+    "category_months_of_year snap_impact_of_year event_day_sales newsvendor_summary model_features price_change lag_features metric_display "
     "csv_price_arrivals fact_loads sample_rows series_cv_merged footer_profile"
 ).split()
 STATEMENTS = oracle.statements()
