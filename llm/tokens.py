@@ -111,7 +111,8 @@ class Encoder:
             self.bare = {}
         cut = [(text or "").split(" ") for text in texts]
         heads = [parts.pop(0) for parts in cut]
-        self._learn(set().union(*cut) - self.after_space.keys())
+        # Looks up each part of the batch; subtracting the view of the keys would walk the whole cache for every batch.
+        self._learn(set().union(*cut).difference(self.after_space))
         self._learn_bare(set(heads))
         known, out = self.after_space.__getitem__, []
         for head, parts in zip(heads, cut):
