@@ -24,11 +24,15 @@ def encode(values: np.ndarray) -> np.ndarray:
     if not n:
         return np.zeros(0, np.uint64)
     selector = np.full(n, ESCAPE, np.uint8)
+    narrow = values.astype(np.uint32) if values.max() < 1 << 32 else values
+    most, reach = narrow, 1  # the largest value of each window, and the windows' length
     for code, (count, bits) in enumerate(LAYOUT):
         if count > n:
             break
-        wide = np.concatenate([[0], np.cumsum(values >= np.uint64(1 << bits), dtype=np.int64)])
-        fits = wide[count:] == wide[:-count]
+        while reach < count:
+            step = min(reach, count - reach)
+            most, reach = np.maximum(most[:-step], most[step:]), reach + step
+        fits = most <= narrow.dtype.type(min((1 << bits) - 1, np.iinfo(narrow.dtype).max))
         if not fits.any():
             break  # then no longer window of narrower values fits either
         selector[: n - count + 1][fits] = code

@@ -25,7 +25,6 @@ from llm.tokens import END_ID, encoder, end_bytes, vocabulary_path
 from shelfwise.session import stage_dir
 
 BLOCK_IDS = 1 << 16
-ROWS_AT_ONCE = 256
 _BLOCKS = "file int, block int, n_ids bigint, doc_ids array<bigint>, counts array<bigint>, words binary"
 
 
@@ -47,9 +46,8 @@ def _encode(path: str, end_id: int, block_ids: int):
         waiting = 0
         for batch in batches:
             names = batch.column("doc_id").to_pylist()
-            for a in range(0, batch.num_rows, ROWS_AT_ONCE):
-                found = own.encode(batch.column("text").slice(a, ROWS_AT_ONCE).to_pylist())
-                for name, data in zip(names[a : a + ROWS_AT_ONCE], found):
+            for a, found in own.runs(batch.column("text")):
+                for name, data in zip(names[a : a + len(found)], found):
                     ids.append(data + end)
                     docs.append(name)
                     counts.append(len(data) // 4 + 1)

@@ -2,6 +2,7 @@ import collections
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -36,6 +37,31 @@ def test_strings_of_special_tokens_are_those_tokens():
     assert any(t.content in "a <|endoftext|> b" for t in TOKENIZER.get_added_tokens_decoder().values())
 
 
+class Counted(dict):
+    lookups = 0
+
+    def get(self, *args):
+        self.lookups += 1
+        return super().get(*args)
+
+
+def test_a_part_is_looked_up_once_per_run():
+    """However often it occurs: the ids of a run are put together from its different parts."""
+    own = Encoder(vocabulary_path())
+    own.after_space = Counted()
+    texts = ["Wort und Zahl, " * 50 + "end.\nNext \u00e9t\u00e9", None, "", "Zahl und Wort", "x  y", " Wort", "a <|endoftext|> Wort"] * 40
+    ((first, found),) = own.runs(pa.array(["left out", *texts]).slice(1))
+    assert first == 0 and [np.frombuffer(x, "<u4").tolist() for x in found] == [TOKENIZER.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert own.after_space.lookups < 20
+
+
+def test_letters_are_one_piece():
+    """Words that go to the model as they are: any ASCII letters, long ones, beside words with other letters and marks."""
+    words = ["a", "Z", "s", "ll", "x" * 3000, "Anblewh", "erinreaouentionhe", "caf\u00e9", "don't", "re", "o'clock", "\u00aa", "two.", "T\u200db"]
+    text = "head " + " ".join(words) + "\n" + " ".join(reversed(words))
+    assert np.frombuffer(Encoder(vocabulary_path()).encode([text])[0], "<u4").tolist() == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 60_000), st.integers(0, 2**64 - 1)), max_size=400))
 def test_simple8b_round_trip(values):
