@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from llm import decontaminate as benchmark_hits, language as languages, minhash, packing, quality as qualities
 from shelfwise.session import materialize
 
+CACHED_PARTS = 100_000  # for each of two generations: workers and executors still hold what the stages before took
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages stay; those without letters, and those that no language claims, go.
@@ -64,7 +66,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts are one end token; longer ones than a sequence are cut; rows that repeat an id are pieces of their own; an empty
     table gives none; extra columns are left behind.
     """
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, cached_parts=CACHED_PARTS)
 
 
 STAGES = [

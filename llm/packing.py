@@ -24,14 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from llm.text import small_batches
-from llm.tokens import END_ID, encoder, end_bytes, vocabulary_path
+from llm.tokens import CACHED_PARTS, END_ID, encoder, end_bytes, vocabulary_path
 from shelfwise.session import materialize
 
 LENGTH = 1024
 OPEN_BINS = 256
 TASK_TOKENS = 32 << 20
 TASK_ROWS = 500_000
-ROWS_AT_ONCE = 256
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -79,15 +78,14 @@ def cuts(n: int, length: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(a, length) for a in range(first, n, length)]
 
 
-def _cut(path: str, end_id: int, length: int):
+def _cut(path: str, end_id: int, length: int, cached_parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, end = encoder(path), end_bytes(end_id)
+        own, end = encoder(path, cached_parts), end_bytes(end_id)
         for batch in batches:
             names = batch.column("doc_id").to_pylist()
-            for a in range(0, batch.num_rows, ROWS_AT_ONCE):
+            for a, found in own.runs(batch.column("text")):
                 rows = []
-                found = own.encode(batch.column("text").slice(a, ROWS_AT_ONCE).to_pylist())
-                for name, data in zip(names[a : a + ROWS_AT_ONCE], found):
+                for name, data in zip(names[a : a + len(found)], found):
                     data += end
                     for k, (start, size) in enumerate(cuts(len(data) // 4, length)):
                         rows.append((name, k, start, size, zlib.crc32(data[4 * start : 4 * (start + size)])))
@@ -97,11 +95,13 @@ def _cut(path: str, end_id: int, length: int):
     return run
 
 
-def pieces(documents: DataFrame, length: int = LENGTH, vocabulary: str | None = None, end_id: int = END_ID) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of (doc_id, text)."""
+def pieces(
+    documents: DataFrame, length: int = LENGTH, vocabulary: str | None = None, end_id: int = END_ID, cached_parts: int = CACHED_PARTS
+) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of (doc_id, text). Fewer cached parts take less memory and more time."""
     small_batches(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(_cut(vocabulary or vocabulary_path(), end_id, length), _PIECES)
+    return rows.mapInArrow(_cut(vocabulary or vocabulary_path(), end_id, length, cached_parts), _PIECES)
 
 
 def _fit(length: int, open_bins: int, name: str = "bin"):
@@ -151,6 +151,6 @@ def pack(found: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, tas
     return packed.union(own)
 
 
-def pack_documents(documents: DataFrame, length: int = LENGTH) -> DataFrame:
+def pack_documents(documents: DataFrame, length: int = LENGTH, cached_parts: int = CACHED_PARTS) -> DataFrame:
     """All pieces of (doc_id, text) with their sequence and place in it."""
-    return pack(materialize(pieces(documents, length), "pieces"), length)
+    return pack(materialize(pieces(documents, length, cached_parts=cached_parts), "pieces"), length)

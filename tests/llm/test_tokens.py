@@ -138,3 +138,20 @@ def test_packing_comes_close_to_the_bound():
 
 def test_packing_an_empty_table(spark):
     assert packing.pack_documents(documents(spark, [])).count() == 0
+
+
+def test_the_pipeline_packs_with_a_small_cache(spark, monkeypatch):
+    """Its executors still hold what other stages took: a stage of many different words keeps few of them, in short runs."""
+    import corpus_pipeline
+
+    kept = []
+    monkeypatch.setattr(packing, "_cut", lambda path, end, length, cached, cut=packing._cut: kept.append(cached) or cut(path, end, length, cached))
+    docs = documents(spark, DOCS, clashing=True)
+    assert corpus_pipeline.pack(spark, docs, "").count() == packing.pack_documents(docs).count()
+    assert kept[0] <= 100_000 < kept[1]
+    own = Encoder(vocabulary_path(), cached_parts=1000)
+    words = [f"w{k:x}q" for k in range(60_000)]
+    texts = pa.array([" ".join(words[a : a + 100]) for a in range(0, len(words), 100)])
+    assert [x for _, found in own.runs(texts) for x in found] == Encoder(vocabulary_path()).encode(texts)
+    one_run = own.run_bytes // len(words[-1])
+    assert len(own.after_space) + len(own.older) <= 2 * (1000 + one_run) < len(words) + 100_000
