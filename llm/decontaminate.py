@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from llm.text import alnum_words, chunks, field, lower_ascii, small_batches, utf8, word_spans
+from llm.text import alnum_words, chunks, field, giving_back, lower_ascii, small_batches, utf8, word_spans
 
 WINDOW = 13
 PART_BYTES = 32 << 20
@@ -130,7 +130,7 @@ def _scan(key: str, patterns: Broadcast, last: bool, carry: bool):
                     out["row"] = pa.StructArray.from_arrays([field(batch, "doc_id")], ["doc_id"])
             yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
 
-    return scan
+    return giving_back(scan)
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from llm.text import BASE, chunks, field, small_batches, utf8
+from llm.text import BASE, chunks, field, giving_back, small_batches, utf8
 from shelfwise.session import materialize
 
 UNDETERMINED = "und"
@@ -138,7 +138,7 @@ def learn(
     spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     # Twice the share is drawn and cut to size afterwards, as a share by hash is not exact.
     drawn = rows.join(F.broadcast(share), (F.col("lang") == F.col("known")) & (spread < F.col("share"))).select("doc_id", "text", "lang")
-    got = drawn.mapInArrow(_featurise, "doc_id bigint, lang string, bits binary").collect()
+    got = drawn.mapInArrow(giving_back(_featurise), "doc_id bigint, lang string, bits binary").collect()
     got.sort(key=lambda r: (r.lang, hash_order(r.doc_id), r.bits))
     kept, seen = [], {}
     for r in got:
@@ -184,7 +184,7 @@ def _predict(shared, filtering: bool):
                 out = {"doc_id": field(batch, "doc_id"), "lang_pred": pa.array(names, pa.string()), "score": pa.array(scores, pa.float64())}
             yield pa.RecordBatch.from_arrays(list(out.values()), names=list(out))
 
-    return predict
+    return giving_back(predict)
 
 
 def _has_letter() -> Column:

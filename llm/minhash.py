@@ -29,12 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from llm.components import components
-from llm.text import chunks, distinct_by_row, lower_ascii, mix, shingles, small_batches, spaced_words, utf8, word_hashes, word_spans
+from llm.text import chunks, distinct_by_row, give_back, giving_back, lower_ascii, mix, shingles, small_batches, spaced_words, utf8, word_hashes, word_spans
 from shelfwise.session import materialize
 
 ROWS_PER_BAND = 5
 MISS = 1e-7
 BLOCK_SHINGLES = 2_000_000
+LARGE_BLOCK = 200_000  # shingles: its memory is worth giving back at once
 MOST_BROADCAST = 1 << 21  # ids: 16 MB
 MOST_BITS = 1 << 29  # of the candidates' bitmap: 64 MB
 BITMAP_SLICES = 64
@@ -120,7 +121,7 @@ def _fingerprints(size: int, bands: int):
                     names=["doc_id", "n_shingles", "digest", "bands"],
                 )
 
-    return run
+    return giving_back(run)
 
 
 def _slice_bits(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -161,7 +162,7 @@ def _sets(size: int, shared):
                     names=["node", "shingles"],
                 )
 
-    return run
+    return giving_back(run)
 
 
 def _similar(common, n_a, n_b, percent: int):
@@ -176,22 +177,32 @@ def block_links(sets: list[np.ndarray], labels: np.ndarray, is_query: np.ndarray
     """
     sizes = np.array([len(s) for s in sets], np.int64)
     edges = np.concatenate([[0], np.cumsum(sizes)])
-    _, number, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    rank = np.empty(len(held), np.int64)
-    rank[np.argsort(held, kind="stable")] = np.arange(len(held))
-    tokens, owner = rank[number], np.repeat(np.arange(len(sets)), sizes)
-    order = np.lexsort((tokens, owner))
-    tokens = tokens[order]
+    # The block's largest arrays: sorted in place, of 32 bits where that will do.
+    low, shift = np.uint64((1 << 32) - 1), np.uint64(32)
+    values = np.concatenate(sets)
+    values.sort()
+    firsts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+    held, values = np.diff(firsts, append=len(values)), values[firsts]
+    rank = np.empty(len(held), np.uint32)
+    rank[np.argsort(held, kind="stable")] = np.arange(len(held), dtype=np.uint32)
+    tokens = np.empty(int(edges[-1]), np.uint32)
+    for k, own in enumerate(sets):
+        tokens[edges[k] : edges[k + 1]] = np.sort(rank[np.searchsorted(values, own)])
+    del values, firsts, rank
     prefix = sizes - (percent * sizes + 99) // 100 + 1
-    in_prefix = np.arange(len(tokens)) - edges[owner] < prefix[owner]
 
-    def index(use):
-        t, o = tokens[use], owner[use]
-        by = np.argsort(t, kind="stable")
-        return o[by], np.concatenate([[0], np.cumsum(np.bincount(t, minlength=len(held)))])
-
-    rare, rare_at = index(in_prefix)
-    full, full_at = index(slice(None))
+    def index(lengths):
+        """Owners of the first tokens of each set, by token, and where each token's owners begin."""
+        keys, at = np.empty(int(lengths.sum()), np.uint64), 0
+        for k, n in enumerate(lengths.tolist()):
+            keys[at : at + n] = (tokens[edges[k] : edges[k] + n].astype(np.uint64) << shift) | np.uint64(k)
+            at += n
+        keys.sort()
+        starts = np.searchsorted(keys, np.arange(len(held) + 1, dtype=np.uint64) << shift)
+        return (keys & low).astype(np.int32), starts
+
+    rare, rare_at = index(np.minimum(prefix, sizes))
+    full, full_at = index(sizes)
     root = {int(x): int(x) for x in set(labels.tolist())}
 
     def find(x: int) -> int:
@@ -230,6 +241,8 @@ def _resolve(percent: int):
         else:
             at, values = column.offsets.to_numpy(), column.values.to_numpy()
             links = block_links([values[i:j] for i, j in zip(at[:-1], at[1:])], labels, asks, percent)
+            if len(values) >= LARGE_BLOCK:
+                give_back()
         a, b = ([int(nodes[x[k]]) for x in links] for k in (0, 1))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -319,7 +332,7 @@ def _held(key: str, shared):
             taken = (shared.value[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(taken)], names=["row", key])
 
-    return run
+    return giving_back(run)
 
 
 def without(documents: DataFrame, gone: DataFrame, most_broadcast: int = MOST_BROADCAST) -> DataFrame:

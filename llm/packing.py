@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from llm.text import small_batches
+from llm.text import giving_back, small_batches
 from llm.tokens import CACHED_PARTS, END_ID, encoder, end_bytes, vocabulary_path
 from shelfwise.session import materialize
 
@@ -91,8 +91,10 @@ def _cut(path: str, end_id: int, length: int, cached_parts: int):
                         rows.append((name, k, start, size, zlib.crc32(data[4 * start : 4 * (start + size)])))
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        if cached_parts < CACHED_PARTS:  # asked for where memory is short: the parts go with the task
+            own.forget()
 
-    return run
+    return giving_back(run)
 
 
 def pieces(
@@ -123,7 +125,7 @@ def _fit(length: int, open_bins: int, name: str = "bin"):
                 names=[*batch.schema.names, name, "place", "last"],
             )
 
-    return run
+    return giving_back(run)
 
 
 def pack(found: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS, task_tokens: int = TASK_TOKENS, task_rows: int = TASK_ROWS) -> DataFrame:

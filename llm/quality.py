@@ -25,7 +25,7 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
-from llm.text import chunks, field, lower_ascii, shingles, small_batches, spaced_words, utf8, word_hashes, word_spans
+from llm.text import chunks, field, giving_back, lower_ascii, shingles, small_batches, spaced_words, utf8, word_hashes, word_spans
 from shelfwise.session import materialize
 
 THRESHOLD = 0.3
@@ -115,14 +115,14 @@ def measure(documents: DataFrame) -> DataFrame:
     """doc_id and the statistics of each whole text."""
     small_batches(documents.sparkSession)
     rows = documents.select(F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), "text").alias("row"))
-    return rows.mapInArrow(_measure, f"first bigint, {_MEASURED}").withColumnRenamed("first", "doc_id")
+    return rows.mapInArrow(giving_back(_measure), f"first bigint, {_MEASURED}").withColumnRenamed("first", "doc_id")
 
 
 def good(documents: DataFrame, ensemble: Ensemble, threshold: float = THRESHOLD) -> DataFrame:
     """The rows, with all their columns, of documents that score at least the threshold."""
     small_batches(documents.sparkSession)
     rows = documents.select(F.struct(*documents.columns).alias("row"), F.lit(True).alias("whole"))
-    measured = rows.mapInArrow(_measure, f"first {documents.schema.simpleString()}, {_MEASURED}")
+    measured = rows.mapInArrow(giving_back(_measure), f"first {documents.schema.simpleString()}, {_MEASURED}")
     return measured.where(ensemble.score() >= threshold).select("first.*")
 
 

@@ -52,6 +52,10 @@ class Encoder:
         for token, number in self.tokenizer.get_vocab().items():
             self.opens[number] = token.startswith(SPACE)
 
+    def forget(self) -> None:
+        """Empties the cache."""
+        self.after_space, self.older, self.bare = {}, {}, {}
+
     def _batch(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]

@@ -98,3 +98,38 @@ def test_components_of_chains_stars_and_loops(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == {**{k: 100 for k in range(100, 161)}, **{k: 1 for k in range(1, 60)}, 500: 1, 901: 901, 902: 901}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_a_block_takes_little_memory_for_each_shingle():
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    base = rng.integers(-(2**62), 2**62, 200)
+    sets = [np.unique(np.where(rng.random(200) < 0.1, rng.integers(-(2**62), 2**62, 200), base)) for _ in range(1500)]
+    asks = np.arange(1500) >= 1490
+    labels = np.where(asks, np.arange(1500), 0)
+    tracemalloc.start()
+    links = minhash.block_links(sets, labels, asks, 80)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert links and peak < 40 * sum(map(len, sets))
+
+
+def test_a_worker_gives_back_the_memory_of_a_task():
+    import subprocess
+    import sys
+
+    code = """if 1:
+        import re, numpy as np, pyarrow as pa
+        from llm import quality, text
+        def held():
+            return int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+        rng = np.random.default_rng(1)
+        texts = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 300)) for _ in range(6000)]
+        batch = pa.RecordBatch.from_arrays([pa.StructArray.from_arrays([pa.array(range(6000)), pa.array(texts)], ["doc_id", "text"])], ["row"])
+        run = text.giving_back(quality._measure)
+        before = held()
+        for _ in run(iter([batch] * 2)): pass
+        print(held() - before)
+    """
+    assert float(subprocess.run([sys.executable, "-c", code], check=True, capture_output=True, text=True).stdout) < 30

@@ -155,3 +155,13 @@ def test_the_pipeline_packs_with_a_small_cache(spark, monkeypatch):
     assert [x for _, found in own.runs(texts) for x in found] == Encoder(vocabulary_path()).encode(texts)
     one_run = own.run_bytes // len(words[-1])
     assert len(own.after_space) + len(own.older) <= 2 * (1000 + one_run) < len(words) + 100_000
+
+
+@pytest.mark.parametrize("parts, kept", [(100, False), (800_000, True)])
+def test_a_small_cache_goes_with_its_task(parts, kept):
+    from llm.tokens import encoder
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["one two three", "two four"]})
+    rows = [b.num_rows for b in packing._cut(vocabulary_path(), 2, 64, parts)(iter([batch]))]
+    own = encoder(vocabulary_path(), parts)
+    assert sum(rows) == 2 and bool(own.after_space or own.older or own.bare) is kept
