@@ -1,6 +1,13 @@
-"""Embedding near-dedup: one hierarchical navigable small-world graph per shard, every shard asked by every vector.
-
-* Equal vectors are one node. Nodes are dealt to shards by hash, so a large group of near copies spreads over all shards.
+"""Embedding near-dedup: hierarchical navigable small-world graphs, each asked by the vectors that could have a link in it.
+
+* Equal vectors are one node. Each node goes, as one byte a component, to the few *cells* whose random pivots score highest for it.
+  Whether two vectors share a cell depends on their angle alone, and nodes go to so many cells that two at the link angle do, but for a
+  chance of about 1 in 10,000 (``cells_of_a_node``; less at smaller angles). A mean that all vectors share is taken out first. In
+  a cell all nodes are compared by matrix products, with the rounding's largest error allowed for. This only tells which nodes could be
+  linked, directly or over others: a *lot* is closed, no link leads out of it. A cell of too many nodes is one lot, uncompared. A node
+  without a lot is alone.
+* Small lots are bundled, a graph for each bundle. The nodes of a larger lot are dealt to shards by hash and all its shards are asked
+  by all its nodes, so a large group of near copies spreads over all of them.
 * In a shard, a vector within half the link angle of a graph node joins that node's *clump*; only clump heads are graph nodes.
   Angles obey the triangle inequality, so a clump's members are all linked, and a vector whose angle to the head plus the clump's
   radius is within the link angle is linked with all of them. Large groups are therefore counted, not paired; members
@@ -20,18 +27,28 @@ from __future__ import annotations
 
 import io
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from llm.components import components
-from llm.text import mix
+from llm.text import mix, small_batches
 from shelfwise.session import materialize
 
 THRESHOLD = 0.9
 SHARD_ROWS = 50_000
-LEAST_SHARDS = 6
+BUNDLES = 32  # of small groups to a shard's rows
+CELL_ROWS = 4096
+CELLS_OF_A_NODE = 12
+MOST_CELLS_OF_A_NODE = 32  # beyond that, cells cost more than they spare
+MOST_CELLS = 16_384
+CROWDED = 65_536  # a cell of more nodes is one group
+DRAWS = 2000
+LEAST_CENTRE = 0.02  # squared length of a mean that is taken out
+KNOWN_BYTES = 4 << 20
+PACKED = 4096  # bytes of nodes in a row, about
 GRAPH_LINKS = 24
 BEAM = 32
 EXPANDED = 4
@@ -356,73 +373,326 @@ def _vectors(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     return np.concatenate([c.flatten().to_numpy() for c in column.chunks]).reshape(-1, dim)
 
 
+def _sorted(table: pa.Table, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes in ascending order, their ids, vectors and copies."""
+    order = np.argsort(table.column("number").to_numpy(), kind="stable")
+    nodes, ids, copies = (table.column(name).to_numpy()[order] for name in ("number", "node", "copies"))
+    return nodes, ids, _vectors(table.column("vector"), dim)[order], copies
+
+
 def _graph(threshold: float):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        dim, shard = (k.as_py() for k in key)
-        order = np.argsort(table.column("node").to_numpy(), kind="stable")
-        made = Shard(table.column("node").to_numpy()[order], table.column("copies").to_numpy()[order], _vectors(table.column("vector"), dim)[order], threshold)
-        return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int32()), "graph": pa.array([made.pack()], pa.binary())})
+        dim, lot, shard = (k.as_py() for k in key)
+        nodes, ids, vectors, copies = _sorted(table, dim)
+        made = Shard(nodes, copies, vectors, threshold)
+        return pa.table({
+            "dim": pa.array([dim], pa.int32()), "lot": pa.array([lot], pa.int64()), "shard": pa.array([shard], pa.int32()),
+            "graph": pa.array([made.pack()], pa.binary()), "shard_ids": pa.array([ids.tobytes()], pa.binary()),
+        })
 
     return run
 
 
 def _block(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    dim, block = (k.as_py() for k in key)
-    nodes, vectors = table.column("node").to_numpy(), np.ascontiguousarray(_vectors(table.column("vector"), dim))
+    dim, lot, block = (k.as_py() for k in key)
+    nodes, ids, vectors, _ = _sorted(table, dim)
     return pa.table({
-        "dim": pa.array([dim], pa.int32()), "block": pa.array([block], pa.int32()),
-        "nodes": pa.array([nodes.tobytes()], pa.binary()), "vectors": pa.array([vectors.tobytes()], pa.binary()),
+        "dim": pa.array([dim], pa.int32()), "lot": pa.array([lot], pa.int64()), "block": pa.array([block], pa.int32()),
+        "nodes": pa.array([nodes.tobytes()], pa.binary()), "ids": pa.array([ids.tobytes()], pa.binary()), "vectors": pa.array([vectors.tobytes()], pa.binary()),
     })
 
 
+def _answer(counts: np.ndarray, spanning: list[tuple[int, int]], nodes: np.ndarray, ids: np.ndarray, shard: Shard, shard_ids: np.ndarray) -> pa.RecordBatch:
+    """(node, -1, links) for nodes with links, and (vec_id, vec_id, -1) for links that span them."""
+    some = np.flatnonzero(counts)
+    a, b = np.array(spanning, np.int64).reshape(-1, 2).T
+    a, b = ids[np.searchsorted(nodes, a)], shard_ids[np.searchsorted(shard.nodes, b)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate([nodes[some], a])), pa.array(np.concatenate([np.full(len(some), -1, np.int64), b])), pa.array(np.concatenate([counts[some], np.full(len(a), -1, np.int64)]))],
+        names=["node", "other", "links"],
+    )
+
+
+def _bundle(threshold: float):
+    """Graph of whole groups, asked by its own nodes."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        nodes, ids, vectors, copies = _sorted(table, key[0].as_py())
+        shard = Shard(nodes, copies, vectors, threshold)
+        return pa.Table.from_batches([_answer(*shard.links(nodes, vectors), nodes, ids, shard, ids)])
+
+    return run
+
+
 def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shard, last = None, None
     for batch in batches:
         for k in range(batch.num_rows):
-            dim, number = batch.column("dim")[k].as_py(), batch.column("shard")[k].as_py()
-            if last != (dim, number):
-                shard, last = Shard.unpack(batch.column("graph")[k].as_py()), (dim, number)
-            nodes = np.frombuffer(batch.column("nodes")[k].as_py(), np.int64)
-            counts, spanning = shard.links(nodes, np.frombuffer(batch.column("vectors")[k].as_py(), np.float64).reshape(-1, dim))
-            some = np.flatnonzero(counts)
-            a, b = np.array(spanning, np.int64).reshape(-1, 2).T
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([nodes[some], a])), pa.array(np.concatenate([np.full(len(some), -1, np.int64), b])), pa.array(np.concatenate([counts[some], np.full(len(a), -1, np.int64)]))],
-                names=["node", "other", "links"],
-            )
-
-
-def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """vec_id, n_links, component_id, kept for each row of (vec_id, embedding); threshold above 0."""
-    rows = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
+            dim, *at = (batch.column(name)[k].as_py() for name in ("dim", "lot", "shard"))
+            if last != (dim, *at):
+                shard, last = Shard.unpack(batch.column("graph")[k].as_py()), (dim, *at)
+            nodes, ids, shard_ids = (np.frombuffer(batch.column(name)[k].as_py(), np.int64) for name in ("nodes", "ids", "shard_ids"))
+            data = batch.column("vectors")[k].as_py()
+            vectors = np.frombuffer(data, np.float32 if len(data) == 4 * dim * len(nodes) else np.float64).reshape(-1, dim)
+            yield _answer(*shard.links(nodes, vectors), nodes, ids, shard, shard_ids)
+
+
+def pivots(dim: int, cells: int) -> np.ndarray:
+    """Random directions: what two vectors score on them depends on the angle between the vectors alone."""
+    return unit(np.random.Generator(np.random.PCG64(dim)).standard_normal((cells, dim))).astype(np.float32)
+
+
+def highest(scores: np.ndarray, n: int) -> np.ndarray:
+    """Places of the n highest scores of each row, in no order."""
+    rows, wide = scores.shape
+    side = 16
+    if wide < 4 * n * side:
+        return np.argpartition(-scores, n - 1, axis=1)[:, :n] if n < wide else np.tile(np.arange(wide), (rows, 1))
+    # The n highest stand in the n strips of the highest maxima.
+    strips = np.pad(scores, ((0, 0), (0, -wide % side)), constant_values=-np.inf).reshape(rows, -1, side)
+    best = np.argpartition(-strips.max(axis=2), n - 1, axis=1)[:, :n]
+    among = np.take_along_axis(strips, best[:, :, None], 1).reshape(rows, -1)
+    at = np.argpartition(-among, n - 1, axis=1)[:, :n]
+    return np.take_along_axis(best, at // side, 1) * side + at % side
+
+
+def cells_of_a_node(cells: int, dim: int, cos: float) -> int:
+    """To how many cells each of two vectors of this cosine has to go so that they meet but for a chance of about 1 in 10,000: in
+    trials of up to 100,000 draws, that takes five thirds of what suffices for 99 of 100 draws."""
+    rng, places = np.random.Generator(np.random.PCG64(cells)), np.arange(min(cells, 2 * MOST_CELLS_OF_A_NODE))
+    worse, enough = np.maximum(places[:, None], places), []
+    for _ in range(DRAWS // 100):
+        one, other = rng.standard_normal((2, 100, cells), dtype=np.float32)
+        length = np.sqrt(one**2 + other**2 + 2 * rng.standard_gamma(max(0, dim - 2) / 2, (100, cells), dtype=np.float32))
+        ranked = []
+        for scores in (one / length, (cos * one + np.float32(np.sqrt(1 - cos**2)) * other) / length):
+            to = highest(scores, len(places))
+            ranked.append(np.take_along_axis(to, np.argsort(-np.take_along_axis(scores, to, 1), axis=1), 1))
+        enough.append(np.where(ranked[0][:, :, None] == ranked[1][:, None, :], worse, cells).min(axis=(1, 2)) + 1)
+    return -(-5 * int(np.quantile(np.concatenate(enough), 0.99, method="higher")) // 3)
+
+
+class Spread(NamedTuple):
+    """How the nodes of one length go to cells: by what is left of them beside the centre; those closer to it than ``least`` go to all."""
+
+    cells: int = 1
+    copies: int = 1
+    centre: np.ndarray | None = None
+    least: float = 0.0
+
+    def __call__(self, x: np.ndarray, directions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row and cell of each copy of the unit vectors x, by cell."""
+        if self.cells == 1:
+            return np.arange(len(x)), np.zeros(len(x), np.int64)
+        beside = x if self.centre is None else x - self.centre
+        to = np.concatenate([highest(beside[a : a + 1000].astype(np.float32) @ directions.T, self.copies) for a in range(0, len(x), 1000)])
+        close = np.linalg.norm(beside, axis=1) < self.least
+        far = np.flatnonzero(~close)
+        rows = np.concatenate([np.repeat(far, self.copies), np.repeat(np.flatnonzero(close), self.cells)])
+        cell = np.concatenate([to[far].ravel(), np.tile(np.arange(self.cells), int(close.sum()))])
+        order = np.argsort(cell, kind="stable")
+        return rows[order], cell[order]
+
+
+def spread_of(n: int, dim: int, some: np.ndarray, threshold: float, cell_rows: int = CELL_ROWS) -> Spread:
+    """The spread of n nodes, of which some are known. Vectors that share much with each other would crowd into few cells; without their
+    mean they don't, but then links span larger angles, the more so the closer a vector is to the mean."""
+    if n <= 8 * cell_rows:
+        return Spread()
+    cells = min(-(-n * CELLS_OF_A_NODE // cell_rows), MOST_CELLS)
+    mean = unit(some).sum(axis=0) / max(1, len(some))
+    centre, least, cos = None, 0.0, threshold
+    if mean @ mean > LEAST_CENTRE:
+        centre = mean
+        least = float(np.quantile(np.linalg.norm(unit(some) - centre, axis=1), CELLS_OF_A_NODE / 10 / cells))
+        cos = float(np.sqrt(max(0.0, 1 - (2 - 2 * threshold) / max(least, 1e-9) ** 2)))  # the least of two vectors as far from the centre, or farther
+    copies = cells_of_a_node(cells, dim, cos)
+    return Spread(cells, copies, centre, least) if copies <= min(MOST_CELLS_OF_A_NODE, cells) else Spread()
+
+
+def _deal(plans: dict[int, Spread]):
+    """Nodes, rounded to a byte a component, packed by cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: dict[int, np.ndarray] = {}
+        for batch in batches:
+            dims = batch.column("dim").to_numpy()
+            for dim in np.unique(dims).tolist():
+                use = batch.filter(pa.array(dims == dim)) if (dims != dim).any() else batch
+                x = unit(_vectors(pa.chunked_array([use.column("vector")]), dim))
+                if dim not in made:
+                    made[dim] = pivots(dim, plans[dim].cells)
+                rows, cell = plans[dim](x, made[dim])
+                small = np.rint(x * (127 / np.abs(x).max(axis=1, keepdims=True))).astype(np.int8)
+                # A row ends where the cell changes, or is full.
+                first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+                place = np.arange(len(cell)) - np.repeat(first, np.diff(np.r_[first, len(cell)]))
+                at = np.flatnonzero(place % max(1, PACKED // (dim + 8)) == 0)
+                ends = np.r_[at, len(cell)]
+                nodes, vectors = use.column("number").to_numpy()[rows], small[rows]
+                binary = lambda data, width: pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((ends * width).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), dim, np.int32)), pa.array(cell[at].astype(np.int32)), binary(nodes, 8), binary(vectors, dim)], names=["dim", "cell", "nodes", "vectors"]
+                )
+
+    return run
+
+
+def _joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels (each the first row of its set) after the sets of each pair of rows are united."""
+    while True:
+        p, q = label[a], label[b]
+        apart = p != q
+        if not apart.any():
+            return label
+        a, b, p, q = a[apart], b[apart], p[apart], q[apart]
+        parent = np.arange(len(label))
+        np.minimum.at(parent, np.maximum(p, q), np.minimum(p, q))
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+        label = parent[label]
+
+
+def near_rows(small: np.ndarray, threshold: float) -> np.ndarray:
+    """For each rounded vector the first row of its set: rows that could be within the link angle are in one set.
+
+    A rounded vector is off by half a step a component at most, so its angle is known to ``off``.
+    """
+    n, dim = small.shape
+    x = small.astype(np.float32)
+    length = np.linalg.norm(x, axis=1, keepdims=True)
+    off = float(np.arcsin(np.minimum(1, np.sqrt(dim) / 2 / length)).max())
+    least = np.float32(np.cos(min(np.pi, np.arccos(threshold) + 2 * off)) - 1e-4)
+    x /= length
+    label = np.arange(n)
+    for a in range(0, n, 256):
+        rows = np.arange(a, min(a + 256, n))
+        # Rows of the set that most of these are in need not be compared with each other.
+        values, counts = np.unique(label[rows], return_counts=True)
+        most = values[counts.argmax()] if counts.max() > 1 else -1
+        for part, within in ((rows[label[rows] != most], None), (rows[label[rows] == most], most)):
+            if not len(part):
+                continue
+            rest = np.arange(a, n) if within is None else a + np.flatnonzero(label[a:] != within)
+            y = x[part]
+            for c in range(0, len(rest), 4096):
+                cols = rest[c : c + 4096]
+                there = x[cols[0] : cols[-1] + 1] if cols[-1] - cols[0] + 1 == len(cols) else x[cols]
+                near = y @ there.T >= least
+                if near.any():
+                    r, k = np.nonzero(near)
+                    label = _joined(label, part[r], cols[k])
+    return label
+
+
+def _compare(threshold: float):
+    """Links that span the sets of each cell, from rows in order of their cells."""
+
+    def links(key: tuple[int, int], nodes: list[np.ndarray], vectors: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        own = np.concatenate(nodes)
+        first = near_rows(np.concatenate(vectors).reshape(-1, key[0]), threshold)
+        some = np.flatnonzero(first != np.arange(len(own)))
+        return own[some], own[first[some]]
+
+    def out(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, nodes, vectors, n, head = None, [], [], 0, 0
+        for batch in batches:
+            keys = np.stack([batch.column(name).to_numpy() for name in ("dim", "cell")], axis=1)
+            ends = np.r_[np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1, len(keys)]
+            for a, b in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist()):
+                if a == b:
+                    continue
+                if (key := (int(keys[a, 0]), int(keys[a, 1]))) != last:
+                    if 1 < n <= CROWDED:
+                        yield out(*links(last, nodes, vectors))
+                    last, nodes, vectors, n = key, [], [], 0
+                new = np.frombuffer(b"".join(batch.column("nodes")[a:b].to_pylist()), np.int64)
+                if not n:
+                    head = new[0]
+                n += len(new)
+                if n <= CROWDED:
+                    nodes.append(new)
+                    vectors.append(np.frombuffer(b"".join(batch.column("vectors")[a:b].to_pylist()), np.int8))
+                else:
+                    for some in [*nodes, new]:
+                        yield out(some, np.full(len(some), head))
+                    nodes, vectors = [], []
+        if 1 < n <= CROWDED:
+            yield out(*links(last, nodes, vectors))
+
+    return run
+
+
+def lots_of(nodes: DataFrame, threshold: float, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """(number, lot) of the nodes that could have a link; nodes of different lots have none."""
+    spark = nodes.sparkSession
+    small_batches(spark)
+    sizes = {r["dim"]: r["n"] for r in nodes.groupBy("dim").agg(F.count("*").alias("n")).collect()}
+    plans = dict.fromkeys(sizes, Spread())
+    for dim in (dim for dim, n in sizes.items() if n > 8 * cell_rows):
+        # A few nodes tell where the centre is; any would do for right results.
+        share = max(1, sizes[dim] * dim * 4 // KNOWN_BYTES)
+        some = nodes.where((F.col("dim") == dim) & (F.pmod("more", F.lit(share)) == 0)).select("vector").toArrow().column("vector")
+        plans[dim] = spread_of(sizes[dim], dim, _vectors(some, dim) if len(some) else np.ones((0, dim)), threshold, cell_rows)
+    cells = nodes.select("dim", "number", "vector").mapInArrow(_deal(plans), "dim int, cell int, nodes binary, vectors binary")
+    cells = cells.repartition(tasks(spark, sum(sizes.values())), "dim", "cell").sortWithinPartitions("dim", "cell")
+    united = components(cells.mapInArrow(_compare(threshold), "a bigint, b bigint"))
+    return united.select(F.col("node").alias("number"), F.col("component").alias("lot"))
+
+
+def tasks(spark, rows: int) -> int:
+    """Of work that takes its time in Python: not fewer because there are few bytes."""
+    return max(4 * spark.sparkContext.defaultParallelism, -(-rows // 16_384))
+
+
+def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, shard_rows: int = SHARD_ROWS, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """vec_id, n_links, component_id, kept for each row of (vec_id, embedding); threshold above 0. The table is read twice."""
+    spark = embeddings.sparkSession
+    single = dict(embeddings.select("embedding").dtypes)["embedding"] == "array<float>"
+    rows = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<float>" if single else "array<double>").alias("vector"))
     bad = F.exists("vector", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     usable = F.coalesce(F.col("vec_id").isNotNull() & (F.size("vector") > 0) & ~bad & F.exists("vector", lambda v: v != 0), F.lit(False))
-    rows = materialize(rows.withColumn("vector", F.when(usable, F.col("vector"))), "vectors")
-    nodes = materialize(
-        rows.where("vector is not null").groupBy("vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")).withColumn("dim", F.size("vector")), "nodes"
-    )
-    shards, blocks = F.greatest(F.lit(LEAST_SHARDS), F.ceil(F.col("n") / shard_rows)).cast("int"), F.ceil(F.col("n") / shard_rows).cast("int")
-    sizes = nodes.groupBy("dim").agg(F.count("*").alias("n")).select("dim", shards.alias("shards"), blocks.alias("blocks"))
-    sizes = sizes.withColumn("sets", F.ceil(F.col("blocks") / BLOCKS_A_GRAPH).cast("int"))
-    dealt = nodes.join(sizes, "dim")
-    place = lambda salt, n: F.pmod(F.xxhash64("node", F.lit(salt)), n).cast("int")
+    rows = rows.select("vec_id", F.when(usable, F.col("vector")).alias("vector"))
+    name = [F.xxhash64(F.lit(k), "vector") for k in (1, 2)]  # 128 bits name a vector where it need not move
+    nodes = rows.where("vector is not null").groupBy("vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
+    nodes = materialize(nodes.select("*", F.size("vector").alias("dim"), name[0].alias("name"), name[1].alias("more"), F.monotonically_increasing_id().alias("number")), "nodes")
+    named = rows.select("vec_id", F.when(F.col("vector").isNotNull(), name[0]).alias("name"), F.when(F.col("vector").isNotNull(), name[1]).alias("more"))
+    rows = materialize(named.join(nodes.select("name", "more", "number", "node", "copies"), ["name", "more"], "left").select("vec_id", "number", "node", "copies"), "vectors")
+    lots = materialize(lots_of(nodes, threshold, cell_rows), "lots")
+    # Lots of at most a bundle's rows are dealt to bundles, larger ones, which are few, to shards of their own.
+    n, bundle = lots.count(), max(1, shard_rows // BUNDLES)
+    sizes = lots.groupBy("lot").agg(F.count("*").alias("n")).where(F.col("n") > bundle)
+    sizes = sizes.select("lot", F.ceil(F.col("n") / shard_rows).cast("int").alias("shards")).withColumn("sets", F.ceil(F.col("shards") / BLOCKS_A_GRAPH).cast("int"))
+    dealt = lots.join(F.broadcast(sizes), "lot", "left").join(nodes.select("number", "node", "copies", "dim", "vector"), "number")
+    dealt = materialize(dealt, "members")
+    place = lambda salt, n: F.pmod(F.xxhash64("number", F.lit(salt)), n).cast("int")
+    parts = tasks(spark, n)
+    own = F.when(F.col("shards") == 1, -1 - F.col("lot")).otherwise(F.pmod(F.xxhash64("lot"), F.lit(max(1, -(-n // bundle)))))
+    kept = dealt.where("shards is null or shards = 1").withColumn("bundle", own)
+    answers = kept.repartition(parts, "dim", "bundle").groupBy("dim", "bundle").applyInArrow(_bundle(threshold), "node bigint, other bigint, links bigint")
+    large = dealt.where("shards > 1")
     graphs = materialize(
-        dealt.withColumn("shard", place(1, F.col("shards"))).groupBy("dim", "shard").applyInArrow(_graph(threshold), "dim int, shard int, graph binary"), "graphs"
-    )
-    asking = dealt.withColumn("block", place(2, F.col("blocks"))).groupBy("dim", "block").applyInArrow(_block, "dim int, block int, nodes binary, vectors binary")
-    graphs = graphs.join(sizes, "dim").select("dim", "shard", "graph", F.explode(F.sequence(F.lit(0), F.col("sets") - 1)).alias("set"))
-    asking = asking.join(sizes, "dim").select(
-        "dim", "nodes", "vectors", F.pmod("block", "sets").alias("set"), F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard")
+        large.withColumn("shard", place(1, F.col("shards"))).repartition(parts, "dim", "lot", "shard").groupBy("dim", "lot", "shard")
+        .applyInArrow(_graph(threshold), "dim int, lot bigint, shard int, graph binary, shard_ids binary"), "graphs",
+    )
+    asking = large.withColumn("block", place(2, F.col("shards"))).groupBy("dim", "lot", "block").applyInArrow(_block, "dim int, lot bigint, block int, nodes binary, ids binary, vectors binary")
+    sizes = F.broadcast(sizes.where("shards > 1"))
+    graphs = graphs.join(sizes, "lot").select("dim", "lot", "shard", "graph", "shard_ids", F.explode(F.sequence(F.lit(0), F.col("sets") - 1)).alias("set"))
+    asking = asking.join(sizes, "lot").select(
+        "dim", "lot", "nodes", "ids", "vectors", F.pmod("block", "sets").alias("set"), F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard")
     )
-    cells = asking.join(graphs, ["dim", "shard", "set"]).select("dim", "shard", "graph", "nodes", "vectors")
-    found = materialize(cells.mapInArrow(_ask, "node bigint, other bigint, links bigint"), "found")
-    counts = found.where("links > 0").groupBy("node").agg(F.sum("links").alias("links"))
-    same_id = rows.where("vector is not null").join(nodes.select("vector", "node"), "vector").select(F.col("vec_id").alias("a"), F.col("node").alias("b"))
+    cells = asking.join(graphs, ["dim", "lot", "shard", "set"]).select("dim", "lot", "shard", "graph", "shard_ids", "nodes", "ids", "vectors")
+    found = materialize(answers.union(cells.mapInArrow(_ask, "node bigint, other bigint, links bigint")), "found")
+    counts = found.where("links > 0").groupBy("node").agg(F.sum("links").alias("links")).withColumnRenamed("node", "number")
+    same_id = rows.where("number is not null").select(F.col("vec_id").alias("a"), F.col("node").alias("b"))
     united = components(found.where("links < 0").select(F.col("node").alias("a"), F.col("other").alias("b")).union(same_id.where("a <> b")))
-    per_vector = nodes.join(counts, "node", "left").select("vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     united = united.select(F.col("node").alias("vec_id"), F.col("component").alias("component_id"))
+    n_links = F.coalesce(F.coalesce("links", F.lit(0)) + F.col("copies") - 1, F.lit(0))
     return (
-        rows.join(per_vector, "vector", "left").join(united, "vec_id", "left")
-        .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce(F.when(F.col("vector").isNotNull(), F.col("component_id")), "vec_id").alias("component_id"))
+        rows.join(counts, "number", "left").join(united, "vec_id", "left")
+        .select("vec_id", n_links.cast("bigint").alias("n_links"), F.coalesce(F.when(F.col("number").isNotNull(), F.col("component_id")), "vec_id").alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
     )
