@@ -448,12 +448,14 @@ def highest(scores: np.ndarray, n: int) -> np.ndarray:
     side = 16
     if wide < 4 * n * side:
         return np.argpartition(-scores, n - 1, axis=1)[:, :n] if n < wide else np.tile(np.arange(wide), (rows, 1))
-    # The n highest stand in the n strips of the highest maxima.
-    strips = np.pad(scores, ((0, 0), (0, -wide % side)), constant_values=-np.inf).reshape(rows, -1, side)
-    best = np.argpartition(-strips.max(axis=2), n - 1, axis=1)[:, :n]
-    among = np.take_along_axis(strips, best[:, :, None], 1).reshape(rows, -1)
+    # The n highest stand in the n strips of the highest maxima; a strip has every so manieth score, so that maxima are taken along rows.
+    if wide % side:
+        scores = np.pad(scores, ((0, 0), (0, -wide % side)), constant_values=-np.inf)
+    strips = scores.reshape(rows, side, -1)
+    best = np.argpartition(-strips.max(axis=1), n - 1, axis=1)[:, :n]
+    among = np.take_along_axis(strips, best[:, None, :], 2).reshape(rows, -1)
     at = np.argpartition(-among, n - 1, axis=1)[:, :n]
-    return np.take_along_axis(best, at // side, 1) * side + at % side
+    return at // n * strips.shape[2] + np.take_along_axis(best, at % n, 1)
 
 
 def cells_of_a_node(cells: int, dim: int, cos: float) -> int:
@@ -499,7 +501,7 @@ def spread_of(n: int, dim: int, some: np.ndarray, threshold: float, cell_rows: i
     mean they don't, but then links span larger angles, the more so the closer a vector is to the mean."""
     if n <= 8 * cell_rows:
         return Spread()
-    cells = min(-(-n * CELLS_OF_A_NODE // cell_rows), MOST_CELLS)
+    cells = min(-(-n * CELLS_OF_A_NODE // cell_rows // 16) * 16, MOST_CELLS)
     mean = unit(some).sum(axis=0) / max(1, len(some))
     centre, least, cos = None, 0.0, threshold
     if mean @ mean > LEAST_CENTRE:
@@ -564,7 +566,7 @@ def near_rows(small: np.ndarray, threshold: float) -> np.ndarray:
     off = float(np.arcsin(np.minimum(1, np.sqrt(dim) / 2 / length)).max())
     least = np.float32(np.cos(min(np.pi, np.arccos(threshold) + 2 * off)) - 1e-4)
     x /= length
-    label = np.arange(n)
+    label, room = np.arange(n), np.empty(256 * 4096, np.float32)  # memory that is new for each product would take as long as the product
     for a in range(0, n, 256):
         rows = np.arange(a, min(a + 256, n))
         # Rows of the set that most of these are in need not be compared with each other.
@@ -578,9 +580,11 @@ def near_rows(small: np.ndarray, threshold: float) -> np.ndarray:
             for c in range(0, len(rest), 4096):
                 cols = rest[c : c + 4096]
                 there = x[cols[0] : cols[-1] + 1] if cols[-1] - cols[0] + 1 == len(cols) else x[cols]
-                near = y @ there.T >= least
-                if near.any():
-                    r, k = np.nonzero(near)
+                cos = np.matmul(y, there.T, out=room[: len(y) * len(cols)].reshape(len(y), -1))
+                if within is None and c == 0:
+                    cos[np.arange(len(part)), part - a] = -1  # each with itself
+                if cos.max() >= least:
+                    r, k = np.nonzero(cos >= least)
                     label = _joined(label, part[r], cols[k])
     return label
 
